@@ -268,7 +268,8 @@ def similar_items(spark, sf):
 
 def _user_top(spark, sf):
     items = views.item_vectors(spark, sf).select("id", "factors")
-    return ranking.top_items(views.user_vectors(spark, sf), items, 20)
+    sizes = views.table(spark, sf, "customer").count(), items.count()
+    return ranking.top_items(views.user_vectors(spark, sf), items, 20, sizes)
 
 
 @query

@@ -9,6 +9,7 @@ from ..operators.products import days_on_site
 from ..operators.promotions import Flat
 
 TODAY = "2005-06-01"
+VECTOR_RANK = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,11 +67,10 @@ def user_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A customer's vector: the sum of the vectors of the parts they bought."""
     bought = order_signals(spark, sf_dir).select("customerId", "productId").distinct()
     items = item_vectors(spark, sf_dir).withColumnRenamed("id", "productId")
-    parts = bought.join(items, "productId").select("customerId", F.posexplode("factors").alias("pos", "value"))
-    sums = parts.groupBy("customerId", "pos").agg(F.sum(F.col("value").cast("double")).alias("value"))
-    whole = sums.groupBy("customerId").agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("parts"))
-    factors = F.transform("parts", lambda p: F.round(p["value"], 4).cast("float"))
-    return whole.select(F.col("customerId").alias("id"), factors.alias("factors"))
+    total = lambda i: F.round(F.sum(F.get("factors", F.lit(i)).cast("double")), 4).cast("float")
+    sums = bought.join(items, "productId").groupBy("customerId").agg(
+        *(total(i).alias(f"f{i}") for i in range(VECTOR_RANK)))
+    return sums.select(F.col("customerId").alias("id"), F.array(*(f"f{i}" for i in range(VECTOR_RANK))).alias("factors"))
 
 
 def promotions(spark: SparkSession, sf_dir: str) -> Flat:

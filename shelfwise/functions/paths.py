@@ -3,12 +3,22 @@
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-KEYED_FORMATS = {"year": "yy=%4d", "month": "mm=%02d", "day": "dd=%02d"}
-PLAIN_FORMATS = {"year": "%4d", "month": "%02d", "day": "%02d"}
+
+class FolderNames(NamedTuple):
+    """Date patterns of the year, month and day folders."""
+
+    year: str
+    month: str
+    day: str
+
+
+KEYED_FORMATS = FolderNames("'yy='yyyy", "'mm='MM", "'dd='dd")
+PLAIN_FORMATS = FolderNames("yyyy", "MM", "dd")
 
 
 def make_path(base: str, *more: str) -> str:
@@ -33,13 +43,10 @@ def cloud_path_parts(c: Column | str) -> list[Column]:
     ]
 
 
-def _folder(base: str, date: Column, formats: dict[str, str], day: bool) -> Column:
-    parts = [
-        F.format_string(formats["year"], F.year(date)),
-        F.format_string(formats["month"], F.month(date)),
-        F.format_string(formats["day"], F.dayofmonth(date)) if day else F.lit("*"),
-    ]
-    return F.concat_ws("/", F.lit(base.rstrip("/")), *parts)
+def _folder(base: str, date: Column, formats: FolderNames, day: bool) -> Column:
+    names = formats if day else formats[:2]
+    folder = F.concat(F.lit(base.removesuffix("/") + "/"), F.date_format(date, "/".join(names)))
+    return folder if day else F.concat(folder, F.lit("/*"))
 
 
 def _ordered_dates(from_ms: Column, to_ms: Column) -> tuple[Column, Column]:
@@ -47,7 +54,7 @@ def _ordered_dates(from_ms: Column, to_ms: Column) -> tuple[Column, Column]:
     return day(F.least(from_ms, to_ms)), day(F.greatest(from_ms, to_ms))
 
 
-def day_paths(base: str, from_ms: Column, to_ms: Column, formats: dict[str, str] = KEYED_FORMATS) -> Column:
+def day_paths(base: str, from_ms: Column, to_ms: Column, formats: FolderNames = KEYED_FORMATS) -> Column:
     """Folders covering a time range, both ends included.
 
     The first and the last month are listed day by day, every month strictly
@@ -64,7 +71,7 @@ def day_paths(base: str, from_ms: Column, to_ms: Column, formats: dict[str, str]
         F.concat(days(F.sequence(first, F.last_day(first))), whole, days(F.sequence(last_month, last))))
 
 
-def month_paths(base: str, from_ms: Column, to_ms: Column, formats: dict[str, str] = KEYED_FORMATS) -> Column:
+def month_paths(base: str, from_ms: Column, to_ms: Column, formats: FolderNames = KEYED_FORMATS) -> Column:
     """One ``*`` folder per month touched by a time range."""
     first, last = _ordered_dates(from_ms, to_ms)
     months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month"))

@@ -41,22 +41,25 @@ def _typed_vector() -> list[Column]:
     return [F.col("id").cast("bigint").alias("id"), F.col("factors").cast("array<float>").alias("factors")]
 
 
-def similar_items(factors: DataFrame, candidates: DataFrame, k: int = 100) -> DataFrame:
+def similar_items(factors: DataFrame, candidates: DataFrame, k: int = 100,
+                  sizes: tuple[int, int] | None = None) -> DataFrame:
     """The k best candidates of every item, without the item itself and without scores of 0 or less.
 
     Both are removed after the best k are chosen, so lists can be shorter than k.
     Equal scores are ordered by candidate id. Input columns: id, factors.
     """
-    best = top_items(factors, candidates, k)
+    best = top_items(factors, candidates, k, sizes)
     return best.filter((F.col("id") != F.col("similarId")) & (F.col("score") > 0))
 
 
-def top_items(queries: DataFrame, candidates: DataFrame, k: int = 20) -> DataFrame:
+def top_items(queries: DataFrame, candidates: DataFrame, k: int = 20,
+              sizes: tuple[int, int] | None = None) -> DataFrame:
     """The k candidates with the highest dot product for every query: (id, similarId, score).
 
-    Ids are unique on each side.
+    Ids are unique on each side. ``sizes`` are the row counts of both sides, or
+    near guesses; they decide how the work is cut and are counted when not given.
     """
-    nq, nc = queries.count(), candidates.count()
+    nq, nc = sizes or _row_counts(queries, candidates)
     rows, columns = _grid_shape(nq, nc, queries.sparkSession.sparkContext.defaultParallelism)
     grid = [F.lit(rows).alias("q"), F.lit(columns).alias("c")]
     scored = _score_cells(queries.select(F.lit(0).alias("cell"), "id", "factors", *grid),
@@ -64,6 +67,13 @@ def top_items(queries: DataFrame, candidates: DataFrame, k: int = 20) -> DataFra
     return scored if columns == 1 else top_k(scored, "id", _best_first(), k)
 
 
+def _row_counts(queries: DataFrame, candidates: DataFrame) -> tuple[int, int]:
+    """Row counts of both sides, in one job."""
+    count = lambda df, side: df.agg(F.count("*").alias("n")).withColumn("side", F.lit(side))
+    counts = {r.side: r.n for r in count(queries, "q").union(count(candidates, "c")).collect()}
+    return counts["q"], counts["c"]
+
+
 def _grid_shape(nq: int, nc: int, cores: int) -> tuple[int, int]:
     """Rows and columns of the grid: bounded cells, and work for every core when there is enough."""
     rows, columns = math.ceil(nq / CELL_QUERIES) or 1, math.ceil(nc / CELL_CANDIDATES) or 1

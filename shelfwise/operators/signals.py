@@ -48,11 +48,13 @@ def _best() -> Column:
     return F.min(F.struct("sourceId", (-F.col("signalDate")).alias("newest"), "customerId"))
 
 
-def best_per_customer(signals: DataFrame) -> DataFrame:
-    """Best signal per customer and product: a smaller table with the same best signal per guid."""
-    best = signals.groupBy("customerId", "productId").agg(
-        F.min(F.struct("sourceId", (-F.col("signalDate")).alias("newest"))).alias("best"))
-    return best.select("customerId", "productId", "best.sourceId", (-F.col("best.newest")).alias("signalDate"))
+def latest_per_source(signals: DataFrame) -> DataFrame:
+    """Latest signal per customer, product and source.
+
+    Holds the best signal of every customer and product, and is a plain hash
+    aggregate that Spark also runs before the shuffle.
+    """
+    return signals.groupBy("customerId", "productId", "sourceId").agg(F.max("signalDate").alias("signalDate"))
 
 
 def with_guid(signals: DataFrame, customers: DataFrame) -> DataFrame:
@@ -77,7 +79,7 @@ def signal_output(signals: DataFrame) -> DataFrame:
 def priority_signals(signals: DataFrame, customers: DataFrame) -> DataFrame:
     """Prioritised signals of known customers.
 
-    The signals shrink to one row per customer and product before they meet the
-    customers, so hot customers do not make a hot join key.
+    The signals shrink to one row per customer, product and source before they
+    meet the customers, so hot customers do not make a hot join key.
     """
-    return signal_output(prioritise(with_guid(best_per_customer(signals), customers)))
+    return signal_output(prioritise(with_guid(latest_per_source(signals), customers)))

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.paths import KEYED_FORMATS, PLAIN_FORMATS, day_paths, days_back, months_back
+from ..functions.paths import KEYED_FORMATS, PLAIN_FORMATS, FolderNames, day_paths, days_back, months_back
 from .feeds import FEEDS, load_text
 
 
@@ -29,7 +29,7 @@ def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
 
 
 def range_paths(
-    spark: SparkSession, base: str, from_ms: int, to_ms: int, formats: dict[str, str] = KEYED_FORMATS
+    spark: SparkSession, base: str, from_ms: int, to_ms: int, formats: FolderNames = KEYED_FORMATS
 ) -> list[str]:
     """Existing folders of a time range; the list grows with the months, not with the data."""
     bounds = (F.lit(from_ms).cast("bigint"), F.lit(to_ms).cast("bigint"))
@@ -67,7 +67,7 @@ def load_range(spark: SparkSession, base: str, from_ms: int, to_ms: int) -> Data
 
 
 def load_range_paths(spark: SparkSession, base: str, from_ms: int, to_ms: int,
-                     formats: dict[str, str] = KEYED_FORMATS) -> DataFrame:
+                     formats: FolderNames = KEYED_FORMATS) -> DataFrame:
     """Same rows through an explicit list of folders, for layouts without ``key=value`` names."""
     return spark.read.parquet(*range_paths(spark, base, from_ms, to_ms, formats))
 

@@ -5,23 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.times import is_valid_date, safe_int
+from ..functions.times import is_valid_date, iso_to_millis, safe_int
 from ..operators.signals import valid_signals
 from .feeds import FEEDS, load_text
 
 
+def split_fields(lines: DataFrame, separator: str, fields: dict[str, int], column: str = "value") -> DataFrame:
+    """Named fields of delimited lines, null where a line is too short.
+
+    The generator keeps Spark from splitting a line again for every use of a field.
+    """
+    parts = lines.select(F.split(F.col(column), separator).alias("parts"))
+    row = F.struct(*(F.get("parts", F.lit(i)).alias(name) for name, i in fields.items()))
+    return parts.select(F.inline(F.array(row)))
+
+
 def parse_signals(lines: DataFrame, column: str = "value") -> DataFrame:
     """``|``-separated signal lines to valid (customerId, productId, sourceId, signalDate) rows.
 
     Fields 0, 1, 4 and 6 are read. Rows whose ids or source are not numbers,
     whose source has no weight, or whose date is not ISO-8601 are dropped.
     """
-    field = lambda i: F.get(F.split(F.col(column), r"\|"), F.lit(i))
-    rows = lines.select(
-        safe_int(field(0)).alias("customerId"), safe_int(field(1)).alias("productId"),
-        safe_int(field(4)).alias("sourceId"), field(6).alias("signalDate"),
-    )
-    return valid_signals(rows.filter(is_valid_date("signalDate")))
+    fields = split_fields(lines, r"\|", {"customerId": 0, "productId": 1, "sourceId": 4, "signalDate": 6}, column)
+    rows = fields.withColumns({c: safe_int(c) for c in ("customerId", "productId", "sourceId")})
+    return valid_signals(rows).filter(is_valid_date("signalDate"))
 
 
 def parse_customers(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -29,9 +36,9 @@ def parse_customers(lines: DataFrame, column: str = "value") -> DataFrame:
 
     Blank fields at the end of a line do not count as fields.
     """
-    fields = F.split(F.regexp_replace(F.col(column), r"\t+$", ""), "\t")
-    rows = lines.filter(F.size(fields) == 8)
-    return rows.select(safe_int(F.get(fields, F.lit(0))).alias("customerId")).filter("customerId <> -1")
+    eight = F.col(column).rlike(r"^(?:[^\t]*\t){7}[^\t]+\t*$")
+    ids = lines.filter(eight).select(safe_int(F.substring_index(column, "\t", 1)).alias("customerId"))
+    return ids.filter("customerId <> -1")
 
 
 def training_customers(spark: SparkSession, path: str) -> DataFrame:
@@ -40,18 +47,20 @@ def training_customers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def known_products(spark: SparkSession, path: str) -> DataFrame:
-    """Product feed without its malformed rows; one row per product comes from ``latest_products``."""
-    products = load_text(spark, FEEDS["product"], path, "|", {"mode": "DROPMALFORMED"})
-    return products.filter(F.col("productId").isNotNull() & (F.col("productId") != -1))
+    """Product feed without its malformed rows; one row per product comes from ``latest_products``.
+
+    Dates become epoch ms, or null when they cannot be read.
+    """
+    products = load_text(spark, FEEDS["product"], path, "|", {"mode": "DROPMALFORMED"}, raw=True)
+    millis = lambda c: F.coalesce(iso_to_millis(c), F.col(c).try_cast("bigint"))
+    dated = products.withColumns({c: millis(c) for c in ("dateOnSite", "dateModified")})
+    return dated.filter(F.col("productId").isNotNull() & (F.col("productId") != -1))
 
 
 def parse_flags(lines: DataFrame, column: str = "value") -> DataFrame:
     """``productId<TAB>flag`` lines to the ids of recommendable products (flag 1)."""
-    fields = F.split(F.col(column), "\t")
-    rows = lines.select(
-        F.get(fields, F.lit(0)).try_cast("int").alias("productId"),
-        F.get(fields, F.lit(1)).try_cast("int").alias("isRecommended"),
-    )
+    fields = split_fields(lines, "\t", {"productId": 0, "isRecommended": 1}, column)
+    rows = fields.withColumns({c: F.col(c).try_cast("int") for c in fields.columns})
     return rows.filter("productId is not null and isRecommended = 1").select("productId").distinct()
 
 
