@@ -80,9 +80,14 @@ def _list_rows(data: pa.Array, width: int, build) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), build(raw), mask=mask)
 
 
+def _one_line_base64(data: Column) -> Column:
+    """Base64 without line breaks, whatever the session does with long values."""
+    return F.translate(F.base64(data), "\r\n", "")
+
+
 def encode_vector(c: Column | str) -> Column:
     """Array of numbers to base64 of big-endian float32 values."""
-    return F.base64(_vector_bytes(c))
+    return _one_line_base64(_vector_bytes(c))
 
 
 def decode_vector(c: Column | str) -> Column:
@@ -101,7 +106,7 @@ def encode_pairs(scores: DataFrame) -> DataFrame:
     pairs = F.transform(ordered, lambda p: F.struct(
         p["similarId"].alias("similarId"), (-p["rank"]).cast("float").alias("score")))
     return scores.groupBy("id").agg(pairs.alias("pairs")).select(
-        "id", F.base64(_pair_bytes("pairs")).alias("data"))
+        "id", _one_line_base64(_pair_bytes("pairs")).alias("data"))
 
 
 def decode_pairs(encoded: DataFrame) -> DataFrame:

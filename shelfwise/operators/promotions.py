@@ -97,11 +97,9 @@ def inline_skus(products: DataFrame) -> DataFrame:
     The limit applies before the shuffle, so a set with very many products
     sends only a few of them on.
     """
-    ranked = products.select("promoId", "position", "sku").distinct().withColumn(
-        "set", F.struct("promoId", "position"))
-    few = top_k(ranked, "set", [F.asc("sku")], MAX_INLINE_PRODUCTS)
-    return few.groupBy("set").agg(F.sort_array(F.collect_list("sku")).alias("skus")).select(
-        "set.promoId", "set.position", "skus")
+    keys = ["promoId", "position"]
+    few = top_k(products.select(*keys, "sku").distinct(), keys, [F.asc("sku")], MAX_INLINE_PRODUCTS)
+    return few.groupBy(*keys).agg(F.sort_array(F.collect_list("sku")).alias("skus"))
 
 
 def with_segments(sets: DataFrame, products: DataFrame) -> DataFrame:

@@ -64,7 +64,7 @@ def top_items(queries: DataFrame, candidates: DataFrame, k: int = 20,
     grid = [F.lit(rows).alias("q"), F.lit(columns).alias("c")]
     scored = _score_cells(queries.select(F.lit(0).alias("cell"), "id", "factors", *grid),
                           candidates.select(F.lit(0).alias("cell"), "id", "factors", *grid), k, rows * columns)
-    return scored if columns == 1 else top_k(scored, "id", _best_first(), k)
+    return scored if columns == 1 else top_k(scored, ["id"], _best_first(), k)
 
 
 def _row_counts(queries: DataFrame, candidates: DataFrame) -> tuple[int, int]:
@@ -99,7 +99,7 @@ def approx_top_items(queries: DataFrame, candidates: DataFrame, k: int = 20, tre
         assign, "cell bigint, id bigint, factors array<float>")
     left, right, tasks = _with_grid(in_leaves(queries), in_leaves(candidates))
     scored = _score_cells(left, right, k, tasks).dropDuplicates(["id", "similarId"])
-    return top_k(scored, "id", _best_first(), k)
+    return top_k(scored, ["id"], _best_first(), k)
 
 
 def _mean_vector(vectors: DataFrame, rank: int) -> np.ndarray:
@@ -172,9 +172,9 @@ def _with_grid(queries: DataFrame, candidates: DataFrame) -> tuple[DataFrame, Da
     return add(queries), add(candidates), tasks
 
 
-def top_k(df: DataFrame, key: str, order: list[Column], k: int) -> DataFrame:
+def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
     """First k rows per key. Spark also applies the limit before the shuffle."""
-    ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col("rank") <= k).drop("rank")
 
 
@@ -270,4 +270,4 @@ def user_top_brands(top: DataFrame, brands: DataFrame, k: int = 20) -> DataFrame
     """
     branded = top.join(brands.select(F.col("productId").alias("similarId"), "brand"), "similarId")
     counts = branded.filter("brand is not null").groupBy("id", "brand").agg(F.count("*").alias("products"))
-    return top_k(counts, "id", [F.desc("products"), F.asc("brand")], k)
+    return top_k(counts, ["id"], [F.desc("products"), F.asc("brand")], k)
