@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..errors import DataParseError
 from ..functions.times import date_part, millis_to_text, reformat_date
 
 DAY_MS = 24 * 60 * 60 * 1000
@@ -59,7 +60,7 @@ def time_slices(start_ms: int, spec: str) -> list[Slice]:
     for entry in spec.split(","):
         parts = entry.split(":")
         if len(parts) not in (3, 4):
-            raise ValueError(f"unsupported slice {entry!r} in {spec!r}")
+            raise DataParseError(f"unsupported slice {entry!r} in {spec!r}")
         first, last = int(parts[-2]), int(parts[-1])
         labels = parts[1] if len(parts) == 4 else ""
         slices.append(Slice(parts[0], labels, start_ms - last * DAY_MS, start_ms - first * DAY_MS))

@@ -15,7 +15,8 @@ k-th best score any more (Cauchy-Schwarz), which is exact.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,11 @@ from pyspark.sql import functions as F
 
 CELL_QUERIES = 16_384
 CELL_CANDIDATES = 65_536
-QUERY_BLOCK = 1_024
-CANDIDATE_BLOCK = 4_096
+QUERY_BLOCK = 256
+CANDIDATE_BLOCK = 8_192
+PAIR_BLOCK = 4_096
+GROUP_ROWS = 16_384
+GROUPS_PER_TASK = 4
 
 MIN_PAIRS = 1 << 22
 MAX_BROADCAST_CELLS = 500_000
@@ -62,8 +66,8 @@ def top_items(queries: DataFrame, candidates: DataFrame, k: int = 20,
     nq, nc = sizes or _row_counts(queries, candidates)
     rows, columns = _grid_shape(nq, nc, queries.sparkSession.sparkContext.defaultParallelism)
     grid = [F.lit(rows).alias("q"), F.lit(columns).alias("c")]
-    scored = _score_cells(queries.select(F.lit(0).alias("cell"), "id", "factors", *grid),
-                          candidates.select(F.lit(0).alias("cell"), "id", "factors", *grid), k, rows * columns)
+    one_cell = [F.lit(0).alias("cell"), *_typed_vector(), *grid]
+    scored = _score_cells(queries.select(*one_cell), candidates.select(*one_cell), k, Layout(0, rows * columns))
     return scored if columns == 1 else top_k(scored, ["id"], _best_first(), k)
 
 
@@ -88,28 +92,38 @@ def approx_top_items(queries: DataFrame, candidates: DataFrame, k: int = 20, tre
     candidates, as many as leave about ``leaf_size`` candidates per leaf. A query
     meets the candidates of its own leaves only; their scores are exact.
     """
-    size = candidates.agg(F.count("*").alias("n"), F.max(F.size("factors")).alias("rank")).first()
-    if not size["n"]:
+    n, mean = _count_and_mean(candidates)
+    if not n:
         return top_items(queries, candidates, k)
-    cuts = max(0, math.ceil(math.log2(size["n"] / leaf_size)))
-    planes = np.random.default_rng(seed).standard_normal((size["rank"], trees, cuts))
-    mean = _mean_vector(candidates, size["rank"])
-    assign = _leaf_assigner(planes, np.tensordot(mean, planes, axes=1))
-    in_leaves = lambda df: df.select(*_typed_vector()).mapInArrow(
-        assign, "cell bigint, id bigint, factors array<float>")
-    left, right, tasks = _with_grid(in_leaves(queries), in_leaves(candidates))
-    scored = _score_cells(left, right, k, tasks).dropDuplicates(["id", "similarId"])
-    return top_k(scored, ["id"], _best_first(), k)
-
-
-def _mean_vector(vectors: DataFrame, rank: int) -> np.ndarray:
-    """Mean of the vectors: one aggregate row of ``rank`` values."""
-    means = vectors.agg(*(F.avg(F.get("factors", F.lit(i)).cast("double")).alias(f"m{i}") for i in range(rank)))
-    return np.array(means.first(), dtype=np.float64)
-
-
-def _leaf_assigner(planes: np.ndarray, offsets: np.ndarray):
-    """Batches of vectors to one row per tree, with the tree and the leaf packed into ``cell``."""
+    cuts = max(0, math.ceil(math.log2(n / leaf_size)))
+    planes = np.random.default_rng(seed).standard_normal((len(mean), trees, cuts))
+    offsets = np.tensordot(mean, planes, axes=1)
+    cells = lambda df: df.select(*_typed_vector()).mapInArrow(
+        _leaf_assigner(planes, offsets, vectors=False), "cell bigint")
+    leaves = lambda df: df.select(*_typed_vector()).mapInArrow(
+        _leaf_assigner(planes, offsets, vectors=True), "cell bigint, id bigint, factors binary")
+    add_grid, layout = _plan_grid(cells(queries), cells(candidates))
+    scored = _score_cells(add_grid(leaves(queries)), add_grid(leaves(candidates)), k, layout)
+    # A pair found in several trees has one score, so it takes one place of the k.
+    ranked = scored.withColumn("rank", F.dense_rank().over(Window.partitionBy("id").orderBy(*_best_first())))
+    return ranked.filter(F.col("rank") <= k).drop("rank").dropDuplicates(["id", "similarId"])
+
+
+def _count_and_mean(vectors: DataFrame) -> tuple[int, np.ndarray]:
+    """Number of vectors and their mean: one aggregate row."""
+    first = vectors.select(F.size("factors").alias("rank")).first()
+    if first is None:
+        return 0, np.empty(0)
+    value = lambda i: F.get("factors", F.lit(i)).cast("double")
+    row = vectors.agg(F.count("*"), *(F.avg(value(i)) for i in range(first["rank"]))).first()
+    return row[0], np.array(row[1:], dtype=np.float64)
+
+
+def _leaf_assigner(planes: np.ndarray, offsets: np.ndarray, vectors: bool):
+    """Batches of vectors to one row per tree, with the tree and the leaf packed into ``cell``.
+
+    Vectors go on as bytes, which travel faster than arrays.
+    """
     rank, trees, cuts = planes.shape
     flat_planes, flat_offsets = planes.reshape(rank, trees * cuts), offsets.reshape(trees * cuts)
     weights = 1 << np.arange(cuts, dtype=np.int64)
@@ -118,58 +132,89 @@ def _leaf_assigner(planes: np.ndarray, offsets: np.ndarray):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            n = batch.num_rows
-            sides = (_matrix(batch.column("factors")) @ flat_planes > flat_offsets).reshape(n, trees, cuts)
-            leaf = sides.astype(np.int64) @ weights + (np.arange(trees, dtype=np.int64) << cuts)
-            rows = pa.array(np.repeat(np.arange(n), trees))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(leaf.ravel()), batch.column("id").take(rows), batch.column("factors").take(rows)],
-                names=["cell", "id", "factors"])
+            matrix = _matrix(batch.column("factors"))
+            sides = (matrix @ flat_planes > flat_offsets).reshape(-1, trees, cuts)
+            cells = sides.astype(np.int64) @ weights + (np.arange(trees, dtype=np.int64) << cuts)
+            data = _vector_bytes(matrix) if vectors else None
+            for tree in range(trees):
+                columns = {"cell": pa.array(cells[:, tree])}
+                if vectors:
+                    columns |= {"id": batch.column("id"), "factors": data}
+                yield pa.RecordBatch.from_pydict(columns)
 
     return assign
 
 
-def _score_cells(queries: DataFrame, candidates: DataFrame, k: int, tasks: int) -> DataFrame:
+def _vector_bytes(matrix: np.ndarray) -> pa.Array:
+    """Rows of a float32 matrix as binary values."""
+    offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1] * 4
+    data = np.ascontiguousarray(matrix, dtype=np.float32)
+    return pa.Array.from_buffers(pa.binary(), len(matrix), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+class Layout(NamedTuple):
+    """How cells go to tasks: 2**shift neighbouring cells share a group, over a number of tasks."""
+
+    shift: int
+    tasks: int
+
+
+def _score_cells(queries: DataFrame, candidates: DataFrame, k: int, layout: Layout) -> DataFrame:
     """Best k candidates of each query within each cell of the grid.
 
     Rows carry their cell and its grid size (q rows, c columns). Queries are
     spread over the rows and repeated along the columns, candidates the other
     way round: every query meets every candidate of its cell exactly once.
+    Small cells share a group, which its task takes apart again.
     """
-    keys = ["cell", "row", "column"]
+    keys = ["task", "bucket", "row", "column"]
+    index = "bucket + row * c + column"
     spread = lambda size: F.pmod(F.xxhash64("id"), F.col(size).cast("bigint"))
     repeat = lambda size: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(size).cast("bigint") - 1))
-    left = queries.select("cell", spread("q").alias("row"), repeat("c").alias("column"), *_typed_vector())
-    right = candidates.select("cell", spread("c").alias("column"), repeat("q").alias("row"), *_typed_vector())
-    grouped = lambda df: df.repartition(tasks, *keys).groupBy(*keys)
-    return grouped(left).cogroup(grouped(right)).applyInArrow(_cell_scorer(k), SCORES)
+
+    def grouped(df: DataFrame, row: Column, column: Column):
+        placed = df.select(
+            F.shiftright(F.col("cell").cast("bigint"), layout.shift).alias("bucket"), row.alias("row"),
+            column.alias("column"), "cell", "id", "factors", "c")
+        task = F.pmod(F.expr(index), F.lit(layout.tasks)).cast("int")
+        rows = placed.withColumn("task", task).drop("c")
+        return rows.repartitionById(layout.tasks, F.col("task")).groupBy(*keys)
+
+    left = grouped(queries, spread("q"), repeat("c"))
+    right = grouped(candidates, repeat("q"), spread("c"))
+    return left.cogroup(right).applyInArrow(_group_scorer(k), SCORES)
 
 
-def _with_grid(queries: DataFrame, candidates: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Add the grid size of each row's cell, and choose a number of tasks for all cells.
+def _plan_grid(query_cells: DataFrame, candidate_cells: DataFrame) -> tuple[Callable[[DataFrame], DataFrame], Layout]:
+    """A function that adds the grid size of each row's cell, and the layout of all cells.
 
     Only cells beyond the size limits need a grid, and there is at most one such
     cell per ``CELL_QUERIES`` rows; they are broadcast after their number is checked.
     """
     count = lambda df, name: df.groupBy("cell").agg(F.count("*").alias(name))
     side = lambda n, limit: F.ceil(F.col(n) / limit).cast("bigint")
-    sizes = count(queries, "nq").join(count(candidates, "nc"), "cell").select(
-        "cell", side("nq", CELL_QUERIES).alias("q"), side("nc", CELL_CANDIDATES).alias("c"),
-        (F.col("nq").cast("double") * F.col("nc")).alias("pairs"))
+    sizes = count(query_cells, "nq").join(count(candidate_cells, "nc"), "cell").select(
+        "cell", "nq", "nc", side("nq", CELL_QUERIES).alias("q"), side("nc", CELL_CANDIDATES).alias("c"))
     large = (F.col("q") > 1) | (F.col("c") > 1)
-    total = sizes.agg(F.sum("pairs").alias("pairs"), F.count_if(large).alias("large"),
-                      F.sum(F.col("q") * F.col("c")).alias("cells")).first()
-    cores = queries.sparkSession.sparkContext.defaultParallelism
+    total = sizes.agg(
+        F.count_if(large).alias("large"), F.count("*").alias("cells"), F.sum(F.col("nq") + F.col("nc")).alias("rows"),
+        F.sum(F.col("nq").cast("double") * F.col("nc")).alias("pairs")).first()
+    rows, cores = total["rows"] or 0, query_cells.sparkSession.sparkContext.defaultParallelism
+    mean = max(1, rows // max(1, total["cells"]))
+    shift = max(0, int(math.log2(max(1, GROUP_ROWS // mean))))
+    groups = math.ceil(rows / GROUP_ROWS)
     work = math.ceil((total["pairs"] or 0) / (CELL_QUERIES * CELL_CANDIDATES))
-    tasks = max(1, min(total["cells"] or 1, max(work, 4 * cores)))
-    if not total["large"]:
-        one = [F.lit(1).alias("q"), F.lit(1).alias("c")]
-        return queries.select("*", *one), candidates.select("*", *one), tasks
+    layout = Layout(shift, max(work, math.ceil(groups / GROUPS_PER_TASK), min(cores, groups), 1))
     grid = sizes.filter(large).select("cell", "q", "c")
-    if total["large"] <= MAX_BROADCAST_CELLS:
+    if 0 < total["large"] <= MAX_BROADCAST_CELLS:
         grid = F.broadcast(grid)
-    add = lambda df: df.join(grid, "cell", "left").fillna(1, ["q", "c"])
-    return add(queries), add(candidates), tasks
+
+    def add(df: DataFrame) -> DataFrame:
+        if not total["large"]:
+            return df.select("*", F.lit(1).alias("q"), F.lit(1).alias("c"))
+        return df.join(grid, "cell", "left").fillna(1, ["q", "c"])
+
+    return add, layout
 
 
 def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
@@ -178,32 +223,49 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFr
     return ranked.filter(F.col("rank") <= k).drop("rank")
 
 
-def _matrix(lists: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """List column to a float64 matrix."""
-    if isinstance(lists, pa.ChunkedArray):
-        lists = lists.combine_chunks()
-    flat = lists.flatten().to_numpy(zero_copy_only=False)
-    return flat.astype(np.float64).reshape(len(lists), -1)
+def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Column of vectors, as lists or as bytes, to a float32 matrix."""
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    if pa.types.is_binary(vectors.type):
+        bounds = np.frombuffer(vectors.buffers()[1], dtype=np.int32)[vectors.offset:vectors.offset + len(vectors) + 1]
+        flat = np.frombuffer(vectors.buffers()[2], dtype=np.uint8)[bounds[0]:bounds[-1]].view(np.float32)
+    else:
+        flat = vectors.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(vectors), -1)
 
 
-def _cell_scorer(k: int):
+def _group_scorer(k: int):
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return _score_table(*(np.empty(0, dtype=t) for t in (np.int64, np.int64, np.float64)))
-        queries, query_ids = _matrix(left.column("factors")), left.column("id").to_numpy()
-        items, item_ids = _matrix(right.column("factors")), right.column("id").to_numpy()
-        norms = np.linalg.norm(items, axis=1)
-        falling = np.lexsort((item_ids, -norms))
-        items, item_ids, norms = items[falling], item_ids[falling], norms[falling]
-        parts = [
-            best_of_block(query_ids[i:i + QUERY_BLOCK], queries[i:i + QUERY_BLOCK], item_ids, items, norms, k)
-            for i in range(0, len(query_ids), QUERY_BLOCK)
-        ]
-        return _score_table(*(np.concatenate(columns) for columns in zip(*parts)))
+        parts = [_score_table(*(np.empty(0, dtype=t) for t in (np.int64, np.int64, np.float64)))]
+        if left.num_rows and right.num_rows:
+            queries, items = _by_cell(left), _by_cell(right)
+            for cell in queries.keys() & items.keys():
+                parts.extend(_score_cell(*queries[cell], *items[cell], k))
+        return pa.concat_tables(parts)
 
     return score
 
 
+def _by_cell(rows: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors of each cell in a group."""
+    cells, ids, vectors = rows.column("cell").to_numpy(), rows.column("id").to_numpy(), _matrix(rows.column("factors"))
+    order = np.argsort(cells, kind="stable")
+    names, starts = np.unique(cells[order], return_index=True)
+    pieces = np.split(order, starts[1:])
+    return {int(name): (ids[piece], vectors[piece]) for name, piece in zip(names, pieces)}
+
+
+def _score_cell(query_ids: np.ndarray, queries: np.ndarray, item_ids: np.ndarray, items: np.ndarray, k: int) -> list[pa.Table]:
+    norms = np.linalg.norm(items.astype(np.float64), axis=1)
+    falling = np.lexsort((item_ids, -norms))
+    item_ids, items, norms = item_ids[falling], items[falling], norms[falling]
+    return [
+        _score_table(*best_of_block(query_ids[i:i + QUERY_BLOCK], queries[i:i + QUERY_BLOCK], item_ids, items, norms, k))
+        for i in range(0, len(query_ids), QUERY_BLOCK)
+    ]
+
+
 def _score_table(ids: np.ndarray, similar: np.ndarray, scores: np.ndarray) -> pa.Table:
     return pa.table({"id": pa.array(ids), "similarId": pa.array(similar), "score": pa.array(scores)})
 
@@ -212,23 +274,26 @@ def best_of_block(query_ids: np.ndarray, queries: np.ndarray, item_ids: np.ndarr
                   norms: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best k items of some queries; ``items`` are in order of falling norm.
 
-    Matrix products only select: a product may round differently with the shape
-    of the matrices, so whatever is within rounding of the k-th best is kept and
-    gets its final score by adding up the dimensions in order.
+    Single-precision matrix products only select: whatever is within their
+    rounding error of the k-th best is kept, and gets its score in double
+    precision by adding up the dimensions in order. Scores do not depend on how
+    the work was cut.
     """
-    query_norms = np.linalg.norm(queries, axis=1)
+    query_norms = np.linalg.norm(queries.astype(np.float64), axis=1)
+    error = 4 * queries.shape[1] * np.finfo(np.float32).eps * query_norms
     floor = np.full(len(queries), -np.inf)
     rows, cols, scores = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
     for start in range(0, len(items), CANDIDATE_BLOCK):
-        slack = 1e-9 * query_norms * norms[start]
+        slack = error * norms[start]
         live = np.flatnonzero(query_norms * norms[start] + slack >= floor)
         if not len(live):
             break
         products = queries[live] @ items[start:start + CANDIDATE_BLOCK].T
         limit = floor[live]
-        if products.shape[1] >= k:
-            limit = np.maximum(limit, np.partition(products, -k, axis=1)[:, -k])
-        hit, col = np.nonzero(products >= (limit - slack[live])[:, None])
+        if start == 0 and products.shape[1] > k:
+            # Two errors: the k-th product may be too high, the one compared too low.
+            limit = np.partition(products, -k, axis=1)[:, -k] - slack[live]
+        hit, col = np.nonzero(products >= (limit - slack[live]).astype(np.float32)[:, None])
         exact = _dot_in_order(queries, items, live[hit], col + start)
         rows, cols, scores = _keep_best(
             np.concatenate([rows, live[hit]]), np.concatenate([cols, col + start]),
@@ -240,10 +305,13 @@ def best_of_block(query_ids: np.ndarray, queries: np.ndarray, item_ids: np.ndarr
 
 
 def _dot_in_order(queries: np.ndarray, items: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
-    """Dot products of row pairs, dimensions added up in order."""
+    """Dot products of row pairs in double precision, dimensions added up in order."""
     total = np.zeros(len(rows))
-    for d in range(queries.shape[1]):
-        total += queries[rows, d] * items[cols, d]
+    for i in range(0, len(rows), PAIR_BLOCK):
+        part = slice(i, i + PAIR_BLOCK)
+        products = queries[rows[part]].astype(np.float64) * items[cols[part]]
+        for d in range(products.shape[1]):
+            total[part] += products[:, d]
     return total
 
 

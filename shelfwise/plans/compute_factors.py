@@ -1,6 +1,6 @@
 """Train on recent signals and write similar products, product factors and user factors.
 
-    spark-submit -m shelfwise.plans.compute_factors todaysDate=2017-08-06 signalsPath=... ...
+    spark-submit -m shelfwise.plans.compute_factors todaysDate=2019-03-04 signalsPath=... ...
 """
 
 from __future__ import annotations

@@ -5,8 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from typing import NamedTuple
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
+from ..errors import DataPublishError
 from ..functions.paths import make_path
 from .runner import need, run_job
 
@@ -33,7 +35,11 @@ def pointer_file(args: dict[str, str]) -> PointerFile:
 def run(spark: SparkSession, args: dict[str, str]) -> None:
     pointer = pointer_file(args)
     line = spark.createDataFrame([(pointer.content,)], "value string")
-    line.coalesce(1).write.mode("overwrite").text(make_path(need(args, "basePath")[0], pointer.path))
+    target = make_path(need(args, "basePath")[0], pointer.path)
+    try:
+        line.coalesce(1).write.mode("overwrite").text(target)
+    except PySparkException as error:
+        raise DataPublishError(f"cannot write {target}") from error
 
 
 if __name__ == "__main__":

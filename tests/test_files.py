@@ -9,7 +9,7 @@ from shelfwise.plans import pointer, runner
 from shelfwise.sinks import files
 from shelfwise.sources import csv_schema, feeds, promotions_xml, ranges, schemas, tolerant
 
-MS = 1501983887000  # 2017-08-06T01:44:47Z
+MS = 1551675967000  # 2019-03-04T05:06:07Z
 
 
 def write(path, text):
@@ -25,10 +25,10 @@ def test_feed_widths():
 
 def test_customers_from_text_and_parquet(spark, tmp_path):
     path = write(tmp_path / "c.csv",
-                 "1\tG1\tF\tIreland, Republic of\t2017-08-06T01:44:47.250Z\t\\N\t1979\t0\n2\tG2\tM\tUK\tbroken\t5\t\\N\t1\n")
+                 "1\tG1\tF\tChad, Republic of\t2019-03-04T05:06:07.250Z\t\\N\t1979\t0\n2\tG2\tM\tUK\tbroken\t5\t\\N\t1\n")
     df = feeds.load_text(spark, "customer", path, "\t")
     first, second = sorted(df.collect())
-    assert (first.dateEntered, first.dateModified, first.shippingCountry) == (MS + 250, None, "Ireland, Republic of")
+    assert (first.dateEntered, first.dateModified, first.shippingCountry) == (MS + 250, None, "Chad, Republic of")
     assert (second.dateEntered, second.dateModified, second.yearOfBirth) == (None, 5, None)
     files.save(df, str(tmp_path / "pq"), 1)
     again = feeds.load_parquet(spark, "customer", str(tmp_path / "pq"))
@@ -38,21 +38,21 @@ def test_customers_from_text_and_parquet(spark, tmp_path):
 
 
 def test_signals_are_strict(spark, tmp_path):
-    line = "6|176|445137|7|2|1|{}|278|21.5||1|2017-08-06T11:21:00\n"
-    good = write(tmp_path / "good", "\n" + line.format("2017-08-06T01:44:47.030000000"))
+    line = "12|345|678|9|2|1|{}|900|3.25||1|2019-03-04T11:21:00\n"
+    good = write(tmp_path / "good", "\n" + line.format("2019-03-04T05:06:07.030000000"))
     row = feeds.load_text(spark, "signals", good, "|").first()
-    assert (row.signalDate, row.price, row.customerId) == (MS, 21.5, 6)
+    assert (row.signalDate, row.price, row.customerId) == (MS, 3.25, 12)
     bad = write(tmp_path / "bad", line.format("yesterday"))
     with pytest.raises(Exception, match="Cannot parse date=yesterday"):
         feeds.load_text(spark, "signals", bad, "|").collect()
 
 
 @pytest.mark.parametrize("name, dates", [
-    ("product", {"dateOnSite": "2017-08-06T01:44:47.25", "dateModified": ""}),
-    ("variant", {"dateModified": "2017-08-06 01:44:47.250"}),
-    ("receipt", {"dateEntered": "2017-08-06 01:44:47.9", "dateModified": "2017-08-06 01:44:47"}),
-    ("return", {"returnsDateKey": "2017-08-06 01:44:47", "receiptDateKey": "2017-08-06 01:44:47", "dateEntered": "",
-                "dateModified": "2017-08-06T01:44:47"}),
+    ("product", {"dateOnSite": "2019-03-04T05:06:07.25", "dateModified": ""}),
+    ("variant", {"dateModified": "2019-03-04 05:06:07.250"}),
+    ("receipt", {"dateEntered": "2019-03-04 05:06:07.9", "dateModified": "2019-03-04 05:06:07"}),
+    ("return", {"returnsDateKey": "2019-03-04 05:06:07", "receiptDateKey": "2019-03-04 05:06:07", "dateEntered": "",
+                "dateModified": "2019-03-04T05:06:07"}),
 ])
 def test_other_feeds(spark, tmp_path, name, dates):
     feed = feeds.FEEDS[name]
@@ -65,10 +65,10 @@ def test_other_feeds(spark, tmp_path, name, dates):
 
 
 def test_product_views_with_cr_lines_and_bom(spark, tmp_path):
-    line = "100|426|0|7|{}|1|2017-08-06T21:42:05|5|21||1|2017-08-07T11:58:21|2|1|0|0|0|0|us|x|0|0|0"
+    line = "55|66|0|7|{}|1|2019-03-04T21:42:05|5|21||1|2019-03-05T11:58:21|2|1|0|0|0|0|us|x|0|0|0"
     path = write(tmp_path / "v", b"\xef\xbb\xbf" + (line.format(7) + "\r" + line.format(10) + "\r").encode())
     lines = tolerant.signal_lines(spark, [path], line_sep="\r")
-    assert [tuple(r)[:3] for r in tolerant.parse_signals(lines).collect()] == [(100, 426, 7)]
+    assert [tuple(r)[:3] for r in tolerant.parse_signals(lines).collect()] == [(55, 66, 7)]
 
 
 SCHEMA = {
@@ -83,12 +83,12 @@ def schema(**changes):
 
 
 def test_csv_conversion(spark, tmp_path):
-    path = write(tmp_path / "in.csv", "id,email,day,n\n1,a@b,06/08/2017,2.5\n2,c@d,NA,NA\n")
+    path = write(tmp_path / "in.csv", "id,email,day,n\n1,a@b,04/03/2019,2.5\n2,c@d,NA,NA\n")
     spec = schema(changeDateFormats=True, sourceDateFormat="dd/MM/yyyy", targetDateFormat="yyyyMMdd", dateFormatChangeCols="day")
     csv_schema.convert_to_parquet(spark, path, str(tmp_path / "out"), spec, 1)
     got = spark.read.parquet(str(tmp_path / "out")).orderBy("id")
     assert got.columns == ["id", "day", "n", "yy", "mm"]
-    assert [tuple(r) for r in got.collect()] == [(1, "20170806", 2.5, 2017, 8), (2, None, None, None, None)]
+    assert [tuple(r) for r in got.collect()] == [(1, "20190304", 2.5, 2019, 3), (2, None, None, None, None)]
     assert spec.partition_columns() == ["yy", "mm"]
     assert schema(partitionByDateCol="", partitionByDateOn="", partitionByCol="id").partition_columns() == ["id"]
 
@@ -132,8 +132,8 @@ def test_partitioned_append_and_range_reads(spark, tmp_path):
     assert ids(ranged) == list(range(3, 36))
     assert "PartitionFilters: [" in ranged._jdf.queryExecution().toString()
     assert ids(ranges.load_range_paths(spark, base, MS - 2 * day, MS + 30 * day)) == list(range(3, 36))
-    assert ids(ranges.load_last_days(spark, base, dt.date(2017, 8, 6), 3)) == [3, 4, 5]
-    assert ids(spark.read.parquet(base).filter(ranges.in_months(dt.date(2017, 8, 6), 0))) == list(range(0, 31))
+    assert ids(ranges.load_last_days(spark, base, dt.date(2019, 3, 4), 3)) == [3, 4, 5]
+    assert ids(spark.read.parquet(base).filter(ranges.in_months(dt.date(2019, 3, 4), 0))) == list(range(2, 33))
     with pytest.raises(ranges.NoDataError):
         ranges.load_range_paths(spark, base, 0, day)
     files.save_partitioned(df, str(tmp_path / "csv"), 1, by_day, fmt="csv")
@@ -141,19 +141,19 @@ def test_partitioned_append_and_range_reads(spark, tmp_path):
 
 
 def test_text_range_in_plain_folders(spark, tmp_path):
-    line = "{}|176|0|7|2|1|2017-08-06T01:44:47|278|21.5||1|2017-08-06T11:21:00\n"
-    for d in (5, 6, 8):
-        write(tmp_path / f"2017/08/0{d}/f", line.format(d))
+    line = "{}|176|0|7|2|1|2019-03-04T05:06:07|900|3.25||1|2019-03-04T11:21:00\n"
+    for d in (3, 4, 6):
+        write(tmp_path / f"2019/03/0{d}/f", line.format(d))
     df = ranges.load_range_text(spark, "signals", str(tmp_path), MS, MS + 2 * 24 * 3600 * 1000, "|")
-    assert sorted(r.customerId for r in df.collect()) == [6, 8]
+    assert sorted(r.customerId for r in df.collect()) == [4, 6]
 
 
 def test_date_columns(spark):
-    df = spark.createDataFrame([("2017-08-06T01:44:47",)], "iso string")
+    df = spark.createDataFrame([("2019-03-04T05:06:07",)], "iso string")
     names, parts = partitioning.partition_by_date(df, "iso")
-    assert names == ["yy", "mm", "dd"] and tuple(parts.first())[1:] == ("2017", "08", "06")
+    assert names == ["yy", "mm", "dd"] and tuple(parts.first())[1:] == ("2019", "03", "04")
     parts = partitioning.add_date_parts(df, "iso", ["mn", "hh", "yy"], "yyyy-MM-dd'T'HH:mm:ss")
-    assert parts.columns == ["iso", "mn", "hh", "yy"] and tuple(parts.first())[1:] == ("44", "01", "2017")
+    assert parts.columns == ["iso", "mn", "hh", "yy"] and tuple(parts.first())[1:] == ("06", "05", "2019")
 
 
 def test_time_slices(spark, as_rows):
@@ -171,9 +171,9 @@ def test_time_slices(spark, as_rows):
 XML = """<?xml version="1.0" encoding="utf-8"?>
 <Export Batch="1"><Header><Format>X</Format></Header>
  <Promotion Seq="1" TransactionType="Add">
-  <PromotionOverview><PromotionID>P1</PromotionID><StartDate>27/01/2020</StartDate><EndDate>16/07/2020</EndDate>
-   <PromotionLongDescription>Save &amp;half on
-   protectors </PromotionLongDescription><BadgeRef></BadgeRef></PromotionOverview>
+  <PromotionOverview><PromotionID>P1</PromotionID><StartDate>03/02/2021</StartDate><EndDate>04/05/2021</EndDate>
+   <PromotionLongDescription>Less &amp;more on
+   lamps </PromotionLongDescription><BadgeRef></BadgeRef></PromotionOverview>
   <ProductSets>
    <ProductSet Seq="1"><ProductSetID>1</ProductSetID><LowerBuyQuantity>1</LowerBuyQuantity><UpperBuyQuantity></UpperBuyQuantity>
     <GetQuantity>1</GetQuantity><RewardOption>No Discount</RewardOption><RewardValue></RewardValue>
@@ -192,8 +192,8 @@ XML = """<?xml version="1.0" encoding="utf-8"?>
 def test_promotion_xml(spark, tmp_path):
     docs = promotions_xml.load_promotions_xml(spark, write(tmp_path / "p.xml", XML))
     row = docs.first()
-    assert docs.count() == 1 and row.promoId == "P1" and row.description.startswith("Save &half on")
-    assert (row.startDate, row.endDate) == (dt.datetime(2020, 1, 27), dt.datetime(2020, 7, 16))
+    assert docs.count() == 1 and row.promoId == "P1" and row.description.startswith("Less &more on")
+    assert (row.startDate, row.endDate) == (dt.datetime(2021, 2, 3), dt.datetime(2021, 5, 4))
     assert [tuple(s) for s in row.productSets] == [
         (1, 1, "No Discount", None, ["100", "101"]), (1, None, "Percentage Off", 50.0, ["200"])]
     assert tuple(row.basket) == (None, None)
@@ -205,27 +205,27 @@ def test_existing_promotions(spark, tmp_path):
     path = write(tmp_path / "e.json", json.dumps([{
         "lastUpdated": 1, "stackingRules": {"stackingRule": {"type": "Combines"}, "promotionPriority": 0},
         "descriptor": {"id": "u", "name": "n", "description": "d", "expression": "e"},
-        "dateRange": {"from": "2018-12-01T13:12:28.003Z", "to": "2019-12-03T13:12:28.002Z"},
+        "dateRange": {"from": "2018-11-02T03:04:05.003Z", "to": "2019-11-02T03:04:05.002Z"},
         "promotionExpression": {"type": "OrderLevelPromotion", "x": {"y": 1}}, "created": 2}]))
     row = promotions_xml.load_existing_promotions(spark, path).first()
     assert (row.name, row.stackingRule, row.priority, row.created) == ("n", "Combines", 0, 2)
     assert json.loads(row.promotionExpression)["type"] == "OrderLevelPromotion"
-    assert row.startDate == dt.datetime(2018, 12, 1, 13, 12, 28, 3000)
+    assert row.startDate == dt.datetime(2018, 11, 2, 3, 4, 5, 3000)
 
 
 def test_pointer_file(spark, tmp_path):
-    base = {"modelName": "defaultmf", "modelType": "unittests", "sliceStart": "2017-03-24T14:30:20"}
+    base = {"modelName": "factors", "modelType": "nightly", "sliceStart": "2019-03-04T15:16:17"}
     assert pointer.pointer_file(base) == (
-        "/defaultmf/pointer_20170324_143020.tsv", "defaultmf\tunittests\tall\tall\tall\t5")
-    full = {**base, "store": "COM", "origin": "bag", "mvt": "mvt4", "retentionDays": "10"}
-    assert pointer.pointer_file(full).content == "defaultmf\tunittests\tCOM\tbag\tmvt4\t10"
+        "/factors/pointer_20190304_151617.tsv", "factors\tnightly\tall\tall\tall\t5")
+    full = {**base, "store": "UK", "origin": "app", "mvt": "v2", "retentionDays": "10"}
+    assert pointer.pointer_file(full).content == "factors\tnightly\tUK\tapp\tv2\t10"
     assert (pointer.path_name("*"), pointer.path_name("uk")) == ("all", "uk")
     pointer.run(spark, {**base, "basePath": str(tmp_path)})
-    assert spark.read.text(str(tmp_path / "defaultmf" / "*")).first().value == "defaultmf\tunittests\tall\tall\tall\t5"
+    assert spark.read.text(str(tmp_path / "factors" / "*")).first().value == "factors\tnightly\tall\tall\tall\t5"
 
 
 def test_job_arguments(spark):
-    assert runner.named_args(["a=1", "path=x/yy=2017", "flag"]) == {"a": "1", "path": "x/yy=2017"}
+    assert runner.named_args(["a=1", "path=x/yy=2019", "flag"]) == {"a": "1", "path": "x/yy=2019"}
     seen = []
     runner.run_job(lambda s, a: seen.append(a), ["a=1"], stop=False)
     assert seen == [{"a": "1"}]

@@ -10,21 +10,21 @@ import pytest
 from shelfwise.plans import (
     compute_factors, convert_csv, export_base64, export_text, filterable_signals, ingest_promotions)
 from shelfwise.sinks import files
-from shelfwise.sources import feeds
+from shelfwise.sources import exports, feeds
 from test_files import SCHEMA, XML, write
 
-TODAY = dt.date(2017, 8, 6)
+TODAY = dt.date(2019, 3, 4)
 RANK, ITEMS, PEOPLE = 16, 40, 60
 UNFLAGGED, OLD, NO_STOCK, EXCLUDED = {3, 7}, {11, 12}, {20}, {21}
 
 
-def signal(customer, product, source, date="2017-08-06T01:44:47.030000000"):
-    return f"{customer}|{product}|0|7|{source}|1|{date}|278|21.5||1|2017-08-06T11:21:00"
+def signal(customer, product, source, date="2019-03-04T05:06:07.030000000"):
+    return f"{customer}|{product}|0|7|{source}|1|{date}|900|3.25||1|2019-03-04T11:21:00"
 
 
 def product(i):
     on_site = TODAY - dt.timedelta(days=546 if i in OLD else 545)
-    cells = {"productId": i, "dateOnSite": f"{on_site}T00:00:00", "dateModified": "2017-08-01T00:00:00",
+    cells = {"productId": i, "dateOnSite": f"{on_site}T00:00:00", "dateModified": "2019-03-01T00:00:00",
              "stockLevel": 0 if i in NO_STOCK else 5, "isExcluded": int(i in EXCLUDED)}
     return "|".join(str(cells.get(f.name, "1")) for f in feeds.FEEDS["product"].schema)
 
@@ -32,7 +32,7 @@ def product(i):
 @pytest.fixture(scope="module")
 def retail(tmp_path_factory):
     base = tmp_path_factory.mktemp("retail")
-    people = [f"{i}\t{i:032X}\t{'FM'[i % 2]}\tUK\t2005-11-17T09:30:32.000Z\t2006-06-21T02:59:59.000Z\t1979\t0"
+    people = [f"{i}\t{i:032X}\t{'FM'[i % 2]}\tUK\t2011-02-03T04:05:06.000Z\t2012-02-03T04:05:06.000Z\t1979\t0"
               for i in range(PEOPLE)]
     rng = np.random.default_rng(1)
     lines = [signal(c, p, 1 + c % 2) for c in range(PEOPLE) for p in rng.choice(ITEMS, 12, replace=False)]
@@ -40,15 +40,15 @@ def retail(tmp_path_factory):
     write(base / "customers/c.csv", "\n".join(people + ["bad line"]) + "\n")
     write(base / "products/p.csv", "\n".join([product(i) for i in range(ITEMS)] + ["x|y"]) + "\n")
     write(base / "flags/f.tsv", "".join(f"{i}\t{int(i not in UNFLAGGED)}\n" for i in range(ITEMS)))
-    write(base / "signals/receipts/yy=2017/mm=07/dd=06/a.csv", "\n".join(lines[:300]) + "\n")
-    write(base / "signals/receipts/yy=2017/mm=08/dd=06/a.csv", "\n".join(lines[300:]) + "\n")
-    write(base / "signals/receipts/yy=2017/mm=05/dd=06/a.csv", signal(1, 39, 1) + "\n")
+    write(base / "signals/receipts/yy=2019/mm=02/dd=04/a.csv", "\n".join(lines[:300]) + "\n")
+    write(base / "signals/receipts/yy=2019/mm=03/dd=04/a.csv", "\n".join(lines[300:]) + "\n")
+    write(base / "signals/receipts/yy=2018/mm=12/dd=04/a.csv", signal(1, 39, 1) + "\n")
     return base
 
 
 def train_args(base, out, **changes):
     return {
-        "todaysDate": "2017-08-06", "signalMonths": "1", "maxDaysOnSite": "545", "rank": str(RANK), "numIterations": "2",
+        "todaysDate": "2019-03-04", "signalMonths": "1", "maxDaysOnSite": "545", "rank": str(RANK), "numIterations": "2",
         "alpha": "400", "lambda": "0.1", "numRecs": "10", "useExistingModel": "false", "blocks": "2",
         "customerPath": f"{base}/customers", "productPath": f"{base}/products", "isRecommendedPath": f"{base}/flags",
         "signalsPath": f"{base}/signals/*/", "prodSimPath": f"{out}/prodSim", "prodFactorsPath": f"{out}/prodFactors",
@@ -114,6 +114,11 @@ def test_base64_exports_hold_the_stored_values(spark, retail, trained, tmp_path)
         pairs = np.frombuffer(base64.b64decode(data), np.dtype([("id", ">i4"), ("score", ">f4")]))
         assert {(int(a), float(b)) for a, b in pairs} == scores[i]
         assert all(np.diff(pairs["score"].astype(float)) <= 0)
+    assert exports.load_similarities(spark, f"{tmp_path}/s").count() == sum(len(v) for v in scores.values())
+    assert {r.guid: r.factors for r in exports.load_user_vectors(spark, f"{tmp_path}/u").collect()} == stored
+    read = exports.load_item_vectors(spark, f"{tmp_path}/p").filter("gender = 'F'").select("id", "factors")
+    assert sorted(map(tuple, read.collect())) == sorted(
+        map(tuple, spark.read.parquet(f"{trained}/prodFactors/female").collect()))
 
 
 def test_text_exports_are_optional(spark, trained, tmp_path):
@@ -127,44 +132,44 @@ def test_text_exports_are_optional(spark, trained, tmp_path):
 
 
 def test_filterable_signals(spark, retail, tmp_path):
-    rows = [signal(1, 10, 5, "2015-12-11T09:46:43"), signal(1, 10, 5, "2015-12-12T09:46:43"), "",
-            signal(1, 10, 6, "2017-12-11T09:46:43"), signal(1, 11, 1, "2016-01-01T12:43:56"), signal(2, 10, 6, "2017-09-09T07:10:08"),
-            signal(777, 10, 1, "2017-09-09T07:10:08")]
+    rows = [signal(1, 10, 5, "2016-05-06T07:08:09"), signal(1, 10, 5, "2016-05-07T07:08:09"), "",
+            signal(1, 10, 6, "2018-05-06T07:08:09"), signal(1, 11, 1, "2016-07-08T09:10:11"), signal(2, 10, 6, "2018-09-10T11:12:13"),
+            signal(777, 10, 1, "2018-09-10T11:12:13")]
     files.save(feeds.load_text(spark, "signals", write(tmp_path / "s", "\n".join(rows) + "\n"), "|"), f"{tmp_path}/sp", 1)
     files.save(feeds.load_text(spark, "customer", f"{retail}/customers/c.csv", "\t", {"mode": "DROPMALFORMED"}), f"{tmp_path}/cp", 1)
     filterable_signals.run(spark, {"signalsPath": f"{tmp_path}/sp", "customersPath": f"{tmp_path}/cp",
                                    "csvOutputPath": f"{tmp_path}/out"})
     got = sorted(r.value for r in spark.read.text(f"{tmp_path}/out").collect())
     one, two = f"{1:032X}", f"{2:032X}"
-    assert got == [f"{one}\t10\t5\t2015-12-12T09:46:43", f"{one}\t11\t1\t2016-01-01T12:43:56",
-                   f"{two}\t10\t6\t2017-09-09T07:10:08"]
+    assert got == [f"{one}\t10\t5\t2016-05-07T07:08:09", f"{one}\t11\t1\t2016-07-08T09:10:11",
+                   f"{two}\t10\t6\t2018-09-10T11:12:13"]
 
 
 def test_csv_conversion_job(spark, tmp_path):
     write(tmp_path / "schema.json", json.dumps({"schemaDefinition": SCHEMA}))
-    write(tmp_path / "in.csv", "id,email,day,n\n1,a@b,06/08/2017,2.5\n")
+    write(tmp_path / "in.csv", "id,email,day,n\n1,a@b,04/03/2019,2.5\n")
     args = {"csvPath": f"{tmp_path}/in.csv", "parquetPath": f"{tmp_path}/out", "schemaPath": f"{tmp_path}/schema.json"}
     convert_csv.run(spark, args)
     convert_csv.run(spark, {**args, "mode": "append"})
     assert spark.read.parquet(f"{tmp_path}/out").count() == 2
-    assert (tmp_path / "out/yy=2017/mm=08").exists()
+    assert (tmp_path / "out/yy=2019/mm=03").exists()
 
 
 def test_promotion_ingest(spark, tmp_path):
     long_list = "".join(f"<ProductCode>{i:03d}</ProductCode>" for i in range(12))
     first = XML.replace("<GetQuantity></GetQuantity>", "<GetQuantity>1</GetQuantity>")
     second = (first.replace("P1", "P2").replace("<ProductCode Seq=\"1\">200</ProductCode>", long_list)
-              .replace("16/07/2020", "28/01/2020"))
-    third = first.replace("P1", "P3").replace("Save &amp;half on", "Known")
+              .replace("04/05/2021", "04/02/2021"))
+    third = first.replace("P1", "P3").replace("Less &amp;more on", "Known")
     for i, text in enumerate((first, second, third)):
         write(tmp_path / f"xml/{i}.xml", text)
     known = {"descriptor": {"name": "other", "description": "x", "expression":
                             "GET * 50.0% OFF 1 IN Product(200) IF 1 IN Product(100 101)"},
-             "dateRange": {"from": "2020-01-27T00:00:00Z", "to": "2021-07-16T00:00:00Z"}}
+             "dateRange": {"from": "2021-02-03T00:00:00Z", "to": "2022-05-04T00:00:00Z"}}
     write(tmp_path / "existing.json", json.dumps([known]))
     write(tmp_path / "segments.json", json.dumps({"descriptor": {"name": "P2_one"}, "items": [{"sku": "000"}, {"sku": "old"}]}))
     args = {"promotionsPath": f"{tmp_path}/xml", "existingPromotionsPath": f"{tmp_path}/existing.json",
-            "existingSegmentsPath": f"{tmp_path}/segments.json", "outputPath": f"{tmp_path}/out", "asOf": "2020-01-28"}
+            "existingSegmentsPath": f"{tmp_path}/segments.json", "outputPath": f"{tmp_path}/out", "asOf": "2021-02-04"}
     ingest_promotions.run(spark, args)
     read = lambda name: spark.read.parquet(f"{tmp_path}/out/{name}")
     assert {r.name: r.expression for r in read("promotions").collect()} == {
@@ -174,7 +179,7 @@ def test_promotion_ingest(spark, tmp_path):
     assert {(r.segment, r.sku, r.action) for r in read("changes").collect()} == {
         ("P2_one", f"{i:03d}", "add") for i in range(1, 12)} | {("P2_one", "old", "remove")}
     assert read("summary").first().asDict() == {"successes": 3, "failures": 0}
-    known["dateRange"]["to"] = "2020-07-16T00:00:00Z"
+    known["dateRange"]["to"] = "2021-05-04T00:00:00Z"
     write(tmp_path / "existing.json", json.dumps([known]))
-    ingest_promotions.run(spark, {**args, "asOf": "2020-01-29", "outputPath": f"{tmp_path}/out2"})
+    ingest_promotions.run(spark, {**args, "asOf": "2021-02-05", "outputPath": f"{tmp_path}/out2"})
     assert spark.read.parquet(f"{tmp_path}/out2/promotions").count() == 0

@@ -61,13 +61,13 @@ def test_many_equal_vectors_break_ties_by_id(spark, small_cells):
 
 def test_block_pruning_is_exact():
     rng = np.random.default_rng(9)
-    items = rng.normal(size=(500, 8)) * rng.lognormal(0, 3, size=(500, 1))
+    items = (rng.normal(size=(500, 8)) * rng.lognormal(0, 3, size=(500, 1))).astype(np.float32)
     norms = np.linalg.norm(items, axis=1)
     order = np.argsort(-norms)
-    queries = rng.normal(size=(50, 8))
+    queries = rng.normal(size=(50, 8)).astype(np.float32)
     ids, similar, _ = ranking.best_of_block(
         np.arange(50), queries, np.arange(500)[order], items[order], norms[order], 10)
-    exact = queries @ items.T
+    exact = queries.astype(float) @ items.T.astype(float)
     for i in range(50):
         assert set(similar[ids == i]) == set(np.argsort(-exact[i])[:10])
 
