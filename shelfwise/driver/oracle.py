@@ -253,8 +253,8 @@ def oracle_sql() -> dict[str, str]:
         "utc_millis_optional": _with(
             DATE_TEXTS,
             """SELECT o_orderkey,
-                      CASE kind WHEN 2 THEN epoch_ms(o_orderdate) + 250 WHEN 3 THEN epoch_ms(o_orderdate) END AS keepsMillis,
-                      CASE WHEN kind <= 3 THEN epoch_ms(o_orderdate) END AS wholeSeconds
+                      CASE kind WHEN 2 THEN epoch_ms(o_orderdate) + 250 WHEN 3 THEN epoch_ms(o_orderdate) ELSE -1 END AS keepsMillis,
+                      CASE WHEN kind <= 3 THEN epoch_ms(o_orderdate) ELSE -1 END AS wholeSeconds
                FROM date_texts"""),
         "utc_millis_strict": _with(
             DATE_TEXTS, "SELECT o_orderkey, epoch_ms(o_orderdate) AS millis FROM date_texts WHERE kind <= 3"),

@@ -146,9 +146,10 @@ def _date_texts(spark, sf):
 
 @query
 def utc_millis_optional(spark, sf):
+    known = lambda c: F.coalesce(c, F.lit(-1).cast("bigint"))
     return _date_texts(spark, sf).select(
-        "o_orderkey", times.utc_millis("text", "yyyy-MM-dd'T'HH:mm:ss.SSSX").alias("keepsMillis"),
-        times.utc_millis("text", ["yyyy-MM-dd'T'HH:mm:ss.SSS"]).alias("wholeSeconds"))
+        "o_orderkey", known(times.utc_millis("text", "yyyy-MM-dd'T'HH:mm:ss.SSSX")).alias("keepsMillis"),
+        known(times.utc_millis("text", ["yyyy-MM-dd'T'HH:mm:ss.SSS"])).alias("wholeSeconds"))
 
 
 @query
@@ -497,8 +498,8 @@ def promotion_kind(spark, sf):
 
 @query
 def ingest_summary(spark, sf):
-    done = promotions.normalise_promotions(_supported_flat(spark, sf))
-    return promotions.ingest_summary(promotions.active(done.promotions, F.to_timestamp(F.lit(AS_OF))), done.errors)
+    translated = promotions.translate(_supported_flat(spark, sf))
+    return promotions.ingest_summary(promotions.ingest_status(translated, F.to_timestamp(F.lit(AS_OF))))
 
 
 def registered() -> dict[str, Query]:

@@ -13,13 +13,16 @@ from ..session import ensure_checkpoint_dir
 
 @dataclass(frozen=True)
 class FactorParams:
-    """Settings of a training run. ``blocks`` is the number of user and item blocks."""
+    """Settings of a training run.
+
+    ``blocks`` is the number of user and of item blocks, by default one per core of the cluster.
+    """
 
     rank: int
     iterations: int
     regularisation: float
     alpha: float
-    blocks: int = 10
+    blocks: int | None = None
     seed: int = 42
 
 
@@ -29,10 +32,11 @@ def train(ratings: DataFrame, params: FactorParams) -> ALSModel:
     Long runs cut their lineage in the shared checkpoint folder of the session.
     """
     ensure_checkpoint_dir(ratings.sparkSession)
+    blocks = params.blocks or max(10, ratings.sparkSession.sparkContext.defaultParallelism)
     als = ALS(
         userCol="customerId", itemCol="productId", ratingCol="rating", implicitPrefs=True,
         rank=params.rank, maxIter=params.iterations, regParam=params.regularisation, alpha=params.alpha,
-        numUserBlocks=params.blocks, numItemBlocks=params.blocks, seed=params.seed, checkpointInterval=5,
+        numUserBlocks=blocks, numItemBlocks=blocks, seed=params.seed, checkpointInterval=5,
     )
     typed = ratings.select(
         F.col("customerId").cast("int").alias("customerId"), F.col("productId").cast("int").alias("productId"),

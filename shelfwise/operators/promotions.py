@@ -250,21 +250,36 @@ def expression_text(items: Column) -> Column:
     return F.array_join(F.transform(items, line), " AND ")
 
 
+def translate(flat: Flat) -> DataFrame:
+    """One row per promotion with its expression, or with what is wrong with it in ``errors``."""
+    operators = with_operators(with_segments(flat.sets, flat.products), flat.promotions)
+    folded = flat.promotions.join(fold_sets(operators), "promoId", "left")
+    items = with_basket_reward(F.col("items"), F.col("basketOption"), F.col("basketValue"))
+    errors = F.coalesce("errors", F.array(F.lit("no product sets")))
+    return folded.select(
+        "promoId", F.col("promoId").alias("name"), "description", expression_text(items).alias("expression"),
+        "startDate", "endDate", F.size(items).alias("lineItems"), errors.alias("errors"))
+
+
+def valid_promotions(translated: DataFrame) -> DataFrame:
+    """Translated promotions without errors."""
+    return translated.filter(F.size("errors") == 0).drop("errors")
+
+
+def translation_errors(translated: DataFrame) -> DataFrame:
+    """(promoId, message) rows of promotions that could not be translated."""
+    return translated.select("promoId", F.explode("errors").alias("message"))
+
+
 def normalise_promotions(flat: Flat) -> Normalised:
     """Promotion expressions, named segments and errors of flat promotions.
 
-    A promotion with any error gives error rows only.
+    A promotion with any error gives error rows only. A job that needs more than
+    one of the three should store the result of :func:`translate` in between.
     """
-    operators = with_operators(with_segments(flat.sets, flat.products), flat.promotions)
-    folded = flat.promotions.join(fold_sets(operators), "promoId", "left").withColumn(
-        "errors", F.coalesce("errors", F.array(F.lit("no product sets"))))
-    valid = F.size("errors") == 0
-    items = with_basket_reward(F.col("items"), F.col("basketOption"), F.col("basketValue"))
-    promotions = folded.filter(valid).select(
-        "promoId", F.col("promoId").alias("name"), "description", expression_text(items).alias("expression"),
-        "startDate", "endDate", F.size(items).alias("lineItems"))
-    errors = folded.filter(~valid).select("promoId", F.explode("errors").alias("message"))
-    return Normalised(promotions, named_segments(flat.sets, flat.products), errors)
+    translated = translate(flat)
+    return Normalised(valid_promotions(translated), named_segments(flat.sets, flat.products),
+                      translation_errors(translated))
 
 
 def named_segments(sets: DataFrame, products: DataFrame) -> DataFrame:
@@ -306,9 +321,14 @@ def leftmost_type(expression: Column | str, depth: int = 8) -> Column:
     return F.coalesce(*(F.get_json_object(expression, p) for p in paths))
 
 
-def ingest_summary(accepted: DataFrame, rejected: DataFrame) -> DataFrame:
+def ingest_status(translated: DataFrame, as_of: Column) -> DataFrame:
+    """Translated promotions as ``accepted``, ``rejected`` (with errors) or ``expired``."""
+    status = (F.when(F.size("errors") > 0, "rejected").when(F.col("endDate") >= as_of, "accepted")
+              .otherwise("expired"))
+    return translated.select("promoId", status.alias("status"))
+
+
+def ingest_summary(statuses: DataFrame) -> DataFrame:
     """Number of promotions accepted and rejected, in one row."""
-    tagged = accepted.select(F.lit(1).alias("ok")).unionAll(
-        rejected.select("promoId").distinct().select(F.lit(0).alias("ok")))
-    return tagged.agg(F.count_if(F.col("ok") == 1).alias("successes"),
-                      F.count_if(F.col("ok") == 0).alias("failures"))
+    return statuses.agg(F.count_if(F.col("status") == "accepted").alias("successes"),
+                        F.count_if(F.col("status") == "rejected").alias("failures"))

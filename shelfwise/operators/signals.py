@@ -37,7 +37,11 @@ def training_ratings(valid: DataFrame, customers: DataFrame, products: DataFrame
     """
     if recommendable_only:
         valid = valid.filter("useForRecs = 1")
-    ratings = signal_ratings(valid)
+    return keep_known(signal_ratings(valid), customers, products)
+
+
+def keep_known(ratings: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Ratings of the given customers for the given products."""
     return (ratings.join(products.select("productId"), "productId", "left_semi")
             .join(customers.select("customerId"), "customerId", "left_semi")
             .select("customerId", "productId", "rating"))

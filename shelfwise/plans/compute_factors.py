@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import make_path, month_globs
 from ..operators import factors, products, ranking, signals
-from ..sinks.files import save
+from ..sinks.files import release, save
 from ..sources import ranges, tolerant
 from .runner import need, run_job
 
@@ -51,15 +51,13 @@ def run(spark: SparkSession, args: dict[str, str]) -> None:
         "productId", "isExcluded", "daysOnSite", "stockLevel").persist()
     flagged = tolerant.recommendable_products(spark, need(args, "isRecommendedPath")[0])
     eligible = products.eligible_items(table, flagged, int(need(args, "maxDaysOnSite")[0])).persist()
-    valid = training_signals(spark, args, today)
+    rated = signals.signal_ratings(training_signals(spark, args, today)).persist()
     try:
         for cohort in cohorts:
             members = cohort_customers(spark, need(args, "customerPath")[0], cohort)
-            ratings = signals.training_ratings(valid, members, table)
-            write_outputs(ratings, eligible, args, cohort)
+            write_outputs(signals.keep_known(rated, members, table), eligible, args, cohort)
     finally:
-        table.unpersist()
-        eligible.unpersist()
+        release(table, eligible, rated)
 
 
 def write_outputs(ratings: DataFrame, eligible: DataFrame, args: dict[str, str], cohort: str | None) -> None:
@@ -79,7 +77,7 @@ def write_outputs(ratings: DataFrame, eligible: DataFrame, args: dict[str, str],
 def model_params(args: dict[str, str]) -> factors.FactorParams:
     rank, iterations, regularisation, alpha = need(args, "rank", "numIterations", "lambda", "alpha")
     return factors.FactorParams(int(rank), int(iterations), float(regularisation), float(alpha),
-                                blocks=int(args.get("blocks", "10")), seed=int(args.get("seed", "42")))
+                                blocks=int(args["blocks"]) if "blocks" in args else None, seed=int(args.get("seed", "42")))
 
 
 if __name__ == "__main__":

@@ -22,29 +22,43 @@ class Ingest(NamedTuple):
     summary: DataFrame
 
 
-def ingest(flat: Flat, existing: DataFrame, existing_segments: DataFrame, as_of: Column) -> Ingest:
-    """Supported promotions that are new and not over, and the changes their segments need.
+def translate_supported(flat: Flat) -> DataFrame:
+    """Translation of the promotions that have a reward of their own.
 
-    ``existing`` has the columns of a stored promotion, ``existing_segments``
-    (segment, sku). Stacking rules of new promotions are the given defaults.
+    Stacking rules and value order of new promotions are unset.
     """
     kept = promotions.supported(flat.promotions, flat.sets)
-    done = promotions.normalise_promotions(flat._replace(promotions=kept))
-    shaped = done.promotions.withColumns({
+    return promotions.translate(flat._replace(promotions=kept)).withColumns({
         "stackingRule": F.lit(None).cast("string"), "priority": F.lit(None).cast("int"),
         "valueOrder": F.lit(None).cast("string")})
-    accepted = promotions.active(promotions.new_promotions(shaped, existing), as_of)
-    wanted = salted_join(done.segments, accepted.select("promoId"), ["promoId"], "sku", "left_semi")
-    changes = segments.segment_changes(wanted, existing_segments)
-    return Ingest(accepted, changes, done.errors, promotions.ingest_summary(accepted, done.errors))
+
+
+def ingest(translated: DataFrame, flat: Flat, existing: DataFrame, existing_segments: DataFrame,
+           as_of: Column) -> Ingest:
+    """Promotions that are new and not over, the changes their segments need, and what was wrong.
+
+    ``existing`` has the columns of a stored promotion, ``existing_segments``
+    (segment, sku).
+    """
+    valid = promotions.valid_promotions(translated)
+    accepted = promotions.active(promotions.new_promotions(valid, existing), as_of)
+    errors = promotions.translation_errors(translated)
+    named = promotions.named_segments(flat.sets, flat.products)
+    wanted = salted_join(named, accepted.select("promoId"), ["promoId"], "sku", "left_semi")
+    status = lambda df, name: df.select("promoId").distinct().withColumn("status", F.lit(name))
+    summary = promotions.ingest_summary(status(accepted, "accepted").unionAll(status(errors, "rejected")))
+    return Ingest(accepted, segments.segment_changes(wanted, existing_segments), errors, summary)
 
 
 def run(spark: SparkSession, args: dict[str, str]) -> None:
     source, existing_path, segments_path, target = need(
         args, "promotionsPath", "existingPromotionsPath", "existingSegmentsPath", "outputPath")
     flat = promotions.flatten_promotions(load_promotions_xml(spark, source))
+    # Stored, since all four outputs start from it.
+    translated_path = make_path(target, "translated")
+    translate_supported(flat).write.mode("overwrite").parquet(translated_path)
     as_of = F.to_timestamp(F.lit(args["asOf"])) if "asOf" in args else F.current_timestamp()
-    done = ingest(flat, load_existing_promotions(spark, existing_path),
+    done = ingest(spark.read.parquet(translated_path), flat, load_existing_promotions(spark, existing_path),
                   segments.segment_rows(spark.read.schema(SEGMENT).json(segments_path)), as_of)
     for name, df in done._asdict().items():
         df.write.mode("overwrite").parquet(make_path(target, name))
