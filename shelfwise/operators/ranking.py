@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import lookup_join
+
 CELL_QUERIES = 16_384
 CELL_CANDIDATES = 65_536
 QUERY_BLOCK = 256
@@ -336,6 +338,7 @@ def user_top_brands(top: DataFrame, brands: DataFrame, k: int = 20) -> DataFrame
     ``top`` has (id, similarId), ``brands`` has (productId, brand); products
     without a brand are dropped. Equal counts are ordered by brand.
     """
-    branded = top.join(brands.select(F.col("productId").alias("similarId"), "brand"), "similarId")
-    counts = branded.filter("brand is not null").groupBy("id", "brand").agg(F.count("*").alias("products"))
+    known = brands.select(F.col("productId").alias("similarId"), "brand").filter("brand is not null")
+    branded = lookup_join(top, known, ["similarId"], "id")
+    counts = branded.groupBy("id", "brand").agg(F.count("*").alias("products"))
     return top_k(counts, ["id"], [F.desc("products"), F.asc("brand")], k)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import millis_to_text
+from .joins import lookup_join
 
 
 def rating_of(source: Column | str) -> Column:
@@ -42,9 +43,9 @@ def training_ratings(valid: DataFrame, customers: DataFrame, products: DataFrame
 
 def keep_known(ratings: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Ratings of the given customers for the given products."""
-    return (ratings.join(products.select("productId"), "productId", "left_semi")
-            .join(customers.select("customerId"), "customerId", "left_semi")
-            .select("customerId", "productId", "rating"))
+    known = lookup_join(ratings, products.select("productId"), ["productId"], "customerId", "left_semi")
+    kept = lookup_join(known, customers.select("customerId"), ["customerId"], "productId", "left_semi")
+    return kept.select("customerId", "productId", "rating")
 
 
 def _best() -> Column:
@@ -64,8 +65,8 @@ def latest_per_source(signals: DataFrame) -> DataFrame:
 def with_guid(signals: DataFrame, customers: DataFrame) -> DataFrame:
     """Signals with the external id of their customer; signals of unknown customers are dropped."""
     facts = signals.select("customerId", "productId", "sourceId", "signalDate")
-    return facts.join(customers.select("customerId", "guid"), "customerId").select(
-        "customerId", "guid", "productId", "sourceId", "signalDate")
+    joined = lookup_join(facts, customers.select("customerId", "guid"), ["customerId"], "productId")
+    return joined.select("customerId", "guid", "productId", "sourceId", "signalDate")
 
 
 def prioritise(signals: DataFrame) -> DataFrame:

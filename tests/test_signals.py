@@ -1,4 +1,4 @@
-from shelfwise.operators import products, signals
+from shelfwise.operators import joins, products, signals
 from shelfwise.sources import tolerant
 
 GUID = "customerId int, guid string, productId int, sourceId int, signalDate bigint"
@@ -51,6 +51,19 @@ def test_priority_signals_equal_the_direct_rule(spark, as_rows):
     assert as_rows(signals.priority_signals(facts, people)) == as_rows(direct)
 
 
+def test_lookups_beyond_the_broadcast_limit_are_the_same(spark, as_rows, monkeypatch):
+    """One customer holds a third of all signals; the salted join gives what the broadcast gives."""
+    facts = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 1, id % 40) as customerId", "id % 100 as productId", "cast(id % 8 as int) as sourceId", "id as signalDate")
+    people = spark.range(30).selectExpr("id as customerId", "concat('g', id) as guid")
+    items = spark.range(90).selectExpr("id as productId")
+    run = lambda: (as_rows(signals.priority_signals(facts, people)),
+                   as_rows(signals.training_ratings(signals.valid_signals(facts), people, items)))
+    small = run()
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
+    assert run() == small and len(small[0]) > 100
+
+
 def test_training_ratings(spark, as_rows):
     facts = spark.createDataFrame(
         [(1, 10, 7, "d", 0), (1, 10, 1, "d", 1), (1, 11, 2, "d", 1), (2, 10, 2, "d", 1), (1, 99, 1, "d", 1), (1, 10, 10, "d", 1)],
