@@ -269,7 +269,7 @@ def similar_items(spark, sf):
 
 def _user_top(spark, sf):
     items = views.item_vectors(spark, sf).select("id", "factors")
-    sizes = views.table(spark, sf, "customer").count(), items.count()
+    sizes = ranking.Sizes(views.table(spark, sf, "customer").count(), items.count(), views.VECTOR_RANK)
     return ranking.top_items(views.user_vectors(spark, sf), items, 20, sizes)
 
 

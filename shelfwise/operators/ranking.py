@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 
 from .joins import lookup_join
 
-CELL_QUERIES = 16_384
-CELL_CANDIDATES = 65_536
+CELL_BYTES = 64 << 20
 QUERY_BLOCK = 256
 CANDIDATE_BLOCK = 8_192
 PAIR_BLOCK = 4_096
@@ -34,6 +33,9 @@ GROUP_ROWS = 16_384
 GROUPS_PER_TASK = 4
 
 MIN_PAIRS = 1 << 22
+TASK_PAIRS = 1 << 30
+# Traffic that one merged row stands for, its sorting included.
+RESULT_BYTES = 96
 MAX_BROADCAST_CELLS = 500_000
 
 SCORES = "id bigint, similarId bigint, score double"
@@ -47,8 +49,16 @@ def _typed_vector() -> list[Column]:
     return [F.col("id").cast("bigint").alias("id"), F.col("factors").cast("array<float>").alias("factors")]
 
 
+class Sizes(NamedTuple):
+    """Number of query vectors, of candidate vectors, and of dimensions."""
+
+    queries: int
+    candidates: int
+    rank: int
+
+
 def similar_items(factors: DataFrame, candidates: DataFrame, k: int = 100,
-                  sizes: tuple[int, int] | None = None) -> DataFrame:
+                  sizes: Sizes | None = None) -> DataFrame:
     """The k best candidates of every item, without the item itself and without scores of 0 or less.
 
     Both are removed after the best k are chosen, so lists can be shorter than k.
@@ -59,31 +69,53 @@ def similar_items(factors: DataFrame, candidates: DataFrame, k: int = 100,
 
 
 def top_items(queries: DataFrame, candidates: DataFrame, k: int = 20,
-              sizes: tuple[int, int] | None = None) -> DataFrame:
+              sizes: Sizes | None = None) -> DataFrame:
     """The k candidates with the highest dot product for every query: (id, similarId, score).
 
-    Ids are unique on each side. ``sizes`` are the row counts of both sides, or
-    near guesses; they decide how the work is cut and are counted when not given.
+    Ids are unique on each side. ``sizes`` may be near guesses; they decide how
+    the work is cut and are counted when not given.
     """
-    nq, nc = sizes or _row_counts(queries, candidates)
-    rows, columns = _grid_shape(nq, nc, queries.sparkSession.sparkContext.defaultParallelism)
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    rows, columns = _grid_shape(sizes or _sizes(queries, candidates), k, cores)
     grid = [F.lit(rows).alias("q"), F.lit(columns).alias("c")]
     one_cell = [F.lit(0).alias("cell"), *_typed_vector(), *grid]
     scored = _score_cells(queries.select(*one_cell), candidates.select(*one_cell), k, Layout(0, rows * columns))
     return scored if columns == 1 else top_k(scored, ["id"], _best_first(), k)
 
 
-def _row_counts(queries: DataFrame, candidates: DataFrame) -> tuple[int, int]:
-    """Row counts of both sides, in one job."""
-    count = lambda df, side: df.agg(F.count("*").alias("n")).withColumn("side", F.lit(side))
-    counts = {r.side: r.n for r in count(queries, "q").union(count(candidates, "c")).collect()}
-    return counts["q"], counts["c"]
+def _sizes(queries: DataFrame, candidates: DataFrame) -> Sizes:
+    """Row counts of both sides and the length of their vectors, in one job."""
+    count = lambda df, side: df.agg(
+        F.count("*").alias("n"), F.max(F.size("factors")).alias("rank")).withColumn("side", F.lit(side))
+    sides = {r.side: r for r in count(queries, "q").union(count(candidates, "c")).collect()}
+    return Sizes(sides["q"].n, sides["c"].n, max(sides["q"].rank or 1, sides["c"].rank or 1))
+
+
+def _cell_side(rank: int) -> int:
+    """Most vectors that one side of a cell holds."""
+    return max(1, CELL_BYTES // (4 * rank))
+
 
+def _grid_shape(sizes: Sizes, k: int, cores: int) -> tuple[int, int]:
+    """Rows and columns of the grid: bounded cells, work for every core when there is enough, little traffic.
 
-def _grid_shape(nq: int, nc: int, cores: int) -> tuple[int, int]:
-    """Rows and columns of the grid: bounded cells, and work for every core when there is enough."""
-    rows, columns = math.ceil(nq / CELL_QUERIES) or 1, math.ceil(nc / CELL_CANDIDATES) or 1
-    return max(rows, min(cores, nq * nc // MIN_PAIRS)), columns
+    Every column repeats the queries, and more than one column means merging
+    their lists; every row repeats the candidates.
+    """
+    nq, nc, rank = sizes
+    side = _cell_side(rank)
+    rows, columns = math.ceil(nq / side) or 1, math.ceil(nc / side) or 1
+    cells = max(rows * columns, min(2 * cores, nq * nc // MIN_PAIRS))
+
+    def shape(c: int) -> tuple[int, int]:
+        return max(rows, math.ceil(cells / c)), c
+
+    def traffic(grid: tuple[int, int]) -> int:
+        merged = nq * grid[1] * k * RESULT_BYTES if grid[1] > 1 else 0
+        return 4 * rank * (nq * grid[1] + nc * grid[0]) + merged
+
+    doublings = range(max(1, (cells // columns).bit_length()))
+    return min((shape(columns << i) for i in doublings), key=traffic)
 
 
 def approx_top_items(queries: DataFrame, candidates: DataFrame, k: int = 20, trees: int = 20,
@@ -104,7 +136,7 @@ def approx_top_items(queries: DataFrame, candidates: DataFrame, k: int = 20, tre
         _leaf_assigner(planes, offsets, vectors=False), "cell bigint")
     leaves = lambda df: df.select(*_typed_vector()).mapInArrow(
         _leaf_assigner(planes, offsets, vectors=True), "cell bigint, id bigint, factors binary")
-    add_grid, layout = _plan_grid(cells(queries), cells(candidates))
+    add_grid, layout = _plan_grid(cells(queries), cells(candidates), _cell_side(len(mean)))
     scored = _score_cells(add_grid(leaves(queries)), add_grid(leaves(candidates)), k, layout)
     # A pair found in several trees has one score, so it takes one place of the k.
     ranked = scored.withColumn("rank", F.dense_rank().over(Window.partitionBy("id").orderBy(*_best_first())))
@@ -187,16 +219,17 @@ def _score_cells(queries: DataFrame, candidates: DataFrame, k: int, layout: Layo
     return left.cogroup(right).applyInArrow(_group_scorer(k), SCORES)
 
 
-def _plan_grid(query_cells: DataFrame, candidate_cells: DataFrame) -> tuple[Callable[[DataFrame], DataFrame], Layout]:
+def _plan_grid(query_cells: DataFrame, candidate_cells: DataFrame,
+               side: int) -> tuple[Callable[[DataFrame], DataFrame], Layout]:
     """A function that adds the grid size of each row's cell, and the layout of all cells.
 
-    Only cells beyond the size limits need a grid, and there is at most one such
-    cell per ``CELL_QUERIES`` rows; they are broadcast after their number is checked.
+    Only cells with more than ``side`` vectors need a grid; they are few, and
+    are broadcast after their number is checked.
     """
     count = lambda df, name: df.groupBy("cell").agg(F.count("*").alias(name))
-    side = lambda n, limit: F.ceil(F.col(n) / limit).cast("bigint")
+    parts = lambda n: F.ceil(F.col(n) / side).cast("bigint")
     sizes = count(query_cells, "nq").join(count(candidate_cells, "nc"), "cell").select(
-        "cell", "nq", "nc", side("nq", CELL_QUERIES).alias("q"), side("nc", CELL_CANDIDATES).alias("c"))
+        "cell", "nq", "nc", parts("nq").alias("q"), parts("nc").alias("c"))
     large = (F.col("q") > 1) | (F.col("c") > 1)
     total = sizes.agg(
         F.count_if(large).alias("large"), F.count("*").alias("cells"), F.sum(F.col("nq") + F.col("nc")).alias("rows"),
@@ -205,7 +238,7 @@ def _plan_grid(query_cells: DataFrame, candidate_cells: DataFrame) -> tuple[Call
     mean = max(1, rows // max(1, total["cells"]))
     shift = max(0, int(math.log2(max(1, GROUP_ROWS // mean))))
     groups = math.ceil(rows / GROUP_ROWS)
-    work = math.ceil((total["pairs"] or 0) / (CELL_QUERIES * CELL_CANDIDATES))
+    work = math.ceil((total["pairs"] or 0) / TASK_PAIRS)
     layout = Layout(shift, max(work, math.ceil(groups / GROUPS_PER_TASK), min(cores, groups), 1))
     grid = sizes.filter(large).select("cell", "q", "c")
     if 0 < total["large"] <= MAX_BROADCAST_CELLS:
@@ -259,7 +292,7 @@ def _by_cell(rows: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 
 
 def _score_cell(query_ids: np.ndarray, queries: np.ndarray, item_ids: np.ndarray, items: np.ndarray, k: int) -> list[pa.Table]:
-    norms = np.linalg.norm(items.astype(np.float64), axis=1)
+    norms = _norms(items)
     falling = np.lexsort((item_ids, -norms))
     item_ids, items, norms = item_ids[falling], items[falling], norms[falling]
     return [
@@ -281,7 +314,7 @@ def best_of_block(query_ids: np.ndarray, queries: np.ndarray, item_ids: np.ndarr
     precision by adding up the dimensions in order. Scores do not depend on how
     the work was cut.
     """
-    query_norms = np.linalg.norm(queries.astype(np.float64), axis=1)
+    query_norms = _norms(queries)
     error = 4 * queries.shape[1] * np.finfo(np.float32).eps * query_norms
     floor = np.full(len(queries), -np.inf)
     rows, cols, scores = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
@@ -306,6 +339,10 @@ def best_of_block(query_ids: np.ndarray, queries: np.ndarray, item_ids: np.ndarr
     return query_ids[rows], item_ids[cols], scores
 
 
+def _norms(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.einsum("ij,ij->i", vectors, vectors, dtype=np.float64))
+
+
 def _dot_in_order(queries: np.ndarray, items: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
     """Dot products of row pairs in double precision, dimensions added up in order."""
     total = np.zeros(len(rows))

@@ -35,7 +35,8 @@ def lists(df):
 
 @pytest.fixture
 def small_cells(monkeypatch):
-    for name, value in dict(CELL_QUERIES=7, CELL_CANDIDATES=11, QUERY_BLOCK=3, CANDIDATE_BLOCK=4).items():
+    """Cells of a few vectors, and so grids of several rows and columns."""
+    for name, value in dict(CELL_BYTES=120, QUERY_BLOCK=3, CANDIDATE_BLOCK=4, GROUP_ROWS=40).items():
         monkeypatch.setattr(ranking, name, value)
 
 
@@ -52,6 +53,18 @@ def test_grid_of_cells_equals_brute_force(spark, small_cells):
     assert lists(ranking.top_items(frame(spark, q), frame(spark, c), 6)) == brute(q, c, 6)
 
 
+def test_grid_shapes():
+    shape = lambda nq, nc, cores: ranking._grid_shape(ranking.Sizes(nq, nc, 200), 100, cores)
+    side = ranking._cell_side(200)
+    assert shape(2000, 2000, 8) == (1, 1) and shape(0, 5, 8) == (1, 1)
+    assert shape(50_000, 50_000, 8) == (16, 1)          # work for all cores, nothing to merge
+    for nq, nc, cores in ((10**9, 10**7, 8000), (10**6, 10**6, 8000), (10**7, 1000, 8000)):
+        rows, columns = shape(nq, nc, cores)
+        assert rows * columns >= min(2 * cores, nq * nc // ranking.MIN_PAIRS)
+        assert nq / rows <= side and nc / columns <= side
+        assert nq * columns + nc * rows <= 8 * (nq * nc * rows * columns) ** 0.5 or columns == 1
+
+
 def test_many_equal_vectors_break_ties_by_id(spark, small_cells):
     c = np.ones((40, 3))
     c[30:] = 0
