@@ -33,19 +33,24 @@ def save_both(df: DataFrame, parquet_path: str, text_path: str, num_partitions:
 
 def save_partitioned(df: DataFrame, path: str, num_partitions: int, partitioner: Partitioner,
                      fmt: str = "parquet", delimiter: str = "|") -> None:
-    """Append to a folder partitioned by the columns the partitioner adds.
-
-    Rows are spread evenly rather than by partition value, so one very large
-    day does not end in one task.
-    """
+    """Append to a folder partitioned by the columns the partitioner adds."""
     columns, rows = partitioner(df)
-    writer = rows.repartition(num_partitions).write.mode("append").partitionBy(*columns)
+    writer = rebalanced(rows, columns, num_partitions).write.mode("append").partitionBy(*columns)
     if fmt == "csv":
         writer.options(sep=delimiter, header="false").csv(path)
     else:
         writer.format(fmt).save(path)
 
 
+def rebalanced(df: DataFrame, columns: list[str], num_partitions: int) -> DataFrame:
+    """Rows of a folder next to each other, so that a day is not written by every task.
+
+    Adaptive execution splits folders with very many rows over several tasks and
+    puts small ones together.
+    """
+    return df.hint("rebalance", num_partitions, *columns)
+
+
 def save_lines(lines: DataFrame, path: str, num_partitions: int) -> None:
     """A single text column as plain lines, without any quoting."""
     lines.coalesce(num_partitions).write.text(path)

@@ -140,6 +140,19 @@ def test_partitioned_append_and_range_reads(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "csv"), sep="|").count() == 40
 
 
+def test_a_hot_day_is_split_over_tasks(spark, tmp_path):
+    """Half of all rows are of one day; with small advisory sizes several tasks write it."""
+    df = spark.range(200_000).selectExpr("id", "if(id % 2 = 0, 0, id % 20) * 86400000 as at", "sha2(cast(id as string), 256) as s")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        files.save_partitioned(df, str(tmp_path / "d"), 8, lambda d: partitioning.partition_by_millis(d, "at"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    count = lambda day: len(list((tmp_path / f"d/yy=1970/mm=01/dd={day:02d}").glob("*.parquet")))
+    assert count(1) > 3 and min(count(d) for d in range(2, 21, 2)) <= 2
+    assert spark.read.parquet(str(tmp_path / "d")).count() == 200_000
+
+
 def test_text_range_in_plain_folders(spark, tmp_path):
     line = "{}|176|0|7|2|1|2019-03-04T05:06:07|900|3.25||1|2019-03-04T11:21:00\n"
     for d in (3, 4, 6):
