@@ -17,10 +17,9 @@ def segment_changes(new: DataFrame, existing: DataFrame) -> DataFrame:
     """
     tagged = new.select("segment", "sku", F.lit(1).alias("isNew")).unionByName(
         existing.select("segment", "sku", F.lit(0).alias("isNew")))
-    one_sided = (tagged.groupBy("segment", "sku")
-                 .agg(F.max("isNew").alias("isNew"), F.min("isNew").alias("least"))
-                 .filter("isNew = least").select("segment", "sku", "isNew"))
-    sides = tagged.groupBy("segment").agg(F.max("isNew").alias("anyNew"), F.min("isNew").alias("allNew"))
+    pairs = tagged.groupBy("segment", "sku").agg(F.max("isNew").alias("isNew"), F.min("isNew").alias("least"))
+    one_sided = pairs.filter("isNew = least").select("segment", "sku", "isNew")
+    sides = pairs.groupBy("segment").agg(F.max("isNew").alias("anyNew"), F.min("least").alias("allNew"))
     compared = salted_join(one_sided, sides.filter("anyNew = 1"), ["segment"], "sku")
     action = F.when(F.col("allNew") == 1, "create").when(F.col("isNew") == 1, "add").otherwise("remove")
     return compared.select("segment", "sku", action.alias("action"))

@@ -1,6 +1,6 @@
 """Train on recent signals and write similar products, product factors and user factors.
 
-    spark-submit -m shelfwise.plans.compute_factors todaysDate=2019-03-04 signalsPath=... ...
+    run.py compute_factors todaysDate=2019-03-04 signalsPath=... ...
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from ..functions.paths import make_path, month_globs
 from ..operators import factors, products, ranking, signals
 from ..sinks.files import release, save
 from ..sources import ranges, tolerant
-from .runner import need, run_job
+from .runner import need
 
 COHORTS = ("male", "female")
 
@@ -25,7 +25,8 @@ def training_signals(spark: SparkSession, args: dict[str, str], today: dt.date)
     globs = ranges.existing_paths(spark, month_globs(prefix, today, int(months)))
     if not globs:
         raise ranges.NoDataError(f"no signals under {prefix}")
-    return tolerant.parse_signals(tolerant.signal_lines(spark, globs))
+    valid = tolerant.parse_signals(tolerant.signal_lines(spark, globs))
+    return valid.filter("useForRecs = 1") if args.get("usableSignalsOnly", "false") == "true" else valid
 
 
 def product_table(spark: SparkSession, path: str, today: dt.date) -> DataFrame:
@@ -78,7 +79,3 @@ def model_params(args: dict[str, str]) -> factors.FactorParams:
     rank, iterations, regularisation, alpha = need(args, "rank", "numIterations", "lambda", "alpha")
     return factors.FactorParams(int(rank), int(iterations), float(regularisation), float(alpha),
                                 blocks=int(args["blocks"]) if "blocks" in args else None, seed=int(args.get("seed", "42")))
-
-
-if __name__ == "__main__":
-    run_job(run)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ..sources.csv_schema import CsvSchema, convert_to_parquet
-from .runner import need, run_job
+from .runner import need
 
 
 def run(spark: SparkSession, args: dict[str, str]) -> None:
@@ -13,7 +13,3 @@ def run(spark: SparkSession, args: dict[str, str]) -> None:
     document = spark.read.text(schema_path, wholetext=True).first()[0]
     convert_to_parquet(spark, source, target, CsvSchema.from_json(document),
                        int(args.get("partitions", "32")), args.get("mode", "errorifexists"))
-
-
-if __name__ == "__main__":
-    run_job(run)

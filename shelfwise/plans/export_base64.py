@@ -9,7 +9,7 @@ from ..operators import factors
 from ..sinks import files
 from ..sources.feeds import load_text
 from .compute_factors import COHORTS
-from .runner import need, run_job
+from .runner import need
 
 
 def read_cohorts(spark: SparkSession, base: str) -> dict[str, DataFrame]:
@@ -34,7 +34,3 @@ def run(spark: SparkSession, args: dict[str, str]) -> None:
 
     source, target = need(args, "productSimilarityInput", "productSimilarityOutput")
     files.save_lines(files.similarity_b64_lines(read_all(spark, source)), target, 64)
-
-
-if __name__ == "__main__":
-    run_job(run)

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from ..sinks import files
 from .export_base64 import read_all
-from .runner import need, run_job
+from .runner import need
 
 
 def run(spark: SparkSession, args: dict[str, str]) -> None:
@@ -19,7 +19,3 @@ def run(spark: SparkSession, args: dict[str, str]) -> None:
     if "productSimilarityOutput" in args:
         source, target = need(args, "productSimilarityInput", "productSimilarityOutput")
         files.save_text(files.similarity_table(read_all(spark, source)), target, "\t", 64)
-
-
-if __name__ == "__main__":
-    run_job(run)

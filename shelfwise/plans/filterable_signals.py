@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 from ..operators.signals import priority_signals
 from ..sinks.files import save_text
 from ..sources.feeds import load_parquet
-from .runner import need, run_job
+from .runner import need
 
 
 def run(spark: SparkSession, args: dict[str, str]) -> None:
@@ -15,7 +15,3 @@ def run(spark: SparkSession, args: dict[str, str]) -> None:
     best = priority_signals(load_parquet(spark, "signals", signals_path),
                             load_parquet(spark, "customer", customers_path))
     save_text(best, target, "\t", int(args.get("outputPartitions", "32")))
-
-
-if __name__ == "__main__":
-    run_job(run)

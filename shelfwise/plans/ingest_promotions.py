@@ -12,7 +12,7 @@ from ..operators import promotions, segments
 from ..operators.joins import salted_join
 from ..operators.promotions import Flat
 from ..sources.promotions_xml import load_existing_promotions, load_promotions_xml
-from .runner import need, run_job
+from .runner import need
 
 
 class Ingest(NamedTuple):
@@ -65,7 +65,3 @@ def run(spark: SparkSession, args: dict[str, str]) -> None:
 
 
 SEGMENT = "descriptor struct<name: string, description: string>, items array<struct<sku: string>>"
-
-
-if __name__ == "__main__":
-    run_job(run)

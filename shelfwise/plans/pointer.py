@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from ..errors import DataPublishError
 from ..functions.paths import make_path
-from .runner import need, run_job
+from .runner import need
 
 
 class PointerFile(NamedTuple):
@@ -40,7 +40,3 @@ def run(spark: SparkSession, args: dict[str, str]) -> None:
         line.coalesce(1).write.mode("overwrite").text(target)
     except PySparkException as error:
         raise DataPublishError(f"cannot write {target}") from error
-
-
-if __name__ == "__main__":
-    run_job(run)

@@ -20,14 +20,18 @@ def split_fields(lines: DataFrame, separator: str, fields: dict[str, int], colum
     return parts.select(F.inline(F.array(row)))
 
 
+# Positions of the fields that training reads.
+SIGNAL_FIELDS = {"customerId": 0, "productId": 1, "sourceId": 4, "signalDate": 6, "useForRecs": 10}
+
+
 def parse_signals(lines: DataFrame, column: str = "value") -> DataFrame:
-    """``|``-separated signal lines to valid (customerId, productId, sourceId, signalDate) rows.
+    """``|``-separated signal lines to valid (customerId, productId, sourceId, signalDate, useForRecs) rows.
 
-    Fields 0, 1, 4 and 6 are read. Rows whose ids or source are not numbers,
+    Fields 0, 1, 4, 6 and 10 are read. Rows whose ids or source are not numbers,
     whose source has no weight, or whose date is not ISO-8601 are dropped.
     """
-    fields = split_fields(lines, r"\|", {"customerId": 0, "productId": 1, "sourceId": 4, "signalDate": 6}, column)
-    rows = fields.withColumns({c: safe_int(c) for c in ("customerId", "productId", "sourceId")})
+    fields = split_fields(lines, r"\|", SIGNAL_FIELDS, column)
+    rows = fields.withColumns({c: safe_int(c) for c in SIGNAL_FIELDS if c != "signalDate"})
     return valid_signals(rows).filter(is_valid_date("signalDate"))
 
 

@@ -18,7 +18,7 @@ def test_parse_signals_drops_bad_lines(spark, as_rows):
     df = tolerant.parse_signals(lines(
         spark, good, "", "x|1|0|7|2|1|2019-03-04", "1|x|0|7|2|1|2019-03-04", "1|1|0|7|10|1|2019-03-04",
         "1|1|0|7|2|1|2019-99-04", "1|1|0", "-1|1|0|7|2|1|2019-03-04"))
-    assert as_rows(df, "customerId", "productId", "sourceId", "rating") == [(12, 345, 2, 2.0)]
+    assert as_rows(df, "customerId", "productId", "sourceId", "rating", "useForRecs") == [(12, 345, 2, 2.0, 1)]
 
 
 def test_parse_customers(spark, as_rows):
