@@ -16,7 +16,9 @@ def salted_join(rows: DataFrame, groups: DataFrame, keys: list[str], spread_by:
     The rows of a group are spread over ``salts`` tasks by the hash of another
     column, and the one row of the group is repeated for each of them.
     """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    # Never null, so Spark has no reason to push a null check on the hash down to the scan.
+    salt = F.coalesce(F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"), F.lit(0))
+    salted = rows.withColumn("_salt", salt)
     repeated = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
