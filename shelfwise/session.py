@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -32,7 +33,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="shelfwise-checkpoint-")
     sc.setCheckpointDir(folder)
