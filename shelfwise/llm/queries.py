@@ -11,6 +11,9 @@ import corpus_pipeline
 from shelfwise.llm.bpe import digest_documents
 from shelfwise.llm.common import table
 from shelfwise.llm.exact_dedup import exact_dedup
+from shelfwise.llm.pii import digests, find_pii
+from shelfwise.llm.quality import quality_scores
+from shelfwise.llm.toxicity import toxicity_scores
 from shelfwise.llm.url_filter import UrlRule, url_filter
 
 #: The rules of the contract.
@@ -28,6 +31,18 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(find_pii(table(spark, sf_dir, "documents")))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
