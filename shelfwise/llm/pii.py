@@ -268,6 +268,9 @@ def digests(found: DataFrame) -> DataFrame:
     def joined(spans: str):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
+    def number(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
-        "doc_id", *(F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS),
+        "doc_id", *map(number, KINDS),
         F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))

@@ -11,6 +11,7 @@ import corpus_pipeline
 from shelfwise.llm.bpe import digest_documents
 from shelfwise.llm.common import table
 from shelfwise.llm.exact_dedup import exact_dedup
+from shelfwise.llm.language_model import score_texts
 from shelfwise.llm.pii import digests, find_pii
 from shelfwise.llm.quality import quality_scores
 from shelfwise.llm.toxicity import toxicity_scores
@@ -39,6 +40,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
