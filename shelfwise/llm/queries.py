@@ -11,6 +11,7 @@ import corpus_pipeline
 from shelfwise.llm.bpe import digest_documents
 from shelfwise.llm.common import table
 from shelfwise.llm.exact_dedup import exact_dedup
+from shelfwise.llm.jaccard import jaccard_components
 from shelfwise.llm.language_model import score_texts
 from shelfwise.llm.pii import digests, find_pii
 from shelfwise.llm.quality import quality_scores
@@ -36,6 +37,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(find_pii(table(spark, sf_dir, "documents")))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -58,7 +63,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {"op1_url_filter": OP1, "op9_exact_dedup": OP9}
+    sql = {"op1_url_filter": OP1, "op5_jaccard_join": OP5, "op9_exact_dedup": OP9}
     return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
 
 
@@ -77,6 +82,28 @@ FROM parts LEFT JOIN rules
 GROUP BY page_id, host, path
 """
 
+OP5 = r"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM words)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * o >= 90 * (x.n + y.n - o)),
+both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, c) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT l.b, r.c FROM reach r JOIN both_ways l ON l.a = r.doc_id WHERE r.c < l.b)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(c) AS component_id
+FROM documents d JOIN reach r USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id
+"""
+
 OP9 = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
