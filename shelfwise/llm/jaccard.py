@@ -69,33 +69,48 @@ def class_ends(percent: int, limit: int) -> list[int]:
     return ends
 
 
-def signatures(own: np.ndarray, percent: int, ends: list[int]) -> np.ndarray:
-    """Hashes of which any two sets that qualify share one.
+def cuts(percent: int, limit: int) -> tuple[list[int], list[tuple[int, int]]]:
+    """Ends of the size classes, and for each class into how many parts its sets are cut and how many of them may be empty.
 
     Sets x and y with 100 |x & y| >= percent |x | y| differ in at most k = (100 - percent)(|x| + |y|) / (100 + percent)
-    shingles. Cut by hash range into k + 1 parts, they agree in a part. k is that of the largest pair of a class and
-    the next, so a set is cut for its class and for the class before. A part without shingles says little; it is told
-    apart by the parts of another cut, where a qualifying pair agrees in a part, too.
+    shingles; k is taken for the largest pair of a class and the next. Cut into k + 1 + e parts by hash range, they agree
+    in e + 1 parts or more. e is a little more than the number of parts that a set of the class leaves empty by chance.
+    """
+    ends, plans = class_ends(percent, limit), []
+    for least, end in zip([1, *(e + 1 for e in ends)], ends):
+        k = (100 - percent) * (end + end * 100 // percent) // (100 + percent)
+        spare = 0
+        for _ in range(3):
+            empty = (k + 1 + spare) * (1 - 1 / (k + 1 + spare)) ** least
+            spare = int(np.ceil(empty + 3 * empty**0.5)) if empty >= 0.5 else 0
+        plans.append((k + 1 + spare, spare))
+    return ends, plans
+
+
+def signatures(own: np.ndarray, ends: list[int], plans: list[tuple[int, int]]) -> np.ndarray:
+    """Hashes of which any two sets that qualify share one: those of the parts of a set, cut for its class and for the
+    class before.
+
+    With at most e empty parts in one of two sets, a part in which they agree is not empty, so empty parts need no
+    hash. A set with more of them tells each apart by the parts of another cut.
     """
     at = int(np.searchsorted(ends, len(own)))
-    found = []
-    for k in range(max(0, at - 1), at + 1):
-        parts = (100 - percent) * (ends[k] + ends[k] * 100 // percent) // (100 + percent) + 1
-        found.append(_parts(own, parts, U(k + 1), 0))
-    return np.concatenate(found)
+    return np.concatenate([_parts(own, *plans[k], U(k + 1), 0) for k in range(max(0, at - 1), at + 1)])
 
 
-def _parts(own: np.ndarray, parts: int, label: np.uint64, depth: int) -> np.ndarray:
+def _parts(own: np.ndarray, parts: int, spare: int, label: np.uint64, depth: int) -> np.ndarray:
     turned = np.sort(_mixed(own, depth + 1))
     edges = np.searchsorted(turned, np.arange(1, parts, dtype=U) * U((2**64 - 1) // parts))
     edges = np.concatenate([[0], edges, [len(own)]])
     sums = np.concatenate([np.zeros(1, U), np.cumsum(_mixed(turned, 9))])
-    signs = _mixed(_mixed(sums[edges[1:]] - sums[edges[:-1]], 5) + _mixed(np.arange(parts, dtype=U) + (label << U(32)), 6 + depth))
-    empty = np.flatnonzero(edges[1:] == edges[:-1])
-    if not len(empty) or depth == 3 or parts == 1:
+    label = _mixed(np.array([label]), 6 + depth)
+    signs = _mixed(_mixed(sums[edges[1:]] - sums[edges[:-1]], 5) ^ (np.arange(parts, dtype=U) * U(0x9E3779B97F4A7C15) + label))
+    empty = edges[1:] == edges[:-1]
+    if empty.sum() <= spare:
+        return signs[~empty]
+    if depth == 3:
         return signs
-    finer = [_parts(own, parts, signs[p], depth + 1) for p in empty]
-    return np.concatenate([np.delete(signs, empty), *finer])
+    return np.concatenate([signs[~empty], *(_parts(own, parts, spare, s, depth + 1) for s in signs[empty])])
 
 
 def _keys(texts: DataFrame, words: int) -> DataFrame:
@@ -117,7 +132,7 @@ def _candidate_links(texts: DataFrame, words: int, percent: int, longest: int) -
     Signatures are sorted over the cluster by signature and id; neighbours with an equal one are linked where they
     lie. A signature of many documents may run over several tasks: first and last rows of all tasks link these.
     """
-    ends = class_ends(percent, longest)
+    ends, plans = cuts(percent, longest)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(words)
@@ -125,7 +140,7 @@ def _candidate_links(texts: DataFrame, words: int, percent: int, longest: int) -
             signs = []
             for text in batch.column(1):
                 own = shingles(text.as_py())
-                signs.append(signatures(own, percent, ends).view(np.int64) if len(own) else np.empty(0, np.int64))
+                signs.append(signatures(own, ends, plans).view(np.int64) if len(own) else np.empty(0, np.int64))
             sizes = np.cumsum([0, *map(len, signs)])
             flat = np.concatenate(signs) if signs else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int64()))
