@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from shelfwise.llm.bpe import digest_documents
 from shelfwise.llm.common import table
+from shelfwise.llm.decontaminate import find_leaks
 from shelfwise.llm.exact_dedup import exact_dedup
 from shelfwise.llm.jaccard import jaccard_components
 from shelfwise.llm.language_model import score_texts
@@ -57,6 +58,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: fn for name, fn in globals().items() if name.startswith("op")}
     return dict(sorted(found.items(), key=lambda item: int(item[0][2:].split("_")[0]))) | {"pipeline": corpus_pipeline.run}
