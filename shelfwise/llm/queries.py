@@ -16,6 +16,7 @@ from shelfwise.llm.jaccard import jaccard_components
 from shelfwise.llm.language_model import score_texts
 from shelfwise.llm.pii import digests, find_pii
 from shelfwise.llm.quality import quality_scores
+from shelfwise.llm.substring_dedup import repeated_passages
 from shelfwise.llm.toxicity import toxicity_scores
 from shelfwise.llm.url_filter import UrlRule, url_filter
 
@@ -30,6 +31,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages"), RULES)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
