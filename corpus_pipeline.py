@@ -4,18 +4,53 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.llm.bpe import encode_documents
+from shelfwise.llm.common import table
+from shelfwise.llm.decontaminate import drop_contaminated
+from shelfwise.llm.exact_dedup import drop_copies
+from shelfwise.llm.jaccard import drop_near_copies
+from shelfwise.llm.quality import drop_low_quality
 from shelfwise.session import ensure_checkpoint_dir
 
-STAGES = []
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject; it learns from the labels of the documents at hand."""
+    return drop_low_quality(docs, table(spark, sf_dir, "labels"))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text."""
+    return drop_copies(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest doc_id of each group that links of five-word shingles and a similarity of 0.8 connect."""
+    return drop_near_copies(docs, words=5, percent=80)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no test item."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids and the decoded text of every document left."""
+    return encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("quality", quality), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),
+          ("decontamination", decontamination), ("bpe", bpe)]
+#: SQL expresses neither the classifier nor the tokenizer; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents; what a stage keeps is a table in the shared folder, read by the next."""
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
         docs = spark.read.parquet(f"{folder}/{k}-{name}")
