@@ -129,7 +129,7 @@ ops AS (
          rewardOption = 'No Discount' AS offsite,
          CASE WHEN rewardOption = 'Free Gift' THEN 'unknown reward option Free Gift'
               WHEN rewardOption <> 'No Discount' AND rewardValue IS NULL
-              THEN 'invalid promotion type, expected some but got none' END AS error
+              THEN 'reward without a value' END AS error
   FROM resolved)"""
 
 
@@ -375,9 +375,36 @@ def oracle_sql() -> dict[str, str]:
         "promotion_expressions": _with(EXPRESSIONS, "SELECT * FROM promotions"),
         "promotion_errors": _with(SET_SEGMENTS, "SELECT promoId, error AS message FROM ops WHERE error IS NOT NULL"),
         "promotion_segments": _with(
-            SET_SEGMENTS,
+            EXPRESSIONS,
             """SELECT DISTINCT promoId, segment, CAST(l_partkey AS VARCHAR) AS sku
-               FROM promo_rows JOIN segmented USING (promoId, position) WHERE segmentKind = 'named'"""),
+               FROM promo_rows JOIN segmented USING (promoId, position)
+               WHERE segmentKind = 'named' AND promoId IN (SELECT promoId FROM promotions)"""),
+        "promotion_repeated_ids": _with(
+            EXPRESSIONS + """, shared AS (SELECT *, 'P' || (CAST(substr(promoId, 2) AS BIGINT) % 100) AS id FROM promos)""",
+            """SELECT id AS promoId, p.description, replace(p.expression, promoId || '_', id || '_') AS expression,
+                      p.startDate, p.endDate, lineItems FROM promotions p JOIN shared USING (promoId)
+               UNION ALL
+               SELECT id, 'id of ' || count(*) || ' documents', NULL, NULL, NULL, NULL FROM shared GROUP BY id HAVING count(*) > 1"""),
+        "promotion_ingest": _with(
+            EXPRESSIONS + """, backed AS (SELECT DISTINCT promoId FROM sets WHERE reward <> 'No Discount'),
+            valid AS (SELECT * FROM promotions WHERE promoId IN (SELECT promoId FROM backed)),
+            kept AS (SELECT * FROM valid WHERE CAST(substr(promoId, 2) AS BIGINT) % 5 = 0),
+            accepted AS (
+              SELECT * FROM valid n WHERE endDate >= TIMESTAMP '2000-01-01' AND NOT EXISTS (
+                SELECT 1 FROM kept e WHERE e.startDate = n.startDate AND e.endDate = n.endDate
+                   AND (e.name = n.name OR e.expression = n.expression))),
+            fresh AS (
+              SELECT DISTINCT segment, CAST(l_partkey AS VARCHAR) AS sku FROM promo_rows JOIN segmented USING (promoId, position)
+              WHERE segmentKind = 'named' AND promoId IN (SELECT promoId FROM accepted)),
+            present AS (
+              SELECT DISTINCT 'S' || l_suppkey || '_one' AS segment, CAST(l_partkey AS VARCHAR) AS sku FROM lineitem
+              WHERE year(l_shipdate) < 1998 AND l_suppkey % 4 <> 0)""",
+            """SELECT promoId, expression AS detail, 'promotion' AS kind FROM accepted
+               UNION ALL
+               SELECT segment, coalesce(f.sku, p.sku), CASE WHEN segment NOT IN (SELECT segment FROM present) THEN 'create'
+                      WHEN p.sku IS NULL THEN 'add' ELSE 'remove' END
+               FROM fresh f FULL JOIN present p USING (segment, sku)
+               WHERE (f.sku IS NULL OR p.sku IS NULL) AND segment IN (SELECT segment FROM fresh)"""),
         "promotion_requests": _with(
             STORED,
             """SELECT name, description, expression, startDate, endDate, stackingRule,

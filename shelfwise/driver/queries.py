@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codec, paths, times
+from ..plans.ingest_promotions import ingest, translate_supported
 from ..operators import factors, partitioning, products, promotions, ranking, segments, signals
 from ..sinks import files
 from ..sources import csv_schema, ranges, tolerant
@@ -490,12 +491,35 @@ def promotion_kind(spark, sf):
     leaf = (F.when(F.col("o_orderkey") % 3 == 0, "LineItemPromotion").when(F.col("o_orderkey") % 3 == 1, "OrderLevelPromotion")
             .otherwise("PriceDropPromotion"))
     leaf_json = F.concat(F.lit('{"type":"'), leaf, F.lit('"}'))
-    nested = F.concat(F.lit('{"type":"ANDPromotion","left":'), leaf_json, F.lit(',"right":{"type":"LineItemPromotion"}}'))
-    tree = F.when(F.col("o_custkey") % 2 == 0, leaf_json).otherwise(nested)
+    depth = (F.col("o_custkey") % 21).cast("int")  # up to 20 operators above the leaf
+    tree = F.concat(F.repeat(F.lit('{"type":"ANDPromotion","left":'), depth), leaf_json,
+                    F.repeat(F.lit(',"right":{"type":"LineItemPromotion"}}'), depth))
     return views.table(spark, sf, "orders").select(
         "o_orderkey", promotions.promotion_kind(promotions.leftmost_type(tree)).alias("kind"))
 
 
+@query
+def promotion_repeated_ids(spark, sf):
+    flat = views.shared_promotions(spark, sf)
+    done = promotions.normalise_promotions(flat)
+    return done.promotions.select("promoId", "description", "expression", "startDate", "endDate", "lineItems").unionByName(
+        promotions.repeated_ids(flat.promotions).select(
+            "promoId", F.col("message").alias("description"), F.lit(None).cast("string").alias("expression"),
+            *(F.lit(None).cast("timestamp_ntz").alias(c) for c in ("startDate", "endDate")), F.lit(None).cast("int").alias("lineItems")))
+
+
+@query
+def promotion_ingest(spark, sf):
+    """New, unexpired promotions and the changes of their segments; every fifth promotion is stored already."""
+    flat = views.promotions(spark, sf)
+    translated = translate_supported(flat, "Combines", 0)
+    stored = promotions.valid_promotions(translated).filter(views.promotion_number() % 5 == 0).withColumn("description", F.lit("other"))
+    present = views.supplier_segments(spark, sf)[1].withColumn("segment", F.concat("segment", F.lit("_one")))
+    done = ingest(translated, flat, stored, present, F.to_timestamp(F.lit(AS_OF)))
+    return done.promotions.select("promoId", F.col("expression").alias("detail"), F.lit("promotion").alias("kind")).unionAll(
+        done.changes.select("segment", "sku", "action"))
+
+
 @query
 def ingest_summary(spark, sf):
     translated = promotions.translate(_supported_flat(spark, sf))

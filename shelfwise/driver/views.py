@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,10 +69,10 @@ def user_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A customer's vector: the sum of the vectors of the parts they bought."""
     bought = order_signals(spark, sf_dir).select("customerId", "productId").distinct()
     items = item_vectors(spark, sf_dir).withColumnRenamed("id", "productId")
-    total = lambda i: F.round(F.sum(F.get("factors", F.lit(i)).cast("double")), 4).cast("float")
     sums = bought.join(items, "productId").groupBy("customerId").agg(
-        *(total(i).alias(f"f{i}") for i in range(VECTOR_RANK)))
-    return sums.select(F.col("customerId").alias("id"), F.array(*(f"f{i}" for i in range(VECTOR_RANK))).alias("factors"))
+        Summarizer.sum(array_to_vector(F.col("factors").cast("array<double>"))).alias("total"))
+    rounded = F.transform(vector_to_array("total"), lambda v: F.round(v, 4).cast("float"))
+    return sums.select(F.col("customerId").alias("id"), rounded.alias("factors"))
 
 
 def promotions(spark: SparkSession, sf_dir: str) -> Flat:
@@ -93,8 +95,20 @@ def promotions(spark: SparkSession, sf_dir: str) -> Flat:
         F.min("l_shipdate").alias("startDate"), F.max("l_shipdate").alias("endDate"),
         F.when(lowest % 6 == 0, "Set Price").when(lowest % 6 == 1, "Percentage Off").alias("basketOption"),
         F.when(lowest % 6 == 0, 50.0).alias("basketValue"))
-    skus = rows.select("promoId", "position", F.col("l_partkey").cast("string").alias("sku"))
-    return Flat(heads, sets, skus)
+    skus = rows.select(F.col("promoId").alias("docId"), "position", F.col("l_partkey").cast("string").alias("sku"))
+    return Flat(heads.withColumn("docId", F.col("promoId")), sets.withColumn("docId", F.col("promoId")), skus)
+
+
+def promotion_number() -> F.Column:
+    """Number in the id of a document."""
+    return F.expr("substring(docId, 2)").cast("bigint")
+
+
+def shared_promotions(spark: SparkSession, sf_dir: str) -> Flat:
+    """The same documents under the ids of a hundred promotions."""
+    flat = promotions(spark, sf_dir)
+    shared = F.concat(F.lit("P"), (promotion_number() % 100).cast("string"))
+    return flat._replace(promotions=flat.promotions.withColumn("promoId", shared), sets=flat.sets.withColumn("promoId", shared))
 
 
 def stored_promotions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -2,11 +2,12 @@
 
 A promotion is held flat, in three tables:
 
-* promotions: promoId, description, startDate, endDate, basketOption, basketValue
-* product sets: promoId, position (from 0), lowerBuy, getQty, reward, value
-* products: promoId, position, sku
+* promotions: docId, promoId, description, startDate, endDate, basketOption, basketValue, problems
+* product sets: docId, promoId, position (from 0), lowerBuy, getQty, reward, value
+* products: docId, position, sku
 
-so that a product set can list any number of products.
+so that a product set can list any number of products. docId tells documents apart; several may have one
+promoId. problems lists what could not be read; it may be missing.
 """
 
 from __future__ import annotations
@@ -18,14 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .joins import salted_join
-from .ranking import top_k
 
-# Reward options, error text, and the position words of named segments.
+# Reward options and the position words of named segments.
 NO_DISCOUNT = "No Discount"
 SET_PRICE = "Set Price"
 MONEY_OFF = "Money Off"
 PERCENTAGE_OFF = "Percentage Off"
-NO_VALUE = "invalid promotion type, expected some but got none"
+NO_VALUE = "reward without a value"
 POSITION_WORDS = ("zero", "one", "two", "three")
 
 MAX_INLINE_PRODUCTS = 10
@@ -49,20 +49,34 @@ class Normalised(NamedTuple):
 
 
 def flatten_promotions(documents: DataFrame) -> Flat:
-    """Nested promotion documents to the three flat tables."""
-    promotions = documents.select(
-        "promoId", "description", "startDate", "endDate",
-        F.col("basket.rewardOption").alias("basketOption"), F.col("basket.rewardValue").alias("basketValue"))
-    sets = documents.select("promoId", F.posexplode("productSets").alias("position", "s")).select(
-        "promoId", "position", "s.lowerBuy", "s.getQty", "s.reward", "s.value", "s.products")
-    products = sets.select("promoId", "position", F.explode("products").alias("sku"))
+    """Nested promotion documents to the three flat tables.
+
+    docId is a hash of the whole document, so documents that share a promoId stay apart. Of documents that are alike
+    in everything one is kept.
+    """
+    keyed = documents.withColumn("docId", F.sha2(F.to_json(F.struct(*documents.columns)), 256)).dropDuplicates(["docId"])
+    problems = F.col("problems") if "problems" in documents.columns else F.array().cast("array<string>")
+    promotions = keyed.select(
+        "docId", "promoId", "description", "startDate", "endDate",
+        F.col("basket.rewardOption").alias("basketOption"), F.col("basket.rewardValue").alias("basketValue"),
+        problems.alias("problems"))
+    sets = keyed.select("docId", "promoId", F.posexplode("productSets").alias("position", "s")).select(
+        "docId", "promoId", "position", "s.lowerBuy", "s.getQty", "s.reward", "s.value", "s.products")
+    products = sets.select("docId", "position", F.explode("products").alias("sku"))
     return Flat(promotions, sets.drop("products"), products)
 
 
+def repeated_ids(promotions: DataFrame) -> DataFrame:
+    """(promoId, message) rows of ids that more than one document has. Their promotions are kept; of segments that
+    get the same name, that of the latest document is."""
+    counts = promotions.groupBy("promoId").agg(F.count("*").alias("n")).filter("n > 1")
+    return counts.select("promoId", F.concat(F.lit("id of "), F.col("n").cast("string"), F.lit(" documents")).alias("message"))
+
+
 def supported(promotions: DataFrame, sets: DataFrame) -> DataFrame:
     """Promotions with at least one product set that has a reward of its own."""
-    rewarding = sets.filter(~F.col("reward").eqNullSafe(NO_DISCOUNT)).select("promoId")
-    return promotions.join(rewarding, "promoId", "left_semi")
+    rewarding = sets.filter(~F.col("reward").eqNullSafe(NO_DISCOUNT)).select("docId")
+    return promotions.join(rewarding, "docId", "left_semi")
 
 
 def active(promotions: DataFrame, as_of: Column) -> DataFrame:
@@ -88,24 +102,20 @@ def new_promotions(promotions: DataFrame, existing: DataFrame) -> DataFrame:
 
 def set_sizes(products: DataFrame) -> DataFrame:
     """Number of products each set lists, repeats included."""
-    return products.groupBy("promoId", "position").agg(F.count("*").alias("listed"))
+    return products.groupBy("docId", "position").agg(F.count("*").alias("listed"))
 
 
-def inline_skus(products: DataFrame) -> DataFrame:
-    """SKUs of each set in order, as far as an inline segment can hold them.
-
-    The limit applies before the shuffle, so a set with very many products
-    sends only a few of them on.
-    """
-    keys = ["promoId", "position"]
-    few = top_k(products.select(*keys, "sku").distinct(), keys, [F.asc("sku")], MAX_INLINE_PRODUCTS)
-    return few.groupBy(*keys).agg(F.sort_array(F.collect_list("sku")).alias("skus"))
+def inline_skus(products: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Distinct SKUs, in order, of each set that is short enough for an inline segment; sets with more are left out."""
+    keys = ["docId", "position"]
+    short = products.join(sizes.filter(F.col("listed") <= MAX_INLINE_PRODUCTS), keys, "left_semi")
+    return short.groupBy(*keys).agg(F.sort_array(F.collect_set("sku")).alias("skus"))
 
 
 def with_segments(sets: DataFrame, products: DataFrame) -> DataFrame:
     """Sets with their segment: up to ten listed products are inline, longer lists get a name."""
-    keys = ["promoId", "position"]
-    sized = sets.join(set_sizes(products), keys, "left").join(inline_skus(products), keys, "left")
+    keys, sizes = ["docId", "position"], set_sizes(products)
+    sized = sets.join(sizes, keys, "left").join(inline_skus(products, sizes), keys, "left")
     listed = F.coalesce("listed", F.lit(0))
     named = listed > MAX_INLINE_PRODUCTS
     words = F.array(*(F.lit(w) for w in POSITION_WORDS))
@@ -125,8 +135,8 @@ def with_operators(sets: DataFrame, promotions: DataFrame) -> DataFrame:
     ``main`` is what the reward applies to and ``qualifier`` what must be bought
     for it; a set is one or the other. Needs the columns of :func:`with_segments`.
     """
-    basket = promotions.select("promoId", "basketOption", "basketValue")
-    sets = sets.join(basket, "promoId")
+    basket = promotions.select("docId", "basketOption", "basketValue")
+    sets = sets.join(basket, "docId")
     buy, get = (F.coalesce(c, F.lit(0)) for c in ("lowerBuy", "getQty"))
     has_basket = F.col("basketOption").isNotNull()
     undiscounted = F.col("reward").eqNullSafe(NO_DISCOUNT)
@@ -220,17 +230,17 @@ def _add_set(items: Column, new: Column) -> Column:
 
 
 def fold_sets(operators: DataFrame) -> DataFrame:
-    """Product sets of each promotion, in order, to its line items: (promoId, items, errors).
+    """Product sets of each promotion, in order, to its line items: (docId, items, errors).
 
     The number of sets of one promotion is that of one source document.
     """
     quals = F.when(F.col("qualifier").isNotNull(), F.array("qualifier")).otherwise(F.array().cast("array<string>"))
     item = _item(F.col("rewardText"), F.col("offsite"), F.col("main"), quals)
     ordered = F.sort_array(F.collect_list(F.struct("position", item.alias("item"), "error")))
-    sets = operators.groupBy("promoId").agg(ordered.alias("sets"))
+    sets = operators.groupBy("docId").agg(ordered.alias("sets"))
     empty = F.array().cast(T.ArrayType(ITEM))
     return sets.select(
-        "promoId",
+        "docId",
         F.aggregate("sets", empty, lambda acc, s: _add_set(acc, s["item"])).alias("items"),
         F.filter(F.transform("sets", lambda s: s["error"]), lambda e: e.isNotNull()).alias("errors"))
 
@@ -253,11 +263,13 @@ def expression_text(items: Column) -> Column:
 def translate(flat: Flat) -> DataFrame:
     """One row per promotion with its expression, or with what is wrong with it in ``errors``."""
     operators = with_operators(with_segments(flat.sets, flat.products), flat.promotions)
-    folded = flat.promotions.join(fold_sets(operators), "promoId", "left")
+    folded = flat.promotions.join(fold_sets(operators), "docId", "left")
     items = with_basket_reward(F.col("items"), F.col("basketOption"), F.col("basketValue"))
     errors = F.coalesce("errors", F.array(F.lit("no product sets")))
+    if "problems" in flat.promotions.columns:
+        errors = F.concat("problems", errors)
     return folded.select(
-        "promoId", F.col("promoId").alias("name"), "description", expression_text(items).alias("expression"),
+        "docId", "promoId", F.col("promoId").alias("name"), "description", expression_text(items).alias("expression"),
         "startDate", "endDate", F.size(items).alias("lineItems"), errors.alias("errors"))
 
 
@@ -274,24 +286,29 @@ def translation_errors(translated: DataFrame) -> DataFrame:
 def normalise_promotions(flat: Flat) -> Normalised:
     """Promotion expressions, named segments and errors of flat promotions.
 
-    A promotion with any error gives error rows only. A job that needs more than
+    A promotion with any error gives error rows only, and no segments. A job that needs more than
     one of the three should store the result of :func:`translate` in between.
     """
     translated = translate(flat)
-    return Normalised(valid_promotions(translated), named_segments(flat.sets, flat.products),
-                      translation_errors(translated))
+    valid = valid_promotions(translated)
+    return Normalised(valid.drop("docId"), named_segments(flat, valid), translation_errors(translated))
 
 
-def named_segments(sets: DataFrame, products: DataFrame) -> DataFrame:
-    """(promoId, segment, sku) rows of product lists too long to be inline."""
+def named_segments(flat: Flat, valid: DataFrame) -> DataFrame:
+    """(promoId, segment, sku) rows of the product lists of valid promotions that are too long to be inline.
+
+    valid has docId, promoId, startDate and endDate. Where two documents have segments of one name, the one that ends,
+    then starts last wins.
+    """
     words = F.array(*(F.lit(w) for w in POSITION_WORDS))
-    long_lists = set_sizes(products).filter(
-        (F.col("listed") > MAX_INLINE_PRODUCTS) & (F.col("position") < len(POSITION_WORDS))).select(
-        "promoId", "position",
-        F.concat_ws("_", "promoId", F.get(words, F.col("position"))).alias("segment"))
-    known = long_lists.join(sets.select("promoId", "position"), ["promoId", "position"], "left_semi")
-    return salted_join(products.distinct(), known, ["promoId", "position"], "sku").select(
-        "promoId", "segment", "sku")
+    long_lists = set_sizes(flat.products).filter(
+        (F.col("listed") > MAX_INLINE_PRODUCTS) & (F.col("position") < len(POSITION_WORDS)))
+    known = long_lists.join(valid.select("docId", "promoId", "startDate", "endDate"), "docId") \
+        .withColumn("segment", F.concat_ws("_", "promoId", F.get(words, F.col("position"))))
+    latest = known.groupBy("segment").agg(
+        F.max(F.struct("endDate", "startDate", "docId", "position", "promoId")).alias("last")) \
+        .select("segment", "last.docId", "last.position", "last.promoId")
+    return salted_join(flat.products.distinct(), latest, ["docId", "position"], "sku").select("promoId", "segment", "sku")
 
 
 # Names of stacking priorities. The numbers are a setting.
@@ -315,17 +332,21 @@ def promotion_kind(expression_type: Column | str) -> Column:
             .when(c == "PriceDropPromotion", "price"))
 
 
-def leftmost_type(expression: Column | str, depth: int = 8) -> Column:
-    """Type of the leftmost leaf of an expression tree in JSON, through up to ``depth`` operators."""
-    paths = ["$." + "left." * i + "type" for i in range(depth, -1, -1)]
-    return F.coalesce(*(F.get_json_object(expression, p) for p in paths))
+def leftmost_type(expression: Column | str) -> Column:
+    """Type of the leftmost leaf of an expression tree in JSON, however deep."""
+    c = F.col(expression) if isinstance(expression, str) else expression
+    # The text has at least as many "left" keys as the tree has levels on its left edge.
+    levels = F.regexp_count(c, F.lit('"left"'))
+    leaf = F.aggregate(F.sequence(F.lit(0), F.coalesce(levels, F.lit(0))), c,
+                       lambda tree, _: F.coalesce(F.get_json_object(tree, "$.left"), tree))
+    return F.get_json_object(leaf, "$.type")
 
 
 def ingest_status(translated: DataFrame, as_of: Column) -> DataFrame:
     """Translated promotions as ``accepted``, ``rejected`` (with errors) or ``expired``."""
     status = (F.when(F.size("errors") > 0, "rejected").when(F.col("endDate") >= as_of, "accepted")
               .otherwise("expired"))
-    return translated.select("promoId", status.alias("status"))
+    return translated.select("docId", "promoId", status.alias("status"))
 
 
 def ingest_summary(statuses: DataFrame) -> DataFrame:

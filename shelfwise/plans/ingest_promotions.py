@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import make_path
 from ..operators import promotions, segments
-from ..operators.joins import salted_join
 from ..operators.promotions import Flat
 from ..sources.promotions_xml import load_existing_promotions, load_promotions_xml
 from .runner import need
@@ -22,15 +21,17 @@ class Ingest(NamedTuple):
     summary: DataFrame
 
 
-def translate_supported(flat: Flat) -> DataFrame:
+def translate_supported(flat: Flat, stacking_rule: str | None = "Combines", priority: int | None = 0,
+                        value_order: str | None = None) -> DataFrame:
     """Translation of the promotions that have a reward of their own.
 
-    Stacking rules and value order of new promotions are unset.
+    Documents carry no stacking rule, priority or value order: those of new promotions are settings, and have to be
+    those that promotions are stored with, or a later run does not recognise them.
     """
     kept = promotions.supported(flat.promotions, flat.sets)
     return promotions.translate(flat._replace(promotions=kept)).withColumns({
-        "stackingRule": F.lit(None).cast("string"), "priority": F.lit(None).cast("int"),
-        "valueOrder": F.lit(None).cast("string")})
+        "stackingRule": F.lit(stacking_rule).cast("string"), "priority": F.lit(priority).cast("int"),
+        "valueOrder": F.lit(value_order).cast("string")})
 
 
 def ingest(translated: DataFrame, flat: Flat, existing: DataFrame, existing_segments: DataFrame,
@@ -38,25 +39,30 @@ def ingest(translated: DataFrame, flat: Flat, existing: DataFrame, existing_segm
     """Promotions that are new and not over, the changes their segments need, and what was wrong.
 
     ``existing`` has the columns of a stored promotion, ``existing_segments``
-    (segment, sku).
+    (segment, sku). Errors also name ids that several documents have; that alone rejects none of them.
     """
     valid = promotions.valid_promotions(translated)
     accepted = promotions.active(promotions.new_promotions(valid, existing), as_of)
     errors = promotions.translation_errors(translated)
-    named = promotions.named_segments(flat.sets, flat.products)
-    wanted = salted_join(named, accepted.select("promoId"), ["promoId"], "sku", "left_semi")
-    status = lambda df, name: df.select("promoId").distinct().withColumn("status", F.lit(name))
-    summary = promotions.ingest_summary(status(accepted, "accepted").unionAll(status(errors, "rejected")))
-    return Ingest(accepted, segments.segment_changes(wanted, existing_segments), errors, summary)
+    wanted = promotions.named_segments(flat, accepted)
+    rejected = translated.filter(F.size("errors") > 0)
+    status = lambda df, name: df.select("docId").withColumn("status", F.lit(name))
+    summary = promotions.ingest_summary(status(accepted, "accepted").unionAll(status(rejected, "rejected")))
+    return Ingest(accepted.drop("docId"), segments.segment_changes(wanted, existing_segments),
+                  errors.unionByName(promotions.repeated_ids(translated)), summary)
 
 
 def run(spark: SparkSession, args: dict[str, str]) -> None:
+    """Also takes asOf, stackingRule, priority and valueOrder; an empty value means none."""
     source, existing_path, segments_path, target = need(
         args, "promotionsPath", "existingPromotionsPath", "existingSegmentsPath", "outputPath")
-    flat = promotions.flatten_promotions(load_promotions_xml(spark, source))
-    # Stored, since all four outputs start from it.
-    translated_path = make_path(target, "translated")
-    translate_supported(flat).write.mode("overwrite").parquet(translated_path)
+    documents_path, translated_path = make_path(target, "documents"), make_path(target, "translated")
+    # Stored, since everything starts from these two.
+    load_promotions_xml(spark, source).write.mode("overwrite").parquet(documents_path)
+    flat = promotions.flatten_promotions(spark.read.parquet(documents_path))
+    priority = args.get("priority", "0")
+    translate_supported(flat, args.get("stackingRule", "Combines") or None, int(priority) if priority else None,
+                        args.get("valueOrder") or None).write.mode("overwrite").parquet(translated_path)
     as_of = F.to_timestamp(F.lit(args["asOf"])) if "asOf" in args else F.current_timestamp()
     done = ingest(spark.read.parquet(translated_path), flat, load_existing_promotions(spark, existing_path),
                   segments.segment_rows(spark.read.schema(SEGMENT).json(segments_path)), as_of)

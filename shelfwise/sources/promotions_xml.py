@@ -36,25 +36,45 @@ def _text(c: Column | str) -> Column:
 
 
 def load_promotions_xml(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Promotion documents: promoId, description, dates, product sets and basket reward."""
+    """Promotion documents of XML files: see :func:`shape_promotions`."""
     files = ",".join([paths] if isinstance(paths, str) else paths)
-    raw = spark.read.format("xml").option("rowTag", "Promotion").schema(DOCUMENT).load(files)
-    overview = F.col("PromotionOverview")
+    return shape_promotions(spark.read.format("xml").option("rowTag", "Promotion").schema(DOCUMENT).load(files))
+
+
+def _unreadable(raw: Column, value: Column, name: str) -> Column:
+    """What to say about a text that is there but is not a value of its kind; null otherwise."""
+    return F.when(raw.isNotNull() & value.isNull(), F.concat(F.lit(f"unreadable {name} "), raw))
+
+
+def shape_promotions(raw: DataFrame) -> DataFrame:
+    """Read elements to promoId, description, dates, product sets, basket reward and ``problems``: one text for each
+    value that cannot be read, and for a missing id."""
+    overview, basket = F.col("PromotionOverview"), F.col("BasketRewardRules")
     day = lambda c: F.try_to_timestamp(_text(c), F.lit("dd/MM/yyyy"))
+    numbers = (("LowerBuyQuantity", "int"), ("GetQuantity", "int"))
     product_set = lambda s: F.struct(
         _text(s["LowerBuyQuantity"]).try_cast("int").alias("lowerBuy"),
         _text(s["GetQuantity"]).try_cast("int").alias("getQty"),
         _text(s["RewardOption"]).alias("reward"),
         _text(s["RewardValue"]["_VALUE"]).try_cast("double").alias("value"),
         F.transform(F.coalesce(s["Products"]["ProductCode"], F.array()), lambda p: _text(p["_VALUE"])).alias("products"))
-    basket = F.col("BasketRewardRules")
+    set_problems = lambda s: F.array(
+        *(_unreadable(_text(s[name]), _text(s[name]).try_cast(kind), name) for name, kind in numbers),
+        _unreadable(_text(s["RewardValue"]["_VALUE"]), _text(s["RewardValue"]["_VALUE"]).try_cast("double"), "RewardValue"))
+    sets = F.coalesce("ProductSets.ProductSet", F.array())
+    value = _text(basket["RewardValue"])
+    problems = F.concat(
+        F.array(F.when(_text(overview["PromotionID"]).isNull(), F.lit("promotion without id")),
+                *(_unreadable(_text(overview[d]), day(overview[d]), d) for d in ("StartDate", "EndDate")),
+                _unreadable(value, value.try_cast("double"), "basket RewardValue")),
+        F.flatten(F.transform(sets, set_problems)))
     return raw.select(
         _text(overview["PromotionID"]).alias("promoId"),
         _text(overview["PromotionLongDescription"]).alias("description"),
         day(overview["StartDate"]).alias("startDate"), day(overview["EndDate"]).alias("endDate"),
-        F.transform(F.coalesce("ProductSets.ProductSet", F.array()), product_set).alias("productSets"),
-        F.struct(_text(basket["RewardOption"]).alias("rewardOption"),
-                 _text(basket["RewardValue"]).try_cast("double").alias("rewardValue")).alias("basket"))
+        F.transform(sets, product_set).alias("productSets"),
+        F.struct(_text(basket["RewardOption"]).alias("rewardOption"), value.try_cast("double").alias("rewardValue")).alias("basket"),
+        F.array_compact(problems).alias("problems"))
 
 
 def load_existing_promotions(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -165,6 +165,7 @@ def test_promotion_ingest(spark, tmp_path):
         write(tmp_path / f"xml/{i}.xml", text)
     known = {"descriptor": {"name": "other", "description": "x", "expression":
                             "GET * 50.0% OFF 1 IN Product(200) IF 1 IN Product(100 101)"},
+             "stackingRules": {"stackingRule": {"type": "Combines"}, "promotionPriority": 0},
              "dateRange": {"from": "2021-02-03T00:00:00Z", "to": "2022-05-04T00:00:00Z"}}
     write(tmp_path / "existing.json", json.dumps([known]))
     write(tmp_path / "segments.json", json.dumps({"descriptor": {"name": "P2_one"}, "items": [{"sku": "000"}, {"sku": "old"}]}))
@@ -183,3 +184,27 @@ def test_promotion_ingest(spark, tmp_path):
     write(tmp_path / "existing.json", json.dumps([known]))
     ingest_promotions.run(spark, {**args, "asOf": "2021-02-05", "outputPath": f"{tmp_path}/out2"})
     assert spark.read.parquet(f"{tmp_path}/out2/promotions").count() == 0
+    # What a run has emitted, stored, is not emitted again.
+    stored = [{"descriptor": {"name": r.name, "description": r.description, "expression": r.expression},
+               "stackingRules": {"stackingRule": {"type": r.stackingRule}, "promotionPriority": r.priority},
+               "dateRange": {"from": r.startDate.isoformat() + "Z", "to": r.endDate.isoformat() + "Z"}} for r in read("promotions").collect()]
+    write(tmp_path / "existing.json", json.dumps(stored))
+    ingest_promotions.run(spark, {**args, "outputPath": f"{tmp_path}/out3"})
+    assert spark.read.parquet(f"{tmp_path}/out3/promotions").count() == 0
+    ingest_promotions.run(spark, {**args, "outputPath": f"{tmp_path}/out4", "stackingRule": "Exclusive", "priority": ""})
+    assert {(r.stackingRule, r.priority) for r in spark.read.parquet(f"{tmp_path}/out4/promotions").collect()} == {("Exclusive", None)}
+
+
+def test_unreadable_promotion_values_are_errors(spark, tmp_path):
+    good = XML.replace("<GetQuantity></GetQuantity>", "<GetQuantity>1</GetQuantity>")
+    write(tmp_path / "xml/1.xml", good.replace("04/05/2021", "31/02/2021"))
+    write(tmp_path / "xml/2.xml", good.replace("P1", "P2").replace("<GetQuantity>1</GetQuantity>", "<GetQuantity>two</GetQuantity>", 1))
+    write(tmp_path / "xml/3.xml", good.replace("P1", ""))
+    write(tmp_path / "existing.json", "[]")
+    write(tmp_path / "segments.json", "")
+    ingest_promotions.run(spark, {"promotionsPath": f"{tmp_path}/xml", "existingPromotionsPath": f"{tmp_path}/existing.json",
+                                  "existingSegmentsPath": f"{tmp_path}/segments.json", "outputPath": f"{tmp_path}/out", "asOf": "2021-02-04"})
+    errors = {(r.promoId, r.message) for r in spark.read.parquet(f"{tmp_path}/out/errors").collect()}
+    assert {("P1", "unreadable EndDate 31/02/2021"), ("P2", "unreadable GetQuantity two"), (None, "promotion without id")} <= errors
+    assert spark.read.parquet(f"{tmp_path}/out/promotions").count() == 0
+    assert spark.read.parquet(f"{tmp_path}/out/summary").first().failures == 3
