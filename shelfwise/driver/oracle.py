@@ -257,7 +257,7 @@ def oracle_sql() -> dict[str, str]:
                       CASE WHEN kind <= 3 THEN epoch_ms(o_orderdate) ELSE -1 END AS wholeSeconds
                FROM date_texts"""),
         "utc_millis_strict": _with(
-            DATE_TEXTS, "SELECT o_orderkey, epoch_ms(o_orderdate) AS millis FROM date_texts WHERE kind <= 3"),
+            DATE_TEXTS, "SELECT o_orderkey, epoch_ms(o_orderdate) AS millis FROM date_texts"),
         "iso_dates": """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso, strftime(ts, '%Y/%m/%d') AS folder
                         FROM events""",
         "date_reformat": """SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS ordered,
@@ -302,9 +302,9 @@ def oracle_sql() -> dict[str, str]:
         "non_pii_projection": """SELECT o_orderkey, strftime(o_orderdate, '%d.%m.%Y') AS ordered, o_orderstatus,
                                         strftime(o_orderdate, '%Y') AS yy, strftime(o_orderdate, '%m') AS mm,
                                         strftime(o_orderdate, '%d') AS dd FROM orders""",
-        "cloud_paths": """SELECT doc_id, CASE WHEN regexp_full_match(source, '[a-zA-Z0-9]+') THEN source ELSE '' END AS container,
-                                 CASE WHEN regexp_full_match(source, '[a-zA-Z0-9]+') THEN 'store' || (doc_id % 10) ELSE '' END AS account,
-                                 CASE WHEN regexp_full_match(source, '[a-zA-Z0-9]+') THEN 'docs/' || lang || '/' || doc_id ELSE '' END AS prefix
+        "cloud_paths": """SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN source || '-box' END AS container,
+                                 CASE WHEN doc_id % 7 <> 0 THEN 'store' || (doc_id % 10) END AS account,
+                                 CASE WHEN doc_id % 7 <> 0 THEN 'docs/' || lang || '/' || doc_id END AS prefix
                           FROM documents""",
         "similar_items": _with(SIMILAR, "SELECT id, similarId, round(score, 6) AS score FROM similar_items"),
         "user_top_items": _with(USER_TOP, "SELECT id, similarId, round(score, 6) AS score FROM user_top"),

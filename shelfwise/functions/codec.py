@@ -74,12 +74,22 @@ def _bytes_pairs(data: pa.Array) -> pa.Array:
 def _list_rows(data: pa.Array, width: int, build) -> pa.Array:
     """One list per binary value, built from the bytes of the whole batch at once."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(data), 0), dtype=np.int64)
-    raw = np.frombuffer(b"".join(v for v in data.to_pylist() if v is not None), dtype=np.uint8)
+    raw = _bytes_of(data)
     offsets = np.concatenate([[0], np.cumsum(sizes // width)]).astype(np.int32)
     mask = pc.is_null(data) if data.null_count else None
     return pa.ListArray.from_arrays(pa.array(offsets), build(raw), mask=mask)
 
 
+def _bytes_of(data: pa.Array) -> np.ndarray:
+    """The bytes of all values in a row, out of the buffer they are in; a null value has none."""
+    data = pc.fill_null(data, b"").cast(pa.large_binary())
+    _, offsets, values = data.buffers()
+    if values is None:
+        return np.empty(0, dtype=np.uint8)
+    bounds = np.frombuffer(offsets, dtype=np.int64)[data.offset:data.offset + len(data) + 1]
+    return np.frombuffer(values, dtype=np.uint8)[bounds[0]:bounds[-1]] if len(data) else np.empty(0, dtype=np.uint8)
+
+
 def _one_line_base64(data: Column) -> Column:
     """Base64 without line breaks, whatever the session does with long values."""
     return F.translate(F.base64(data), "\r\n", "")

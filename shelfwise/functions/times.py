@@ -55,14 +55,11 @@ def utc_millis(c: Column | str, formats: str | Sequence[str], strict: bool = Fal
         millis = F.coalesce(_parse_millis(text, formats), number)
         if not strict:
             return millis
-        message = F.concat(F.lit("Invalid date time format "), F.coalesce(raw, F.lit("null")))
+        message = F.concat(F.lit("not a date: "), F.coalesce(raw, F.lit("null")))
         return F.coalesce(millis, F.raise_error(message).cast("bigint"))
 
     tries = [iso_to_millis(raw), *(_parse_millis(text, f) for f in formats), number]
-    message = F.concat(
-        F.lit("Cannot parse date="), F.coalesce(raw, F.lit("null")),
-        F.lit(f" Supported formats={list(formats)}"),
-    )
+    message = F.concat(F.lit("no known form of a date: "), F.coalesce(raw, F.lit("null")), F.lit(f"; known: {', '.join(formats)}"))
     millis = F.coalesce(*tries, F.raise_error(message).cast("bigint"))
     return millis if strict else F.when(raw.isNotNull() & (raw != ""), millis)
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
-MAX_BROADCAST_ROWS = 500_000
 
 
 def salted_join(rows: DataFrame, groups: DataFrame, keys: list[str], spread_by: str, how: str = "inner",
@@ -21,14 +20,3 @@ def salted_join(rows: DataFrame, groups: DataFrame, keys: list[str], spread_by:
     salted = rows.withColumn("_salt", salt)
     repeated = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
-
-
-def lookup_join(rows: DataFrame, table: DataFrame, keys: list[str], spread_by: str, how: str = "inner") -> DataFrame:
-    """Join facts to a table of customers, products or the like, on keys that some facts share in masses.
-
-    The table is counted: a small one is broadcast, a larger one goes through
-    :func:`salted_join`. Keep it to the columns that are needed.
-    """
-    if table.count() <= MAX_BROADCAST_ROWS:
-        return rows.join(F.broadcast(table), keys, how)
-    return salted_join(rows, table, keys, spread_by, how)

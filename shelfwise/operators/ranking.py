@@ -20,10 +20,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import lookup_join
 
 CELL_BYTES = 64 << 20
 QUERY_BLOCK = 256
@@ -97,15 +97,16 @@ def _cell_side(rank: int) -> int:
 
 
 def _grid_shape(sizes: Sizes, k: int, cores: int) -> tuple[int, int]:
-    """Rows and columns of the grid: bounded cells, work for every core when there is enough, little traffic.
+    """Rows and columns of the grid: cells bounded in bytes, pairs and results, work for every core, little traffic.
 
     Every column repeats the queries, and more than one column means merging
     their lists; every row repeats the candidates.
     """
     nq, nc, rank = sizes
     side = _cell_side(rank)
-    rows, columns = math.ceil(nq / side) or 1, math.ceil(nc / side) or 1
-    cells = max(rows * columns, min(2 * cores, nq * nc // MIN_PAIRS))
+    rows = max(math.ceil(nq / side), math.ceil(nq * k * RESULT_BYTES / CELL_BYTES)) or 1
+    columns = math.ceil(nc / side) or 1
+    cells = max(rows * columns, min(2 * cores, nq * nc // MIN_PAIRS), math.ceil(nq * nc / TASK_PAIRS))
 
     def shape(c: int) -> tuple[int, int]:
         return max(rows, math.ceil(cells / c)), c
@@ -266,6 +267,9 @@ def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
         bounds = np.frombuffer(vectors.buffers()[1], dtype=np.int32)[vectors.offset:vectors.offset + len(vectors) + 1]
         flat = np.frombuffer(vectors.buffers()[2], dtype=np.uint8)[bounds[0]:bounds[-1]].view(np.float32)
     else:
+        sizes = pc.unique(pc.list_value_length(vectors))
+        if len(sizes) > 1 or sizes.null_count:
+            raise ValueError(f"vectors of different lengths: {sizes.to_pylist()[:5]}")
         flat = vectors.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(vectors), -1)
 
@@ -376,6 +380,6 @@ def user_top_brands(top: DataFrame, brands: DataFrame, k: int = 20) -> DataFrame
     without a brand are dropped. Equal counts are ordered by brand.
     """
     known = brands.select(F.col("productId").alias("similarId"), "brand").filter("brand is not null")
-    branded = lookup_join(top, known, ["similarId"], "id")
+    branded = top.join(known, "similarId")
     counts = branded.groupBy("id", "brand").agg(F.count("*").alias("products"))
     return top_k(counts, ["id"], [F.desc("products"), F.asc("brand")], k)

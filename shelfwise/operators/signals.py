@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.times import millis_to_text
-from .joins import lookup_join
 
 
 def rating_of(source: Column | str) -> Column:
@@ -43,14 +42,21 @@ def training_ratings(valid: DataFrame, customers: DataFrame, products: DataFrame
 
 def keep_known(ratings: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Ratings of the given customers for the given products."""
-    known = lookup_join(ratings, products.select("productId"), ["productId"], "customerId", "left_semi")
-    kept = lookup_join(known, customers.select("customerId"), ["customerId"], "productId", "left_semi")
+    known = ratings.join(products.select("productId"), "productId", "left_semi")
+    kept = known.join(customers.select("customerId"), "customerId", "left_semi")
     return kept.select("customerId", "productId", "rating")
 
 
-def _best() -> Column:
-    """Lowest source, then latest date, then lowest customer, as one comparable value."""
-    return F.min(F.struct("sourceId", (-F.col("signalDate")).alias("newest"), "customerId"))
+# 16 bits for the source, 47 for a date in epoch ms.
+LAST_SOURCE, LAST_DATE, HALF = 2**15 - 1, 2**47 - 1, 2**46
+
+
+def _order() -> Column:
+    """Lowest source, then latest date as one number, nulls last. Aggregates over numbers are hash aggregates."""
+    def within(c: Column, last: int) -> Column:
+        return F.when(c.isNull(), last).otherwise(F.least(F.greatest(c.cast("bigint"), F.lit(0)), F.lit(last - 1)))
+
+    return F.shiftleft(within(F.col("sourceId"), LAST_SOURCE).cast("bigint"), 47) + within(HALF - F.col("signalDate"), LAST_DATE)
 
 
 def latest_per_source(signals: DataFrame) -> DataFrame:
@@ -65,15 +71,20 @@ def latest_per_source(signals: DataFrame) -> DataFrame:
 def with_guid(signals: DataFrame, customers: DataFrame) -> DataFrame:
     """Signals with the external id of their customer; signals of unknown customers are dropped."""
     facts = signals.select("customerId", "productId", "sourceId", "signalDate")
-    joined = lookup_join(facts, customers.select("customerId", "guid"), ["customerId"], "productId")
+    joined = facts.join(customers.select("customerId", "guid"), "customerId")
     return joined.select("customerId", "guid", "productId", "sourceId", "signalDate")
 
 
 def prioritise(signals: DataFrame) -> DataFrame:
-    """One signal per guid and product: lowest source, then latest date, then lowest customer."""
-    return signals.groupBy("guid", "productId").agg(_best().alias("best")).select(
-        F.col("best.customerId"), "guid", "productId", F.col("best.sourceId"),
-        (-F.col("best.newest")).alias("signalDate"))
+    """One signal per guid and product: lowest source, then latest date; unknown sources and dates come last.
+
+    A customer is the lowest of those that share a guid and such a signal. Sources beyond 0 to 32766 count as the nearest of these.
+    """
+    same = signals.withColumn("order", _order()).groupBy("guid", "productId", "order").agg(
+        F.min("customerId").alias("customerId"), F.min("sourceId").alias("sourceId"), F.max("signalDate").alias("signalDate"))
+    return same.groupBy("guid", "productId").agg(
+        *(F.min_by(c, "order").alias(c) for c in ("customerId", "sourceId", "signalDate"))).select(
+        "customerId", "guid", "productId", "sourceId", "signalDate")
 
 
 def signal_output(signals: DataFrame) -> DataFrame:

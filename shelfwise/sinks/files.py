@@ -14,13 +14,13 @@ Partitioner = Callable[[DataFrame], tuple[list[str], DataFrame]]
 
 
 def save(df: DataFrame, path: str, num_partitions: int) -> None:
-    """Parquet, in at most ``num_partitions`` files."""
-    df.coalesce(num_partitions).write.parquet(path)
+    """Parquet, in ``num_partitions`` files. The rows are dealt anew, so the tasks that make them stay as many as they are."""
+    df.repartition(num_partitions).write.parquet(path)
 
 
 def save_text(df: DataFrame, path: str, delimiter: str, num_partitions: int) -> None:
     """Delimited text without a header, null as ``\\N``."""
-    _text(df.coalesce(num_partitions).write, delimiter).csv(path)
+    _text(df.repartition(num_partitions).write, delimiter).csv(path)
 
 
 def save_both(df: DataFrame, parquet_path: str, text_path: str, num_partitions: int = 32,
@@ -53,7 +53,7 @@ def rebalanced(df: DataFrame, columns: list[str], num_partitions: int) -> DataFr
 
 def save_lines(lines: DataFrame, path: str, num_partitions: int) -> None:
     """A single text column as plain lines, without any quoting."""
-    lines.coalesce(num_partitions).write.text(path)
+    lines.repartition(num_partitions).write.text(path)
 
 
 def _text(writer, delimiter: str):

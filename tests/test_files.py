@@ -2,7 +2,9 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from shelfwise.errors import DataParseError
 from shelfwise.functions import codec
 from shelfwise.operators import partitioning
 from shelfwise.plans import pointer, runner
@@ -43,7 +45,7 @@ def test_signals_are_strict(spark, tmp_path):
     row = feeds.load_text(spark, "signals", good, "|").first()
     assert (row.signalDate, row.price, row.customerId) == (MS, 3.25, 12)
     bad = write(tmp_path / "bad", line.format("yesterday"))
-    with pytest.raises(Exception, match="Cannot parse date=yesterday"):
+    with pytest.raises(Exception, match="no known form of a date: yesterday"):
         feeds.load_text(spark, "signals", bad, "|").collect()
 
 
@@ -250,3 +252,23 @@ def test_job_arguments(spark):
 
     with pytest.raises(RuntimeError):
         runner.run_job(broken, [], stop=False)
+
+
+def test_number_of_files_does_not_narrow_the_stage_before(spark, tmp_path):
+    rows = spark.range(0, 8000, 1, 8).select("id", F.spark_partition_id().alias("task"))
+    files.save(rows, f"{tmp_path}/p", 2)
+    files.save_text(rows, f"{tmp_path}/t", "|", 3)
+    files.save_lines(rows.select(F.col("task").cast("string").alias("value")), f"{tmp_path}/l", 2)
+    assert [len(list((tmp_path / d).glob("part-*"))) for d in "ptl"] == [2, 3, 2]
+    assert spark.read.parquet(f"{tmp_path}/p").select("task").distinct().count() == 8
+    assert spark.read.text(f"{tmp_path}/l").distinct().count() == 8
+
+
+def test_timestamp_column_and_broken_document(spark, tmp_path):
+    document = {"s": {"name": "n", "mode": "PERMISSIVE", "dateFormat": "dd/MM/yyyy HH:mm", "partitionByDateCol": "at", "partitionByDateOn": "yy,mm,hh",
+                      "fields": [{"name": "id", "dataType": "IntegerType"}, {"name": "at", "dataType": "TimestampType"}]}}
+    path = write(tmp_path / "t.csv", "1,04/03/2019 05:06\n")
+    row = csv_schema.load_with_schema(spark, path, csv_schema.CsvSchema.from_json(json.dumps(document))).first()
+    assert (row["at"], row.yy, row.mm, row.hh) == (dt.datetime(2019, 3, 4, 5, 6), "2019", "03", "05")
+    with pytest.raises(DataParseError):
+        csv_schema.CsvSchema.from_json("{broken")

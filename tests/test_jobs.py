@@ -96,7 +96,7 @@ def test_existing_model_is_reused(spark, retail, trained, tmp_path):
 
 def test_base64_exports_hold_the_stored_values(spark, retail, trained, tmp_path):
     export_base64.run(spark, {
-        "customersInput": f"{retail}/customers", "userFactorsInput": f"{trained}/userFactors",
+        "cohorts": "true", "userPartitions": "3", "customersInput": f"{retail}/customers", "userFactorsInput": f"{trained}/userFactors",
         "productFactorsInput": f"{trained}/prodFactors", "productSimilarityInput": f"{trained}/prodSim",
         "userFactorsOutput": f"{tmp_path}/u", "productFactorsOutput": f"{tmp_path}/p", "productSimilarityOutput": f"{tmp_path}/s"})
     lines = lambda name: [r.value.split("\t") for r in spark.read.text(f"{tmp_path}/{name}").collect()]
@@ -122,15 +122,28 @@ def test_base64_exports_hold_the_stored_values(spark, retail, trained, tmp_path)
 
 
 def test_text_exports_are_optional(spark, trained, tmp_path):
-    export_text.run(spark, {"productFactorsInput": f"{trained}/prodFactors", "productFactorsOutput": f"{tmp_path}/p",
+    export_text.run(spark, {"cohorts": "true", "productFactorsInput": f"{trained}/prodFactors", "productFactorsOutput": f"{tmp_path}/p",
                             "userFactorsInput": f"{trained}/userFactors", "userFactorsOutput": f"{tmp_path}/u"})
     assert not (tmp_path / "s").exists()
     assert len(spark.read.text(f"{tmp_path}/p").first().value.split(",")) == RANK + 1
     assert len(spark.read.csv(f"{tmp_path}/u", sep="\t").columns) == 2
-    export_text.run(spark, {"productSimilarityInput": f"{trained}/prodSim", "productSimilarityOutput": f"{tmp_path}/s"})
+    export_text.run(spark, {"cohorts": "true", "productSimilarityInput": f"{trained}/prodSim", "productSimilarityOutput": f"{tmp_path}/s"})
     assert len(spark.read.csv(f"{tmp_path}/s", sep="\t").columns) == 3
 
 
+def test_exports_of_a_run_without_cohorts(spark, retail, trained, tmp_path):
+    """Such a run writes the folder that a cohort has here, and nothing below it."""
+    sources = {"userFactorsInput": f"{trained}/userFactors/male", "productFactorsInput": f"{trained}/prodFactors/male",
+               "productSimilarityInput": f"{trained}/prodSim/male", "customersInput": f"{retail}/customers"}
+    targets = lambda kind: {n: f"{tmp_path}/{kind}/{n}" for n in ("userFactorsOutput", "productFactorsOutput", "productSimilarityOutput")}
+    export_base64.run(spark, {**sources, **targets("b")})
+    export_text.run(spark, {**sources, **targets("t")})
+    n = spark.read.parquet(f"{trained}/prodFactors/male").count()
+    lines = [r.value.split("\t") for r in spark.read.text(f"{tmp_path}/b/productFactorsOutput").collect()]
+    assert len(lines) == n and {len(cells) for cells in lines} == {2}
+    assert spark.read.text(f"{tmp_path}/t/productFactorsOutput").count() == n
+
+
 def test_filterable_signals(spark, retail, tmp_path):
     rows = [signal(1, 10, 5, "2016-05-06T07:08:09"), signal(1, 10, 5, "2016-05-07T07:08:09"), "",
             signal(1, 10, 6, "2018-05-06T07:08:09"), signal(1, 11, 1, "2016-07-08T09:10:11"), signal(2, 10, 6, "2018-09-10T11:12:13"),

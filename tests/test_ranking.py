@@ -63,6 +63,17 @@ def test_grid_shapes():
         assert rows * columns >= min(2 * cores, nq * nc // ranking.MIN_PAIRS)
         assert nq / rows <= side and nc / columns <= side
         assert nq * columns + nc * rows <= 8 * (nq * nc * rows * columns) ** 0.5 or columns == 1
+    for nq, nc in ((10**8, 10**4), (1_600_000, 1_600_000)):
+        rows, columns = ranking._grid_shape(ranking.Sizes(nq, nc, 10), 100, 8)
+        assert nq * nc / (rows * columns) <= 1.01 * ranking.TASK_PAIRS
+        assert nq / rows * 100 * ranking.RESULT_BYTES <= ranking.CELL_BYTES
+
+
+def test_vectors_of_different_lengths_are_an_error(spark):
+    for bad in ([1.0], None):
+        rows = spark.createDataFrame([(1, [1.0, 2.0]), (2, bad)], "id bigint, factors array<float>")
+        with pytest.raises(Exception, match="different lengths"):
+            ranking.top_items(rows, rows, 2).collect()
 
 
 def test_many_equal_vectors_break_ties_by_id(spark, small_cells):

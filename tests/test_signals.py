@@ -1,4 +1,4 @@
-from shelfwise.operators import joins, products, signals
+from shelfwise.operators import products, signals
 from shelfwise.sources import tolerant
 
 GUID = "customerId int, guid string, productId int, sourceId int, signalDate bigint"
@@ -51,17 +51,32 @@ def test_priority_signals_equal_the_direct_rule(spark, as_rows):
     assert as_rows(signals.priority_signals(facts, people)) == as_rows(direct)
 
 
-def test_lookups_beyond_the_broadcast_limit_are_the_same(spark, as_rows, monkeypatch):
-    """One customer holds a third of all signals; the salted join gives what the broadcast gives."""
+def test_one_customer_with_a_third_of_all_signals(spark, as_rows):
     facts = spark.range(3000).selectExpr(
         "if(id % 3 = 0, 1, id % 40) as customerId", "id % 100 as productId", "cast(id % 8 as int) as sourceId", "id as signalDate")
     people = spark.range(30).selectExpr("id as customerId", "concat('g', id) as guid")
-    items = spark.range(90).selectExpr("id as productId")
-    run = lambda: (as_rows(signals.priority_signals(facts, people)),
-                   as_rows(signals.training_ratings(signals.valid_signals(facts), people, items)))
-    small = run()
-    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
-    assert run() == small and len(small[0]) > 100
+    best = {}
+    for i in range(3000):
+        customer, product, source = (1 if i % 3 == 0 else i % 40), i % 100, i % 8
+        if customer < 30:
+            best[customer, product] = min(best.get((customer, product), (99, 0)), (source, -i))
+    got = signals.prioritise(signals.with_guid(signals.latest_per_source(facts), people))
+    assert {(r.customerId, r.productId): (r.sourceId, -r.signalDate) for r in got.collect()} == best
+
+
+def test_dated_and_known_signals_come_first(spark, as_rows):
+    facts = spark.createDataFrame([(1, 10, 1, None), (1, 10, 1, 5), (1, 11, None, 9), (1, 11, 7, None), (1, 12, None, None), (2, 10, 1, 5)],
+                                  "customerId bigint, productId int, sourceId int, signalDate bigint")
+    people = spark.createDataFrame([(1, "g"), (2, "g")], "customerId bigint, guid string")
+    got = signals.prioritise(signals.with_guid(facts, people))
+    assert as_rows(got, "customerId", "productId", "sourceId", "signalDate") == [(1, 10, 1, 5), (1, 11, 7, None), (1, 12, None, None)]
+
+
+def test_signal_aggregates_are_hash_aggregates(spark, capsys):
+    facts = spark.range(10).selectExpr("id as customerId", "id as productId", "1 as sourceId", "id as signalDate")
+    people = spark.range(10).selectExpr("id as customerId", "cast(id as string) as guid")
+    signals.priority_signals(facts, people).explain()
+    assert "SortAggregate" not in capsys.readouterr().out
 
 
 def test_training_ratings(spark, as_rows):
