@@ -306,6 +306,36 @@ def oracle_sql() -> dict[str, str]:
                                  CASE WHEN doc_id % 7 <> 0 THEN 'store' || (doc_id % 10) END AS account,
                                  CASE WHEN doc_id % 7 <> 0 THEN 'docs/' || lang || '/' || doc_id END AS prefix
                           FROM documents""",
+        "feed_customer": _with(
+            CUSTOMERS,
+            """SELECT customerId, guid, gender, epoch_ms(TIMESTAMP '2001-01-01 01:02:03.25' + CAST(customerId % 900 AS INTEGER) * INTERVAL 1 DAY) AS dateEntered,
+                      CAST(NULL AS BIGINT) AS dateModified, customerId % 2 AS premier FROM customers"""),
+        "feed_product": """SELECT p_partkey AS productId, p_brand AS brandName,
+                                  epoch_ms(TIMESTAMP '2001-01-01 04:05:06' + CAST(p_partkey % 900 AS INTEGER) * INTERVAL 1 DAY) AS dateOnSite,
+                                  p_retailprice AS currentPrice, p_size AS stockLevel FROM part""",
+        "feed_variant": """SELECT p_partkey AS productId, p_partkey * 10 AS variantId, p_type AS sizeName, p_retailprice AS rrp,
+                                  epoch_ms(TIMESTAMP '2001-01-01 04:05:06' + CAST(p_partkey % 900 AS INTEGER) * INTERVAL 1 DAY) AS dateModified FROM part""",
+        "feed_receipt": """SELECT o_custkey AS customerId, o_orderkey AS receiptId, o_totalprice AS priceAtPurchase, o_orderkey % 2 = 0 AS isPremier,
+                                  epoch_ms(o_orderdate) AS dateEntered FROM orders""",
+        "feed_return": """SELECT l_orderkey AS receiptId, CAST(l_linenumber AS VARCHAR) AS returnItemId, CAST(l_partkey AS VARCHAR) AS itemQty,
+                                 epoch_ms(l_shipdate) AS returnsDateKey, CASE WHEN l_linenumber = 1 THEN epoch_ms(l_shipdate) END AS dateEntered FROM lineitem""",
+        "feed_signals": _with(ORDER_SIGNALS, "SELECT customerId, productId, sourceId, signalDate, sourceId % 2 AS useForRecs FROM order_signals"),
+        "promotion_documents": """
+            SELECT 'X' || o_orderkey AS promoId, position, CASE WHEN position = 0 AND o_orderkey % 11 <> 0 THEN 2 END AS lowerBuy,
+                   CASE position WHEN 1 THEN 1 END AS getQty, CASE position WHEN 0 THEN 'Money Off' ELSE 'No Discount' END AS reward,
+                   CASE position WHEN 0 THEN 1.5 END AS value, 'a & b ' || o_orderkey AS description,
+                   date_trunc('day', o_orderdate) AS startDate, CASE WHEN o_orderkey % 11 <> 0 THEN date_trunc('day', o_orderdate) END AS endDate,
+                   CASE WHEN o_orderkey % 11 = 0 THEN 'unreadable EndDate 31/02/2021; unreadable LowerBuyQuantity two' ELSE '' END AS problems,
+                   CASE position WHEN 0 THEN list_aggregate(list_sort([CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR)]), 'string_agg', ' ') END AS skus
+            FROM orders, (VALUES (0), (1)) AS p(position)""",
+        "als_item_factors": _with(
+            _ratings(ORDER_SIGNALS, "order_signals", CUSTOMERS, ELIGIBLE),
+            """SELECT DISTINCT productId AS id, 10 AS rank FROM ratings
+               WHERE customerId IN (SELECT customerId FROM customers WHERE balance > 0) AND productId IN (SELECT productId FROM eligible)"""),
+        "als_cohort_user_factors": _with(
+            _ratings(ORDER_SIGNALS, "order_signals", CUSTOMERS, PRODUCTS),
+            """SELECT DISTINCT customerId AS id, upper(gender[1]) AS gender, 10 AS rank FROM ratings JOIN customers USING (customerId)
+               WHERE balance > 0 AND productId IN (SELECT productId FROM products)"""),
         "similar_items": _with(SIMILAR, "SELECT id, similarId, round(score, 6) AS score FROM similar_items"),
         "user_top_items": _with(USER_TOP, "SELECT id, similarId, round(score, 6) AS score FROM user_top"),
         "user_top_brands": _with(

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codec, paths, times
-from ..plans.ingest_promotions import ingest, translate_supported
 from ..operators import factors, partitioning, products, promotions, ranking, segments, signals
+from ..plans.ingest_promotions import ingest, translate_supported
 from ..sinks import files
-from ..sources import csv_schema, ranges, tolerant
+from ..sources import csv_schema, feeds, promotions_xml, ranges, tolerant
 from . import views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -258,6 +258,88 @@ def cloud_paths(spark, sf):
         "doc_id", *paths.cloud_path_parts("path"))
 
 
+# --- feeds -----------------------------------------------------------------
+
+def _feed(df, feed, delimiter, shown, **values):
+    """Lines of a feed out of the given values, read back; columns without a value are null in the lines."""
+    cells = [values[f.name].cast("string") if f.name in values else F.lit(feeds.NULL_TEXT) for f in feeds.FEEDS[feed].schema]
+    lines = df.select(F.concat_ws(delimiter, *(F.coalesce(c, F.lit(feeds.NULL_TEXT)) for c in cells)).alias("value"))
+    return feeds.parse_text(lines, feed, delimiter).select(*shown)
+
+
+@query
+def feed_customer(spark, sf):
+    day = F.date_add(F.to_date(F.lit("2001-01-01")), (F.col("c_custkey") % 900).cast("int"))
+    return _feed(views.customers(spark, sf).withColumnRenamed("customerId", "c_custkey"), "customer", "\t",
+                 ["customerId", "guid", "gender", "dateEntered", "dateModified", "premier"],
+                 customerId=F.col("c_custkey"), guid=F.col("guid"), gender=F.col("gender"), premier=F.col("c_custkey") % 2,
+                 dateEntered=F.date_format(day, "yyyy-MM-dd'T'01:02:03.250'Z'"), dateModified=F.when(F.col("c_custkey") % 3 == 0, "soon"))
+
+
+@query
+def feed_product(spark, sf):
+    kind = F.col("p_partkey") % 3
+    day = F.date_add(F.to_date(F.lit("2001-01-01")), (F.col("p_partkey") % 900).cast("int"))
+    date = (F.when(kind == 0, F.date_format(day, "yyyy-MM-dd'T'04:05:06")).when(kind == 1, F.date_format(day, "yyyy-MM-dd'T'04:05:06.07"))
+            .otherwise(F.date_format(day, "yyyy-MM-dd'T'04:05:06.078")))
+    return _feed(views.table(spark, sf, "part"), "product", "|", ["productId", "brandName", "dateOnSite", "currentPrice", "stockLevel"],
+                 productId=F.col("p_partkey"), brandName=F.col("p_brand"), dateOnSite=date, currentPrice=F.col("p_retailprice"), stockLevel=F.col("p_size"))
+
+
+@query
+def feed_variant(spark, sf):
+    date = F.date_format(F.date_add(F.to_date(F.lit("2001-01-01")), (F.col("p_partkey") % 900).cast("int")), "yyyy-MM-dd 04:05:06.500")
+    return _feed(views.table(spark, sf, "part"), "variant", "|", ["productId", "variantId", "sizeName", "rrp", "dateModified"],
+                 productId=F.col("p_partkey"), variantId=F.col("p_partkey") * 10, sizeName=F.col("p_type"), rrp=F.col("p_retailprice"), dateModified=date)
+
+
+@query
+def feed_receipt(spark, sf):
+    date = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    return _feed(views.table(spark, sf, "orders"), "receipt", "\t", ["customerId", "receiptId", "priceAtPurchase", "isPremier", "dateEntered"],
+                 customerId=F.col("o_custkey"), receiptId=F.col("o_orderkey"), priceAtPurchase=F.col("o_totalprice"),
+                 isPremier=F.col("o_orderkey") % 2 == 0, dateEntered=date, dateModified=date)
+
+
+@query
+def feed_return(spark, sf):
+    date = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
+    return _feed(views.table(spark, sf, "lineitem"), "return", "|", ["receiptId", "returnItemId", "itemQty", "returnsDateKey", "dateEntered"],
+                 receiptId=F.col("l_orderkey"), returnItemId=F.col("l_linenumber"), itemQty=F.col("l_partkey"), returnsDateKey=date, receiptDateKey=date,
+                 dateEntered=F.when(F.col("l_linenumber") == 1, date))
+
+
+@query
+def feed_signals(spark, sf):
+    lines = views.order_signals(spark, sf)
+    date = F.date_format(F.timestamp_millis("signalDate"), "yyyy-MM-dd'T'HH:mm:ss.030000000")
+    return _feed(lines, "signals", "|", ["customerId", "productId", "sourceId", "signalDate", "useForRecs"],
+                 customerId=F.col("customerId"), productId=F.col("productId"), sourceId=F.col("sourceId"), signalDate=date, dateModified=date,
+                 useForRecs=F.col("sourceId") % 2)
+
+
+@query
+def promotion_documents(spark, sf):
+    """XML documents of orders to rows of product sets; every eleventh has a date and a quantity that cannot be read."""
+    key, bad = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 11 == 0
+    tag = lambda name, c: F.concat(F.lit(f"<{name}>"), c, F.lit(f"</{name}>"))
+    day = lambda c: F.date_format(c, "dd/MM/yyyy")
+    overview = tag("PromotionOverview", F.concat(
+        tag("PromotionID", F.concat(F.lit("X"), key)), tag("StartDate", day("o_orderdate")),
+        tag("EndDate", F.when(bad, "31/02/2021").otherwise(day("o_orderdate"))), tag("PromotionLongDescription", F.concat(F.lit("a &amp; b "), key))))
+    products = F.concat(F.lit('<ProductCode Seq="1">'), key, F.lit('</ProductCode><ProductCode Seq="2"> '), F.col("o_custkey").cast("string"), F.lit(" </ProductCode>"))
+    sets = F.concat(
+        tag("ProductSet", F.concat(tag("LowerBuyQuantity", F.when(bad, "two").otherwise("2")), F.lit("<GetQuantity></GetQuantity>"),
+                                   tag("RewardOption", F.lit("Money Off")), F.lit('<RewardValue CurrencyCode="GBP">1.50</RewardValue>'), tag("Products", products))),
+        tag("ProductSet", F.concat(tag("GetQuantity", F.lit("1")), tag("RewardOption", F.lit("No Discount")))))
+    text = tag("Promotion", F.concat(overview, tag("ProductSets", sets)))
+    documents = promotions_xml.parse_promotions(views.table(spark, sf, "orders").select(text.alias("value")))
+    flat = promotions.flatten_promotions(documents)
+    heads = flat.promotions.select("docId", "description", "startDate", "endDate", F.array_join("problems", "; ").alias("problems"))
+    skus = flat.products.groupBy("docId", "position").agg(F.array_join(F.sort_array(F.collect_list("sku")), " ").alias("skus"))
+    return flat.sets.join(heads, "docId").join(skus, ["docId", "position"], "left").drop("docId")
+
+
 # --- ranking ---------------------------------------------------------------
 
 def _similar(spark, sf, k=100):
@@ -305,7 +387,8 @@ def approx_similar_items(spark, sf):
 @query
 def als_item_factors(spark, sf):
     model = factors.train(_training_ratings(spark, sf), ALS)
-    return products.keep_items(factors.item_factors(model), _eligible(spark, sf))
+    kept = products.keep_items(factors.item_factors(model), _eligible(spark, sf))
+    return kept.select(F.col("id").cast("bigint").alias("id"), F.size("factors").alias("rank"))
 
 
 @query

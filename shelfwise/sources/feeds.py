@@ -74,6 +74,14 @@ def _formats(rule: DateRule) -> str | list[str]:
     return rule.formats if isinstance(rule.formats, str) else list(rule.formats)
 
 
+def parse_text(lines: DataFrame, feed: str | Feed, delimiter: str, column: str = "value") -> DataFrame:
+    """Lines of a feed, wherever they come from, with the schema, options and dates that files are read with."""
+    spec = FEEDS[feed] if isinstance(feed, str) else feed
+    options = {"sep": delimiter, "nullValue": NULL_TEXT, **spec.options}
+    row = F.from_csv(F.col(column), F.lit(spec.schema.toDDL()), options)
+    return with_millis(lines.select(F.inline(F.array(row))), spec)
+
+
 def load_text(
     spark: SparkSession, feed: str | Feed, paths: str | Sequence[str], delimiter: str,
     options: Mapping[str, str] | None = None, raw: bool = False, num_partitions: int | None = None,

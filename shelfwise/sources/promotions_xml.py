@@ -35,6 +35,11 @@ def _text(c: Column | str) -> Column:
     return F.nullif(F.trim(F.regexp_replace(c, r"^\s+|\s+$", "")), F.lit(""))
 
 
+def parse_promotions(documents: DataFrame, column: str = "value") -> DataFrame:
+    """Texts of one <Promotion> element each: see :func:`shape_promotions`."""
+    return shape_promotions(documents.select(F.inline(F.array(F.from_xml(F.col(column), DOCUMENT)))))
+
+
 def load_promotions_xml(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Promotion documents of XML files: see :func:`shape_promotions`."""
     files = ",".join([paths] if isinstance(paths, str) else paths)
