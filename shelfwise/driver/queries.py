@@ -399,12 +399,13 @@ def als_similar_items(spark, sf):
 
 @query
 def als_cohort_user_factors(spark, sf):
-    ratings, customers = _training_ratings(spark, sf), views.customers(spark, sf)
+    ratings, customers = _training_ratings(spark, sf).persist(), views.customers(spark, sf)
     cohorts = {}
     for gender in ("male", "female"):
         members = customers.filter(F.col("gender") == gender).select("customerId")
         model = factors.train(ratings.join(members, "customerId", "left_semi"), ALS)
         cohorts[gender] = factors.user_factors(model)
+    ratings.unpersist()
     return factors.union_cohorts(cohorts).select("id", "gender", F.size("factors").alias("rank"))
 
 

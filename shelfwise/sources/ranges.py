@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import KEYED_FORMATS, PLAIN_FORMATS, FolderNames, day_paths, days_back, months_back
-from .feeds import FEEDS, load_text
+from .feeds import FEEDS, load_parquet, load_text
 
 
 class NoDataError(FileNotFoundError):
@@ -56,14 +56,19 @@ def _utc_day(ms: int) -> dt.date:
     return dt.datetime.fromtimestamp(ms / 1000, dt.timezone.utc).date()
 
 
-def load_range(spark: SparkSession, base: str, from_ms: int, to_ms: int) -> DataFrame:
+def load_range(spark: SparkSession, base: str, from_ms: int, to_ms: int, feed: str | None = None,
+               required: bool = False) -> DataFrame:
     """Parquet rows of ``yy=/mm=/dd=`` folders whose day lies in the range, both ends included.
 
     The predicate is on partition columns only, so Spark lists and reads just
-    the folders it needs.
+    the folders it needs. With a ``feed`` its dates become epoch ms; ``required`` makes an empty range an error.
     """
     low, high = sorted((_utc_day(from_ms), _utc_day(to_ms)))
-    return spark.read.parquet(base).filter(_day_number().between(_day_key(low), _day_key(high)))
+    rows = load_parquet(spark, feed, base) if feed else spark.read.parquet(base)
+    rows = rows.filter(_day_number().between(_day_key(low), _day_key(high)))
+    if required and rows.isEmpty():
+        raise NoDataError(f"no rows under {base} from {low} to {high}")
+    return rows
 
 
 def load_range_paths(spark: SparkSession, base: str, from_ms: int, to_ms: int,

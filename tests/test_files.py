@@ -131,6 +131,9 @@ def test_partitioned_append_and_range_reads(spark, tmp_path):
     files.save_partitioned(df.filter("id >= 20"), base, 2, by_day)
     ids = lambda d: sorted(r.id for r in d.select("id").collect())
     ranged = ranges.load_range(spark, base, MS + 30 * day, MS - 2 * day)
+    assert ranges.load_range(spark, base, 0, day).count() == 0
+    with pytest.raises(ranges.NoDataError):
+        ranges.load_range(spark, base, 0, day, required=True)
     assert ids(ranged) == list(range(3, 36))
     assert "PartitionFilters: [" in ranged._jdf.queryExecution().toString()
     assert ids(ranges.load_range_paths(spark, base, MS - 2 * day, MS + 30 * day)) == list(range(3, 36))
