@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.session import ensure_checkpoint_dir
 
+#: Up to so many ids are broadcast, with a number or two each (at most 64 MB); more are joined by a shuffle.
+BROADCAST_ROWS = 2_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -34,3 +36,14 @@ def cut(df: DataFrame) -> DataFrame:
     """The rows from the shared checkpoint folder; a lost executor costs nothing that was computed before."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def sized(ids: DataFrame) -> DataFrame:
+    """Narrow rows, to be broadcast if they are few enough, so that texts need not be shuffled to meet them."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows, with all columns, whose doc_id is not among the ``doc_id`` of gone; rows without doc_id stay."""
+    ids = cut(gone.select(F.col("doc_id").alias("__id")).distinct())
+    return docs.join(sized(ids), F.col("doc_id").cast("long") == F.col("__id"), "left_anti")

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwise.llm.common import id_and_text
+from shelfwise.llm.common import id_and_text, without
 
 K1, B = 1.2, 0.75
 #: Share of an item's own score that a passage has to reach, and share of n-grams of question and answer it has to hold.
@@ -216,5 +216,4 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows without a leak, with all columns; rows without doc_id stay."""
-    found = find_leaks(docs, benchmark).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(found, F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+    return without(docs, find_leaks(docs, benchmark))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfwise.llm.common import cut, id_and_text
+from shelfwise.llm.common import cut, id_and_text, sized
 
 #: Runs of ASCII white space that are not one space already.
 SPACES = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -61,10 +61,20 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows that exact_dedup keeps, with all their columns: one row per text."""
-    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__kept"))
+    found = cut(exact_dedup(docs))
     own = docs.withColumns({"__doc": F.col("doc_id").cast("long"),
                             "__digest": F.sha2(normalised(F.coalesce("text", F.lit(""))), 256)})
-    matched = own.join(kept, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__kept")), "left_semi")
-    # Rows that repeat an id and its text lie together after the join.
-    same = Window.partitionBy("__doc", "__digest").orderBy("__doc")
-    return matched.withColumn("__n", F.row_number().over(same)).filter("__n = 1").drop("__n", "__doc", "__digest")
+    same_row = F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__other"))
+
+    def rows(of: DataFrame) -> DataFrame:
+        return of.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__other"))
+
+    gone = found.filter(~F.col("kept"))
+    if gone.filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).isEmpty():
+        left = own.join(sized(rows(gone)), same_row, "left_anti")
+    else:
+        # Rows that repeat an id and its text can't be told apart by them: they lie together after this join.
+        left = own.join(rows(found.filter("kept")), same_row, "left_semi")
+        again = Window.partitionBy("__doc", "__digest").orderBy("__doc")
+        left = left.withColumn("__n", F.row_number().over(again)).filter("__n = 1").drop("__n")
+    return left.drop("__doc", "__digest")
