@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,14 +10,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwise.llm.common import cut, id_and_text
+from shelfwise.llm.common import cut, id_and_text, sized, without
 from shelfwise.llm.components import components
 from shelfwise.llm.language_model import words_of
 
 #: Word hashes that a task remembers at most; a full memory starts anew.
 MEMORY = 300_000
-#: Up to so many rows of two numbers are broadcast (32 MB); more are joined by a shuffle.
-BROADCAST_ROWS = 2_000_000
 #: A block of a family has about so many documents and shingles at most.
 BLOCK_ROWS, BLOCK_SHINGLES = 1024, 400_000
 #: Columns of the incidence matrix that are multiplied at a time.
@@ -51,51 +50,55 @@ class Shingles:
         n = min(self.n, len(own))
         if not n:
             return own
-        total = _mixed(own[:len(own) - n + 1], n)
+        # A sum with odd factors, so that the order counts, and one finalizer.
+        total = own[:len(own) - n + 1].copy()
         for k in range(1, n):
-            total = _mixed(total * U(31) + own[k:len(own) - n + 1 + k])
-        return total
+            total += own[k:len(own) - n + 1 + k] * U(pow(0x9E3779B97F4A7C15, k, 2**64))
+        return _mixed(total, n)
 
     def __call__(self, text: str) -> np.ndarray:
         return np.unique(self.sequence(text))
 
 
-def class_ends(percent: int, limit: int) -> list[int]:
-    """The largest size of each class, up to the class that holds the limit. Sizes of two sets that can qualify are in
-    one class or in neighbouring ones."""
-    ends = [100 // percent]
-    while ends[-1] < limit:
-        ends.append((ends[-1] + 1) * 100 // percent)
-    return ends
+class Cuts:
+    """Classes of set sizes, and for each into how many parts its sets are cut and how many of them may be empty.
 
+    Sets x and y with 100 |x & y| >= percent |x | y| are in one class or in neighbouring ones, and differ in at most
+    k = (100 - percent)(|x| + |y|) / (100 + percent) shingles; k is taken for the largest pair of a class and the next. Cut
+    into k + 1 + e parts by hash range, they agree in e + 1 parts or more. e is a little more than the number of parts
+    that a set of the class leaves empty by chance.
+    """
 
-def cuts(percent: int, limit: int) -> tuple[list[int], list[tuple[int, int]]]:
-    """Ends of the size classes, and for each class into how many parts its sets are cut and how many of them may be empty.
+    def __init__(self, percent: int) -> None:
+        self.percent, self.ends, self.plans = percent, [], []
 
-    Sets x and y with 100 |x & y| >= percent |x | y| differ in at most k = (100 - percent)(|x| + |y|) / (100 + percent)
-    shingles; k is taken for the largest pair of a class and the next. Cut into k + 1 + e parts by hash range, they agree
-    in e + 1 parts or more. e is a little more than the number of parts that a set of the class leaves empty by chance.
-    """
-    ends, plans = class_ends(percent, limit), []
-    for least, end in zip([1, *(e + 1 for e in ends)], ends):
+    def _extend(self) -> None:
+        percent, least = self.percent, self.ends[-1] + 1 if self.ends else 1
+        end = least * 100 // percent
         k = (100 - percent) * (end + end * 100 // percent) // (100 + percent)
         spare = 0
         for _ in range(3):
             empty = (k + 1 + spare) * (1 - 1 / (k + 1 + spare)) ** least
             spare = int(np.ceil(empty + 3 * empty**0.5)) if empty >= 0.5 else 0
-        plans.append((k + 1 + spare, spare))
-    return ends, plans
+        self.ends.append(end)
+        self.plans.append((k + 1 + spare, spare))
+
+    def of(self, size: int) -> list[tuple[int, int, int]]:
+        """Number, parts and spare of the class of a size and of the one before."""
+        while not self.ends or self.ends[-1] < size:
+            self._extend()
+        at = bisect_left(self.ends, size)
+        return [(k, *self.plans[k]) for k in range(max(0, at - 1), at + 1)]
 
 
-def signatures(own: np.ndarray, ends: list[int], plans: list[tuple[int, int]]) -> np.ndarray:
+def signatures(own: np.ndarray, cuts: Cuts) -> np.ndarray:
     """Hashes of which any two sets that qualify share one: those of the parts of a set, cut for its class and for the
     class before.
 
     With at most e empty parts in one of two sets, a part in which they agree is not empty, so empty parts need no
     hash. A set with more of them tells each apart by the parts of another cut.
     """
-    at = int(np.searchsorted(ends, len(own)))
-    return np.concatenate([_parts(own, *plans[k], U(k + 1), 0) for k in range(max(0, at - 1), at + 1)])
+    return np.concatenate([_parts(own, parts, spare, U(k + 1), 0) for k, parts, spare in cuts.of(len(own))])
 
 
 def _parts(own: np.ndarray, parts: int, spare: int, label: np.uint64, depth: int) -> np.ndarray:
@@ -113,39 +116,28 @@ def _parts(own: np.ndarray, parts: int, spare: int, label: np.uint64, depth: int
     return np.concatenate([signs[~empty], *(_parts(own, parts, spare, s, depth + 1) for s in signs[empty])])
 
 
-def _keys(texts: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles and two hashes of the set."""
+def _signed(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, two hashes of the set, and its signatures; texts are read once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(words)
+        shingles, cuts = Shingles(words), Cuts(percent)
         for batch in batches:
             sets = [shingles(t.as_py()) for t in batch.column(1)]
             both = [pa.array(np.array([_mixed(s, seed).sum(dtype=U) for s in sets], U).view(np.int64)) for seed in (1, 2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *both],
-                                             ["doc_id", "n_shingles", "h1", "h2"])
+            signs = [signatures(s, cuts).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets]
+            bounds = pa.array(np.cumsum([0, *map(len, signs)]), pa.int32())
+            lists = pa.ListArray.from_arrays(bounds, pa.array(np.concatenate([np.empty(0, np.int64), *signs]), pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *both, lists],
+                                             ["doc_id", "n_shingles", "h1", "h2", "signs"])
 
-    return texts.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long")
+    return texts.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, signs array<long>")
 
 
-def _candidate_links(texts: DataFrame, words: int, percent: int, longest: int) -> DataFrame:
+def _candidate_links(signed: DataFrame) -> DataFrame:
     """Pairs (a, b) that connect all documents which share a signature.
 
     Signatures are sorted over the cluster by signature and id; neighbours with an equal one are linked where they
     lie. A signature of many documents may run over several tasks: first and last rows of all tasks link these.
     """
-    ends, plans = cuts(percent, longest)
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(words)
-        for batch in batches:
-            signs = []
-            for text in batch.column(1):
-                own = shingles(text.as_py())
-                signs.append(signatures(own, ends, plans).view(np.int64) if len(own) else np.empty(0, np.int64))
-            sizes = np.cumsum([0, *map(len, signs)])
-            flat = np.concatenate(signs) if signs else np.empty(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "signs"])
-
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sign = first = last = None  # signature of the run, its first document; last row
         start = True
@@ -168,7 +160,7 @@ def _candidate_links(texts: DataFrame, words: int, percent: int, longest: int) -
             yield pa.RecordBatch.from_arrays([pa.array([last], pa.int64()), pa.array([last], pa.int64()), pa.array([int(sign)], pa.int64())],
                                              ["a", "b", "sign"])
 
-    signs = texts.mapInArrow(emit, "doc_id long, signs array<long>").select(F.explode("signs").alias("sign"), "doc_id")
+    signs = signed.select(F.explode("signs").alias("sign"), "doc_id")
     linked = cut(signs.repartitionByRange("sign", "doc_id").sortWithinPartitions("sign", "doc_id")
                  .mapInArrow(link, "a long, b long, sign long").distinct())
     across = linked.filter("sign IS NOT NULL").select("sign", "a").distinct()
@@ -246,8 +238,7 @@ def _verified_links(texts: DataFrame, members: DataFrame, words: int, percent: i
     blocks = sizes.filter("rows > 1").select("family", F.greatest(
         F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     wanted = cut(members.join(blocks, "family").select(F.col("doc_id").alias("id"), "family", "blocks", "n_shingles"))
-    small = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    rows = texts.join(small, F.col("doc_id") == F.col("id")).select("doc_id", "text", "family", "blocks", "n_shingles") \
+    rows = texts.join(sized(wanted), F.col("doc_id") == F.col("id")).select("doc_id", "text", "family", "blocks", "n_shingles") \
         .mapInArrow(emit, "doc_id long, family long, blocks int, set binary") \
         .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     cells = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
@@ -271,11 +262,10 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     links. An empty table gives no rows; other columns are not read.
     """
     texts = id_and_text(docs)
-    keys = cut(_keys(texts, words))
-    longest = keys.agg(F.max("n_shingles")).first()[0] or 0
+    keys = cut(_signed(texts, words, percent))
     known = texts.filter(F.col("doc_id").isNotNull())
-    families = components(_candidate_links(known, words, percent, longest))
     full = keys.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    families = components(_candidate_links(full))
     members = full.join(families, F.col("doc_id") == F.col("node")).groupBy("h1", "h2", "n_shingles") \
         .agg(F.min("doc_id").alias("doc_id"), F.min("component").alias("family"))
     linked = components(_verified_links(known, members, words, percent))
@@ -288,5 +278,4 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows whose doc_id is the smallest of its component, with all columns; rows without doc_id stay."""
-    gone = jaccard_components(docs, words, percent).filter("component_id < doc_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+    return without(docs, jaccard_components(docs, words, percent).filter("component_id < doc_id"))
