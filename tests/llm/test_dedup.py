@@ -228,6 +228,28 @@ def test_repeated_passages(spark, documents):
     assert not missed and repeated <= {r.doc_id for r in got}
 
 
+def line_documents(rng, n, lines):
+    """Documents of shared lines, each too short for a passage, and a few passages made of such lines."""
+    return [(i, " ".join([sentence(rng, rng.randrange(5, 30)), *(rng.choice(lines) for _ in range(6)), sentence(rng, 20)])) for i in range(n)]
+
+
+def test_hot_keys_change_no_candidate(spark, monkeypatch):
+    rng = random.Random(11)
+    lines = [sentence(rng, 30) for _ in range(6)]
+    docs = odd_rows(spark, *line_documents(rng, 60, lines)).select("doc_id", "text")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), {}
+    try:
+        for hot in (10**9, 25, -1):
+            for tasks in (1, 4, 13):
+                monkeypatch.setattr(substring_dedup, "HOT", hot)
+                spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+                found[hot, tasks] = {tuple(r) for r in substring_dedup._candidates(docs, 46).select("doc_id", "pivot", "first", "last").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    expected = found[10**9, 1]
+    assert expected and all(f == expected for f in found.values()), {k: (len(f), len(f ^ expected)) for k, f in found.items()}
+
+
 # --- decontamination -------------------------------------------------------
 
 def test_retrieval_is_exact():
