@@ -243,13 +243,28 @@ def test_hot_keys_change_no_candidate(spark, monkeypatch):
             for tasks in (1, 4, 13):
                 monkeypatch.setattr(substring_dedup, "HOT", hot)
                 spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
-                found[hot, tasks] = {tuple(r) for r in substring_dedup._candidates(docs, 46).select("doc_id", "pivot", "first", "last").collect()}
+                found[hot, tasks] = {tuple(r) for r in substring_dedup._candidates(docs, 46)[0].select("doc_id", "pivot", "first", "last").collect()}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     expected = found[10**9, 1]
     assert expected and all(f == expected for f in found.values()), {k: (len(f), len(f ^ expected)) for k, f in found.items()}
 
 
+def test_passages_with_a_line_that_lower_ids_hold(spark):
+    rng, rows = random.Random(12), []
+    for words in (30, 38, 45):
+        for after in (True, False):
+            for _ in range(12):
+                line, own, n = sentence(rng, words), sentence(rng, 25), len(rows)
+                rows += [(n + i, f"{sentence(rng, 30)} {line} {sentence(rng, 30)}") for i in range(8)]
+                passage = f"{own} {line}" if after else f"{line} {own}"
+                rows += [(100_000 + n + i, f"{sentence(rng, 30)} {passage} {sentence(rng, 30)}") for i in range(2)]
+    got = substring_dedup.repeated_passages(odd_rows(spark, *rows)).collect()
+    missed, repeated = covered(rows, got, 50)
+    assert not missed, len({i for i, _ in missed})
+    assert {r.doc_id for r in got} == repeated
+
+
 # --- decontamination -------------------------------------------------------
 
 def test_retrieval_is_exact():
