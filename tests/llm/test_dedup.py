@@ -250,6 +250,22 @@ def test_hot_keys_change_no_candidate(spark, monkeypatch):
     assert expected and all(f == expected for f in found.values()), {k: (len(f), len(f ^ expected)) for k, f in found.items()}
 
 
+def test_many_passages_at_different_offsets():
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        new = lambda n: rng.integers(0, 2**64 - 1, n, dtype=np.uint64)
+        line, passages = new(8), [new(80) for _ in range(9)]
+        for p in passages:
+            p[35:43] = line
+        passages[-1][20] = passages[0][3]  # a single token of another passage
+        own = np.concatenate([line, *(x for k, p in enumerate(passages) for x in (new(20 + 3 * k), p))])
+        other = np.concatenate([new(7), line, new(30), line, *(x for k, p in enumerate(passages) for x in (new(60 - 5 * k), p))])
+        found = substring_dedup.matching_passages(own, other, np.argsort(other, kind="stable"), 46, 0.8)
+        for p in passages:
+            at, there = (int(np.flatnonzero(s == p[0])[0]) for s in (own, other))
+            assert any(a <= at and at + 79 <= b and low <= there and there + 79 <= high for a, b, low, high, _ in found), (seed, len(found))
+
+
 def test_passages_with_a_line_that_lower_ids_hold(spark):
     rng, rows = random.Random(12), []
     for words in (30, 38, 45):
