@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # What candidates are cut out of.
 AROUND_AT = re.compile(r"[^\s@,;:<>()\[\]\"']+(?:@|\s?[(\[]at[)\]]\s?)[^\s@,;:<>()\[\]\"']+")
+AT = re.compile(r"@|\s?[(\[]at[)\]]\s?")
 DIGITS = re.compile(r"[+(]?[0-9](?:[\x20().\-/]{0,2}[0-9])*")
 PIECE = re.compile(r"[^\x20/]+")
 CONTEXT = re.compile(r"(mail|contact|write)|(ip\b|server|host|address)|(card|visa|pay|iban)|(phone|tel|call|fax|mobil)", re.I)
@@ -108,7 +110,7 @@ def describe(text: str, span: Span) -> list[float]:
     before, after = text[max(0, start - 1):start], text[end:end + 1]
     near = CONTEXT.search(text, max(0, start - 30), start)
     parts = own.split(".")
-    domain = own.rpartition("@")[2]
+    domain = AT.split(own)[-1]
     return [
         kind, len(own), len(digits), len(digits) / len(own), own.startswith("+"), own.count(" "), own.count("-"), own.count("."),
         own.count("(") - own.count(")"), own.count("@"), len(digits) >= 13 and luhn(digits),
@@ -118,6 +120,25 @@ def describe(text: str, span: Span) -> list[float]:
     ]
 
 
+def hidden(text: str, span: Span) -> tuple[str, Span] | None:
+    """Surroundings of a base span without the sign that its pattern goes by, and the span there: an email with a written
+    at, a phone number without the plus. None for other kinds."""
+    kind, start, end = span
+    before, own, after = text[max(0, start - 40):start], text[start:end], text[end:end + 40]
+    if kind == 0:
+        own = own.replace("@", (" (at) ", "(at)", " [at] ", "[at]")[crc32(own.encode("utf-8", "replace")) % 4])
+    elif kind == 3:
+        own = own[1:]
+    else:
+        return None
+    return before + own + after, (kind, len(before), len(before) + len(own))
+
+
+def _groups(x: np.ndarray) -> np.ndarray:
+    """By described candidate the kind, and a number of its own where an email has no @ or a phone number no plus."""
+    return (x[:, 0] + len(KINDS) * (((x[:, 0] == 0) & (x[:, 9] == 0)) | ((x[:, 0] == 3) & (x[:, 4] == 0)))).astype(int)
+
+
 class Booster(NamedTuple):
     """Trees of equal depth as arrays: node i has children 2i+1 and 2i+2."""
 
@@ -125,7 +146,7 @@ class Booster(NamedTuple):
     feature: np.ndarray
     threshold: np.ndarray
     value: np.ndarray
-    cuts: np.ndarray  # by kind: the score from which on a span is selected
+    cuts: np.ndarray  # by group: the score from which on a span is selected
 
     def score(self, x: np.ndarray) -> np.ndarray:
         total = np.full(len(x), self.base)
@@ -168,14 +189,14 @@ def train(x: np.ndarray, y: np.ndarray) -> Booster:
         total += value[leaf]
         for into, new in ((features, feature), (thresholds, threshold), (values, value)):
             into.append(new)
-    model = Booster(base, np.array(features), np.array(thresholds), np.array(values), np.ones(len(KINDS)))
-    return model._replace(cuts=_calibrated(model.score(x[~grow]), y[~grow], x[~grow, 0]))
+    model = Booster(base, np.array(features), np.array(thresholds), np.array(values), np.ones(2 * len(KINDS)))
+    return model._replace(cuts=_calibrated(model.score(x[~grow]), y[~grow], _groups(x[~grow])))
 
 
 def _calibrated(score: np.ndarray, y: np.ndarray, kind: np.ndarray) -> np.ndarray:
-    """By kind the lowest score, 0.5 at least, from which on PRECISION of the spans are right; above 1 where there is none."""
-    cuts = np.full(len(KINDS), 2.0)
-    for k in range(len(KINDS)):
+    """By group the lowest score, 0.5 at least, from which on PRECISION of the spans are right; above 1 where there is none."""
+    cuts = np.full(2 * len(KINDS), 2.0)
+    for k in range(2 * len(KINDS)):
         order = np.argsort(-score[kind == k], kind="stable")
         s, right = score[kind == k][order], y[kind == k][order].cumsum()
         good = np.flatnonzero((right >= PRECISION * np.arange(1, len(s) + 1)) & (s >= 0.5))
@@ -187,16 +208,23 @@ def _calibrated(score: np.ndarray, y: np.ndarray, kind: np.ndarray) -> np.ndarra
 def fit(docs: DataFrame, sample: int = SAMPLE_DOCS, spans: int = SAMPLE_SPANS) -> Booster | None:
     """Fit to the candidates of about ``sample`` documents, right where a fixed pattern has the same span of that kind.
 
+    Base emails and phone numbers are shown a second time without the @ or the plus, with the candidates that lie on them there, so
+    that such spans are told from plain numbers by the rest of their format and by their surroundings.
+
     None if there are no candidates of both sorts.
     """
+    def shown(text: str, span: Span, right: bool) -> tuple[bytes, list[float]]:
+        return hashlib.md5(text[span[1]:span[2]].encode("utf-8", "replace")).digest(), [*map(float, describe(text, span)), float(right)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text in batch.column(0):
                 text = text.as_py()
                 base = set(base_spans(text))
-                rows += [(hashlib.md5(text[s[1]:s[2]].encode("utf-8", "replace")).digest(), [*map(float, describe(text, s)), float(s in base)])
-                         for s in candidates(text)]
+                rows += [shown(text, s, s in base) for s in candidates(text)]
+                for near, span in filter(None, (hidden(text, s) for s in base)):
+                    rows += [shown(near, s, s == span) for s in candidates(near) if s[1] < span[2] and span[1] < s[2]]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()),
                                               pa.array([r[1] for r in rows], pa.list_(pa.float64()))], ["key", "row"])
 
@@ -227,8 +255,9 @@ def select(text: str, base: list[Span], model: Booster | None) -> list[Span]:
     free = [c for c in candidates(text) if is_free(c)]
     if not free:
         return base
-    score = model.score(np.array([describe(text, c) for c in free], float))
-    added = [mark(free[i]) for i in np.argsort(-score, kind="stable") if score[i] >= model.cuts[free[i][0]] and is_free(free[i])]
+    described = np.array([describe(text, c) for c in free], float)
+    score, cuts = model.score(described), model.cuts[_groups(described)]
+    added = [mark(free[i]) for i in np.argsort(-score, kind="stable") if score[i] >= cuts[i] and is_free(free[i])]
     return sorted(base + added)
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import struct
 import zlib
@@ -227,3 +228,23 @@ def test_exchange_raises_the_likelihood():
     pairs = np.pad(pairs, (0, 1), constant_values=1.0)
     own = language_model.exchange(pairs, classes=4)
     assert len(pd.crosstab(kind, own[:40]).to_numpy().nonzero()[0]) == 4 and own[40] == 4
+
+
+def test_personal_data_without_its_sign(spark):
+    rng = random.Random(21)
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    phone = lambda: f"{rng.randrange(30, 60)} {digits(3)} {digits(3)} {digits(4)}"
+    rows = [(i, f"{word()} mail {word()}@{word()}.org {word()} phone +{phone()} {word()} number {digits(9)} {word()} {digits(4)} {digits(4)} {word()}")
+            for i in range(1500)]
+    planted = {}
+    for i in range(2000, 2060):
+        mail, call = f"{word()}{rng.choice([' (at) ', '[at]'])}{word()}.org", phone()
+        rows.append((i, f"{word()} mail {mail} {word()} phone {call} {word()} number {digits(9)}"))
+        planted[i] = {("email", mail), ("phone", call)}
+    texts = dict(rows)
+    found = {r.doc_id: {(s.kind, texts[r.doc_id][s.start:s.end]) for s in r.spans}
+             for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = sum(len(planted[i] & found[i]) for i in planted)
+    wrong = sum(len(found[i] - planted[i]) for i in planted)
+    assert hit >= 0.95 * 120 and wrong <= 3, (hit, wrong)
