@@ -16,6 +16,7 @@ from shelfwise.llm.jaccard import jaccard_components
 from shelfwise.llm.language_model import score_texts
 from shelfwise.llm.pii import digests, find_pii
 from shelfwise.llm.quality import quality_scores
+from shelfwise.llm.quality_rules import quality_rules
 from shelfwise.llm.substring_dedup import repeated_passages
 from shelfwise.llm.toxicity import toxicity_scores
 from shelfwise.llm.url_filter import UrlRule, url_filter
@@ -67,13 +68,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: fn for name, fn in globals().items() if name.startswith("op")}
     return dict(sorted(found.items(), key=lambda item: int(item[0][2:].split("_")[0]))) | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {"op1_url_filter": OP1, "op5_jaccard_join": OP5, "op9_exact_dedup": OP9}
+    sql = {"op1_url_filter": OP1, "op5_jaccard_join": OP5, "op9_exact_dedup": OP9, "op13_quality_rules": OP13}
     return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
 
 
@@ -120,3 +125,37 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (P
        row_number() OVER (PARTITION BY norm ORDER BY doc_id) = 1 AS kept, sha256(norm) AS text_sha256
 FROM n
 """
+
+OP13 = r"""
+WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+lists AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+words AS MATERIALIZED (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM lists),
+lines AS (
+  SELECT r, line, row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS again
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup_lines AS (
+  SELECT r, count(*) AS n_dup_lines, sum(length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g'))) AS dup_line_chars
+  FROM lines WHERE again GROUP BY r),
+windows AS (
+  SELECT r, n, i, row_number() OVER (PARTITION BY r, n, gram ORDER BY i) > 1 AS later, count(*) OVER (PARTITION BY r, n, gram) > 1 AS twice
+  FROM (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram
+        FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM lists, (VALUES (3), (5), (6), (7), (8), (9), (10)) AS t(n)
+              WHERE len(w) >= n))),
+covered AS (
+  SELECT n, r, i FROM (SELECT DISTINCT r, n, unnest(range(i, i + n)) AS i FROM windows WHERE CASE WHEN n = 3 THEN twice ELSE later END)),
+dup_words AS (
+  SELECT r, count(*) FILTER (n = 3) AS n_repeat_words, {sums}
+  FROM covered JOIN words USING (r, i) GROUP BY r),
+sizes AS (SELECT r, count(*) AS n_words, sum(length(word)) AS word_chars FROM words GROUP BY r),
+all_of AS (
+  SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(dup_line_chars, 0)::BIGINT AS dup_line_chars, {names}
+  FROM docs LEFT JOIN sizes USING (r) LEFT JOIN dup_lines USING (r) LEFT JOIN dup_words USING (r))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * dup_line_chars > 20 * word_chars OR {limits}) AS kept
+FROM all_of
+""".replace("{sums}", ", ".join(f"sum(length(word)) FILTER (n = {n}) AS d{n}" for n in range(5, 11))) \
+    .replace("{names}", ", ".join(f"coalesce(d{n}, 0)::BIGINT AS dup_chars_{n}" for n in range(5, 11))) \
+    .replace("{limits}", " OR ".join(f"100 * dup_chars_{n} > {20 - n} * word_chars" for n in range(5, 11)))
