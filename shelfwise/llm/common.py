@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.session import ensure_checkpoint_dir
@@ -38,6 +40,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, of which later readers take only the columns they need."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def sized(ids: DataFrame) -> DataFrame:
     """Narrow rows, to be broadcast if they are few enough, so that texts need not be shuffled to meet them."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from shelfwise.llm.alignment import cross_tokenizer_counts
 from shelfwise.llm.bpe import digest_documents
+from shelfwise.llm.collocations import collocations
 from shelfwise.llm.common import table
 from shelfwise.llm.decontaminate import find_leaks
 from shelfwise.llm.exact_dedup import exact_dedup
@@ -68,6 +70,15 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_tokenizer_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                  public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -78,7 +89,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {"op1_url_filter": OP1, "op5_jaccard_join": OP5, "op9_exact_dedup": OP9, "op13_quality_rules": OP13}
+    sql = {"op1_url_filter": OP1, "op5_jaccard_join": OP5, "op9_exact_dedup": OP9, "op11_collocations": OP11, "op13_quality_rules": OP13}
     return sql | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
 
 
@@ -126,6 +137,38 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (P
 FROM n
 """
 
+OP11 = r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+starts AS MATERIALIZED (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+sizes AS MATERIALIZED (SELECT lang, count(*) AS n FROM starts GROUP BY lang),
+f AS MATERIALIZED (
+  SELECT lang, gram, count(*) AS f FROM (
+    SELECT lang, w[i:i + k - 1] AS gram FROM starts, range(1, 6) AS t(k) WHERE i + k - 1 <= len(w))
+  GROUP BY lang, gram HAVING count(*) >= 100),
+candidates AS MATERIALIZED (SELECT lang, gram, f AS a FROM f WHERE len(gram) > 1),
+inside AS (
+  SELECT DISTINCT lang, part FROM (
+    SELECT c.lang, c.a, unnest(list_transform(range(1, len(gram) - k + 2), lambda i: gram[i:i + k - 1])) AS part
+    FROM candidates c, range(2, 5) AS t(k) WHERE k < len(gram)) x
+  JOIN candidates y USING (lang) WHERE y.gram = x.part AND 100 * x.a >= 100 * y.a),
+kept AS (SELECT c.* FROM candidates c LEFT JOIN inside s ON s.lang = c.lang AND s.part = c.gram WHERE s.part IS NULL),
+cuts AS (
+  SELECT kept.lang, kept.gram, a, k, x.f AS l, y.f AS r, n, 1000::HUGEINT * a * n // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, len(gram))) AS k FROM kept) AS kept
+  JOIN f x ON x.lang = kept.lang AND x.gram = kept.gram[1:k]
+  JOIN f y ON y.lang = kept.lang AND y.gram = kept.gram[k + 1:]
+  JOIN sizes ON sizes.lang = kept.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+  FROM (SELECT *, array_to_string(gram, ' ') AS phrase FROM best))
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
 OP13 = r"""
 WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 lists AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
