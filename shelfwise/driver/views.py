@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.products import days_on_site
 from ..operators.promotions import Flat
+from ..session import spread, stored
 
 TODAY = "2005-06-01"
 VECTOR_RANK = 64
@@ -76,27 +77,35 @@ def user_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def promotions(spark: SparkSession, sf_dir: str) -> Flat:
-    """Promotions of orders (short product lists) and of suppliers (long ones), from order lines."""
+    """Promotions of orders (short product lists) and of suppliers (long ones), from order lines.
+
+    The lines are read twice: once for the sets, which are stored and of which the promotions are made, and once for the
+    products, which are stored too as every operator on them needs them several times.
+    """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_shipdate")
     promo_ids = F.array(F.concat(F.lit("O"), F.col("l_orderkey")), F.concat(F.lit("S"), F.col("l_suppkey")))
-    rows = lines.select("*", F.explode(promo_ids).alias("promoId"), (F.col("l_linenumber") % 3).alias("position"))
-    highest = F.max("l_partkey")
-    option = (F.when(highest % 97 == 0, "Free Gift").when((highest + F.col("position")) % 5 < 2, "No Discount")
-              .when((highest + F.col("position")) % 5 == 2, "Set Price")
-              .when((highest + F.col("position")) % 5 == 3, "Money Off").otherwise("Percentage Off"))
-    value = F.when(highest % 11 != 0, F.round(F.max("l_discount") * 100, 0))
-    sets = rows.groupBy("promoId", "position").agg(
-        (F.max("l_quantity").cast("int") % 4).alias("lowerBuy"), (F.max("l_linenumber") % 2).alias("getQty"),
-        option.alias("reward"), value.alias("value"))
-    lowest = F.min("l_partkey")
-    heads = rows.groupBy("promoId").agg(
-        F.concat(F.lit("offer "), F.max("l_linenumber").cast("string")).alias("description"),
-        F.min("l_shipdate").alias("startDate"), F.max("l_shipdate").alias("endDate"),
+    rows = spread(lines).select("*", F.explode(promo_ids).alias("promoId"), (F.col("l_linenumber") % 3).alias("position"))
+    parts = rows.groupBy("promoId", "position").agg(
+        F.max("l_partkey").alias("highest"), F.min("l_partkey").alias("lowest"), F.max("l_quantity").alias("quantity"),
+        F.max("l_linenumber").alias("line"), F.max("l_discount").alias("discount"),
+        F.min("l_shipdate").alias("startDate"), F.max("l_shipdate").alias("endDate"))
+    parts = stored(parts.withColumn("docId", F.col("promoId")), "promotion-sets")
+    highest, position = F.col("highest"), F.col("position")
+    option = (F.when(highest % 97 == 0, "Free Gift").when((highest + position) % 5 < 2, "No Discount")
+              .when((highest + position) % 5 == 2, "Set Price")
+              .when((highest + position) % 5 == 3, "Money Off").otherwise("Percentage Off"))
+    value = F.when(highest % 11 != 0, F.round(F.col("discount") * 100, 0))
+    sets = parts.select("docId", "promoId", "position", (F.col("quantity").cast("int") % 4).alias("lowerBuy"),
+                        (F.col("line") % 2).alias("getQty"), option.alias("reward"), value.alias("value"))
+    lowest = F.min("lowest")
+    heads = parts.groupBy("docId", "promoId").agg(
+        F.concat(F.lit("offer "), F.max("line").cast("string")).alias("description"),
+        F.min("startDate").alias("startDate"), F.max("endDate").alias("endDate"),
         F.when(lowest % 6 == 0, "Set Price").when(lowest % 6 == 1, "Percentage Off").alias("basketOption"),
         F.when(lowest % 6 == 0, 50.0).alias("basketValue"))
     skus = rows.select(F.col("promoId").alias("docId"), "position", F.col("l_partkey").cast("string").alias("sku"))
-    return Flat(heads.withColumn("docId", F.col("promoId")), sets.withColumn("docId", F.col("promoId")), skus)
+    return Flat(heads, sets, stored(skus, "promotion-products"))
 
 
 def promotion_number() -> F.Column:

@@ -12,12 +12,14 @@ promoId. problems lists what could not be read; it may be missing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stored
 from .joins import salted_join
 
 # Reward options and the position words of named segments.
@@ -48,22 +50,34 @@ class Normalised(NamedTuple):
     errors: DataFrame
 
 
+def keyed(documents: DataFrame) -> DataFrame:
+    """Documents with docId, a hash of the whole document, so that documents that share a promoId stay apart, and a number."""
+    return documents.withColumns({"docId": F.sha2(F.to_json(F.struct(*documents.columns)), 256),
+                                  "row": F.monotonically_increasing_id()})
+
+
 def flatten_promotions(documents: DataFrame) -> Flat:
-    """Nested promotion documents to the three flat tables.
+    """Nested promotion documents to the three flat tables; of documents that are alike in everything one is kept.
 
-    docId is a hash of the whole document, so documents that share a promoId stay apart. Of documents that are alike
-    in everything one is kept.
+    The documents are stored first: all three tables, and what finds the copies, read them from there.
     """
-    keyed = documents.withColumn("docId", F.sha2(F.to_json(F.struct(*documents.columns)), 256)).dropDuplicates(["docId"])
+    return flatten_stored(stored(keyed(documents), "promotion-documents"))
+
+
+def flatten_stored(documents: DataFrame) -> Flat:
+    """As flatten_promotions, for the rows of :func:`keyed` read from a table."""
+    ids = documents.select("docId", "row")
+    first = ids.groupBy("docId").agg(F.min("row").alias("first"))
+    copies = ids.join(first, "docId").filter("row > first").select("row")
+    single = documents.join(copies, "row", "left_anti")
     problems = F.col("problems") if "problems" in documents.columns else F.array().cast("array<string>")
-    promotions = keyed.select(
+    promotions = single.select(
         "docId", "promoId", "description", "startDate", "endDate",
         F.col("basket.rewardOption").alias("basketOption"), F.col("basket.rewardValue").alias("basketValue"),
         problems.alias("problems"))
-    sets = keyed.select("docId", "promoId", F.posexplode("productSets").alias("position", "s")).select(
-        "docId", "promoId", "position", "s.lowerBuy", "s.getQty", "s.reward", "s.value", "s.products")
-    products = sets.select("docId", "position", F.explode("products").alias("sku"))
-    return Flat(promotions, sets.drop("products"), products)
+    sets = single.select("docId", "promoId", F.posexplode("productSets").alias("position", "s"))
+    products = sets.select("docId", "position", F.explode("s.products").alias("sku"))
+    return Flat(promotions, sets.select("docId", "promoId", "position", "s.lowerBuy", "s.getQty", "s.reward", "s.value"), products)
 
 
 def repeated_ids(promotions: DataFrame) -> DataFrame:
@@ -100,22 +114,26 @@ def new_promotions(promotions: DataFrame, existing: DataFrame) -> DataFrame:
     return promotions
 
 
-def set_sizes(products: DataFrame) -> DataFrame:
-    """Number of products each set lists, repeats included."""
-    return products.groupBy("docId", "position").agg(F.count("*").alias("listed"))
-
+def set_lists(products: DataFrame) -> DataFrame:
+    """For each set the number of products that it lists, repeats included, and the distinct SKUs, in order, of short lists.
 
-def inline_skus(products: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Distinct SKUs, in order, of each set that is short enough for an inline segment; sets with more are left out."""
+    docId, position, listed, skus; skus is null if more products are listed than an inline segment takes. The products are read
+    once: both the numbers and the first SKUs come from one row per set and SKU. Of a list only the first
+    MAX_INLINE_PRODUCTS SKUs get together, and are cut down to these before they are shuffled, however long it is.
+    """
     keys = ["docId", "position"]
-    short = products.join(sizes.filter(F.col("listed") <= MAX_INLINE_PRODUCTS), keys, "left_semi")
-    return short.groupBy(*keys).agg(F.sort_array(F.collect_set("sku")).alias("skus"))
+    each = products.groupBy(*keys, "sku").agg(F.count("*").alias("times"))
+    sizes = each.groupBy(*keys).agg(F.sum("times").alias("listed"))
+    # times is asked for here too, so that both branches need the same rows and share one exchange.
+    first = each.filter("times > 0 AND sku IS NOT NULL").withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy("sku")))
+    skus = first.filter(F.col("n") <= MAX_INLINE_PRODUCTS).groupBy(*keys).agg(F.sort_array(F.collect_list("sku")).alias("skus"))
+    return sizes.join(skus, keys, "left").select(
+        *keys, "listed", F.when(F.col("listed") <= MAX_INLINE_PRODUCTS, F.coalesce("skus", F.array().cast("array<string>"))).alias("skus"))
 
 
 def with_segments(sets: DataFrame, products: DataFrame) -> DataFrame:
     """Sets with their segment: up to ten listed products are inline, longer lists get a name."""
-    keys, sizes = ["docId", "position"], set_sizes(products)
-    sized = sets.join(sizes, keys, "left").join(inline_skus(products, sizes), keys, "left")
+    sized = sets.join(set_lists(products), ["docId", "position"], "left")
     listed = F.coalesce("listed", F.lit(0))
     named = listed > MAX_INLINE_PRODUCTS
     words = F.array(*(F.lit(w) for w in POSITION_WORDS))
@@ -301,14 +319,14 @@ def named_segments(flat: Flat, valid: DataFrame) -> DataFrame:
     then starts last wins.
     """
     words = F.array(*(F.lit(w) for w in POSITION_WORDS))
-    long_lists = set_sizes(flat.products).filter(
+    long_lists = flat.products.groupBy("docId", "position").agg(F.count("*").alias("listed")).filter(
         (F.col("listed") > MAX_INLINE_PRODUCTS) & (F.col("position") < len(POSITION_WORDS)))
     known = long_lists.join(valid.select("docId", "promoId", "startDate", "endDate"), "docId") \
         .withColumn("segment", F.concat_ws("_", "promoId", F.get(words, F.col("position"))))
     latest = known.groupBy("segment").agg(
         F.max(F.struct("endDate", "startDate", "docId", "position", "promoId")).alias("last")) \
         .select("segment", "last.docId", "last.position", "last.promoId")
-    return salted_join(flat.products.distinct(), latest, ["docId", "position"], "sku").select("promoId", "segment", "sku")
+    return salted_join(flat.products, latest, ["docId", "position"], "sku").select("promoId", "segment", "sku").distinct()
 
 
 # Names of stacking priorities. The numbers are a setting.
@@ -332,14 +350,29 @@ def promotion_kind(expression_type: Column | str) -> Column:
             .when(c == "PriceDropPromotion", "price"))
 
 
+#: Levels that are followed in one step down a tree.
+LEVELS_PER_STEP = 16
+
+
 def leftmost_type(expression: Column | str) -> Column:
-    """Type of the leftmost leaf of an expression tree in JSON, however deep."""
+    """Type of the leftmost leaf of an expression tree in JSON, however deep; null for a text that is not JSON.
+
+    The text is parsed once, to a variant; every step down takes a part of that, many levels at a time as far as the
+    tree may reach and then one by one. The text has at least as many "left" keys as the left edge has levels.
+    """
     c = F.col(expression) if isinstance(expression, str) else expression
-    # The text has at least as many "left" keys as the tree has levels on its left edge.
-    levels = F.regexp_count(c, F.lit('"left"'))
-    leaf = F.aggregate(F.sequence(F.lit(0), F.coalesce(levels, F.lit(0))), c,
-                       lambda tree, _: F.coalesce(F.get_json_object(tree, "$.left"), tree))
-    return F.get_json_object(leaf, "$.type")
+
+    def down(path: str) -> Callable[[Column, Column], Column]:
+        def step(tree: Column, _: Column) -> Column:
+            below = F.filter(F.array(F.variant_get(tree, path, "variant")), lambda t: ~F.is_variant_null(t))
+            return F.coalesce(F.get(below, F.lit(0)), tree)
+        return step
+
+    levels = F.coalesce(F.regexp_count(c, F.lit('"left"')), F.lit(0))
+    steps = lambda n: F.array_repeat(F.lit(0), n.cast("int"))
+    tree = F.aggregate(steps(F.floor(levels / LEVELS_PER_STEP)), F.try_parse_json(c), down("$" + ".left" * LEVELS_PER_STEP))
+    leaf = F.aggregate(steps(F.least(levels, F.lit(LEVELS_PER_STEP - 1))), tree, down("$.left"))
+    return F.try_variant_get(leaf, "$.type", "string")
 
 
 def ingest_status(translated: DataFrame, as_of: Column) -> DataFrame:

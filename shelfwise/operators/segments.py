@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 from .joins import salted_join
 
 
@@ -17,7 +18,8 @@ def segment_changes(new: DataFrame, existing: DataFrame) -> DataFrame:
     """
     tagged = new.select("segment", "sku", F.lit(1).alias("isNew")).unionByName(
         existing.select("segment", "sku", F.lit(0).alias("isNew")))
-    pairs = tagged.groupBy("segment", "sku").agg(F.max("isNew").alias("isNew"), F.min("isNew").alias("least"))
+    # Stored, since sizes, sides and the rows themselves all come from it.
+    pairs = stored(tagged.groupBy("segment", "sku").agg(F.max("isNew").alias("isNew"), F.min("isNew").alias("least")), "segment-pairs")
     one_sided = pairs.filter("isNew = least").select("segment", "sku", "isNew")
     sides = pairs.groupBy("segment").agg(F.max("isNew").alias("anyNew"), F.min("least").alias("allNew"))
     compared = salted_join(one_sided, sides.filter("anyNew = 1"), ["segment"], "sku")

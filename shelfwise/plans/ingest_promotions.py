@@ -58,8 +58,8 @@ def run(spark: SparkSession, args: dict[str, str]) -> None:
         args, "promotionsPath", "existingPromotionsPath", "existingSegmentsPath", "outputPath")
     documents_path, translated_path = make_path(target, "documents"), make_path(target, "translated")
     # Stored, since everything starts from these two.
-    load_promotions_xml(spark, source).write.mode("overwrite").parquet(documents_path)
-    flat = promotions.flatten_promotions(spark.read.parquet(documents_path))
+    promotions.keyed(load_promotions_xml(spark, source)).write.mode("overwrite").parquet(documents_path)
+    flat = promotions.flatten_stored(spark.read.parquet(documents_path))
     priority = args.get("priority", "0")
     translate_supported(flat, args.get("stackingRule", "Combines") or None, int(priority) if priority else None,
                         args.get("valueOrder") or None).write.mode("overwrite").parquet(translated_path)

@@ -8,6 +8,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import SparkSession
 
+from ..session import drop_stages
+
 Job = Callable[[SparkSession, dict[str, str]], None]
 
 log = logging.getLogger("shelfwise")
@@ -45,4 +47,6 @@ def run_job(job: Job, args: Sequence[str] | None = None, stop: bool = True) -> N
         raise
     finally:
         if stop:
+            if spark.sparkContext.getCheckpointDir():
+                drop_stages(spark)
             spark.stop()

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(name: str, cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -38,3 +39,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="shelfwise-checkpoint-")
     sc.setCheckpointDir(folder)
     return folder
+
+
+def _stages(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/stages-{spark.sparkContext.applicationId}"
+
+
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the shared checkpoint folder."""
+    return f"{_stages(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared checkpoint folder.
+
+    Ends a stage: what reads it, however often, computes nothing again, takes only the columns it needs, and depends
+    on no executor that was there before.
+    """
+    path = stage_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Remove the tables that this application has stored; no frame that reads one may be in use any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_stages(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows that come in fewer partitions than there are cores, dealt anew before costly work on each of them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
