@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,18 +49,6 @@ def keep_known(ratings: DataFrame, customers: DataFrame, products: DataFrame) ->
     return kept.select("customerId", "productId", "rating")
 
 
-# 16 bits for the source, 47 for a date in epoch ms.
-LAST_SOURCE, LAST_DATE, HALF = 2**15 - 1, 2**47 - 1, 2**46
-
-
-def _order() -> Column:
-    """Lowest source, then latest date as one number, nulls last. Aggregates over numbers are hash aggregates."""
-    def within(c: Column, last: int) -> Column:
-        return F.when(c.isNull(), last).otherwise(F.least(F.greatest(c.cast("bigint"), F.lit(0)), F.lit(last - 1)))
-
-    return F.shiftleft(within(F.col("sourceId"), LAST_SOURCE).cast("bigint"), 47) + within(HALF - F.col("signalDate"), LAST_DATE)
-
-
 def latest_per_source(signals: DataFrame) -> DataFrame:
     """Latest signal per customer, product and source.
 
@@ -76,15 +66,23 @@ def with_guid(signals: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def prioritise(signals: DataFrame) -> DataFrame:
-    """One signal per guid and product: lowest source, then latest date; unknown sources and dates come last.
+    """One signal per guid and product: lowest source, then latest date, then lowest customer; nulls come last.
 
-    A customer is the lowest of those that share a guid and such a signal. Sources beyond 0 to 32766 count as the nearest of these.
+    Three aggregates, each of which leaves one row per value that the next one goes by. All are hash aggregates
+    over plain numbers that Spark also runs before the shuffle.
     """
-    same = signals.withColumn("order", _order()).groupBy("guid", "productId", "order").agg(
-        F.min("customerId").alias("customerId"), F.min("sourceId").alias("sourceId"), F.max("signalDate").alias("signalDate"))
-    return same.groupBy("guid", "productId").agg(
-        *(F.min_by(c, "order").alias(c) for c in ("customerId", "sourceId", "signalDate"))).select(
-        "customerId", "guid", "productId", "sourceId", "signalDate")
+    def of_best(column: str, by: str, best: Callable, pick: Callable) -> Column:
+        """Value in the one row with the best ``by``, which is the one row without any if there is no other."""
+        alone = F.max(F.when(F.col(by).isNull(), F.col(column)))
+        return F.when(best(by).isNull(), alone).otherwise(pick(column, by)).alias(column)
+
+    pair = ["guid", "productId"]
+    single = signals.groupBy(*pair, "sourceId", "signalDate").agg(F.min("customerId").alias("customerId"))
+    latest = single.groupBy(*pair, "sourceId").agg(
+        of_best("customerId", "signalDate", F.max, F.max_by), F.max("signalDate").alias("signalDate"))
+    return latest.groupBy(*pair).agg(
+        of_best("customerId", "sourceId", F.min, F.min_by), of_best("signalDate", "sourceId", F.min, F.min_by),
+        F.min("sourceId").alias("sourceId")).select("customerId", *pair, "sourceId", "signalDate")
 
 
 def signal_output(signals: DataFrame) -> DataFrame:

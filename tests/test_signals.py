@@ -1,3 +1,5 @@
+import random
+
 from shelfwise.operators import products, signals
 from shelfwise.sources import tolerant
 
@@ -72,6 +74,25 @@ def test_dated_and_known_signals_come_first(spark, as_rows):
     assert as_rows(got, "customerId", "productId", "sourceId", "signalDate") == [(1, 10, 1, 5), (1, 11, 7, None), (1, 12, None, None)]
 
 
+def test_any_source_is_a_source(spark, as_rows):
+    df = spark.createDataFrame([(1, "a", 1, 40000, 5), (2, "a", 1, 50000, 9), (3, "b", 1, -5, 1), (4, "b", 1, 0, 9), (5, "c", 1, None, 9),
+                                (6, "c", 1, 2147483647, None), (9, "d", 1, 3, 2**60), (8, "d", 1, 3, 2**60), (7, "d", 1, 3, -2**60)], GUID)
+    assert as_rows(signals.prioritise(df)) == [(1, "a", 1, 40000, 5), (3, "b", 1, -5, 1), (6, "c", 1, 2147483647, None), (8, "d", 1, 3, 2**60)]
+
+
+def test_priority_against_sorting(spark, as_rows):
+    rng = random.Random(5)
+    some = lambda *v: rng.choice([None, *v])
+    rows = [(some(1, 2, 3), some("g", "h"), some(1, 2), some(-2**31, 0, 7, 2**31 - 1), some(-3, 5, 2**62)) for _ in range(400)]
+    got = as_rows(signals.prioritise(spark.createDataFrame(rows, GUID)))
+    best = {}
+    for c, g, p, s, d in rows:
+        key = (s is None, s or 0, d is None, -(d or 0), c is None, c or 0)
+        if (g, p) not in best or key < best[g, p][0]:
+            best[g, p] = key, (c, g, p, s, d)
+    assert got == sorted((row for _, row in best.values()), key=repr)
+
+
 def test_signal_aggregates_are_hash_aggregates(spark, capsys):
     facts = spark.range(10).selectExpr("id as customerId", "id as productId", "1 as sourceId", "id as signalDate")
     people = spark.range(10).selectExpr("id as customerId", "cast(id as string) as guid")
@@ -90,6 +111,24 @@ def test_training_ratings(spark, as_rows):
     assert as_rows(signals.training_ratings(valid.filter("sourceId <> 1"), people, items, True)) == [(1, 11, 2.0)]
 
 
+def test_latest_rows(spark, as_rows, capsys):
+    rng = random.Random(3)
+    some = lambda *v: rng.choice([None, *v])
+    rows = [(some("k", "l", "m"), some(1, 2), some("a", "b"), some(0.5, -1.0)) for _ in range(80)] + [("hot", i % 5, "z", float(i % 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "sku string, changed int, name string, price double")
+    best = {}
+    for row in rows:
+        key = [(v is not None, v if v is not None else 0) for v in (row[1], row[2] or "", row[3])]
+        key[1] = (row[2] is not None, row[2] or "")
+        if row[0] not in best or key > best[row[0]][0]:
+            best[row[0]] = key, row
+    latest = products.latest_rows(df, "sku", "changed")
+    latest.explain()
+    plan = capsys.readouterr().out
+    assert latest.columns == df.columns and as_rows(latest) == sorted((r for _, r in best.values()), key=repr)
+    assert "SortAggregate" not in plan and plan.count("WindowGroupLimit") == 2  # before the shuffle and after it
+
+
 def test_latest_products_and_eligibility(spark, as_rows):
     df = spark.createDataFrame(
         [(1, 5, 0, 10, 3), (1, 9, 1, 10, 3), (2, 1, 0, 10, 3), (3, 1, 0, 546, 3), (4, 1, 0, 10, 0), (5, 1, 0, None, 3)],
