@@ -38,6 +38,12 @@ TASK_PAIRS = 1 << 30
 RESULT_BYTES = 96
 MAX_BROADCAST_CELLS = 500_000
 
+# The index: most cells, vectors that their centres are made of, rounds of that, and queries that visits are measured with.
+MAX_CELLS = 1_024
+SAMPLE_VECTORS = 32_768
+CENTRE_ROUNDS = 8
+SAMPLE_QUERIES = 256
+
 SCORES = "id bigint, similarId bigint, score double"
 
 
@@ -119,63 +125,101 @@ def _grid_shape(sizes: Sizes, k: int, cores: int) -> tuple[int, int]:
     return min((shape(columns << i) for i in doublings), key=traffic)
 
 
-def approx_top_items(queries: DataFrame, candidates: DataFrame, k: int = 20, trees: int = 20,
-                     leaf_size: int = 50, seed: int = 17) -> DataFrame:
-    """Approximate :func:`top_items` by a forest of random projections.
+def approx_top_items(queries: DataFrame, candidates: DataFrame, k: int = 20, recall: float = 0.95, leaf_size: int = 200,
+                     exact_above: float = 0.5, seed: int = 17) -> DataFrame:
+    """:func:`top_items` that finds at least about ``recall`` of the best k, by an index; scores are exact.
+
+    Every candidate belongs to the one cell whose centre has the smallest angle to it, and every query visits the cells whose
+    centres are nearest to it, so a pair meets at most once and a candidate's vector travels once. For that, dot products become
+    angles: candidates get one more dimension that brings all of them to the norm of the longest one, queries a 0.
 
-    Every tree cuts the space with random hyperplanes through the mean of the
-    candidates, as many as leave about ``leaf_size`` candidates per leaf. A query
-    meets the candidates of its own leaves only; their scores are exact.
+    Centres come from SAMPLE_VECTORS candidates. How many cells are visited is measured, not guessed: for
+    SAMPLE_QUERIES queries the true best k among all candidates are found, and the number is the smallest that reaches ``recall`` on
+    them. Vectors without any structure need most cells; if the visited ones hold more than ``exact_above`` of all candidates the
+    index saves nothing and the search is exact.
     """
-    n, mean = _count_and_mean(candidates)
+    n, longest = _count_and_norm(candidates)
     if not n:
         return top_items(queries, candidates, k)
-    cuts = max(0, math.ceil(math.log2(n / leaf_size)))
-    planes = np.random.default_rng(seed).standard_normal((len(mean), trees, cuts))
-    offsets = np.tensordot(mean, planes, axes=1)
-    cells = lambda df: df.select(*_typed_vector()).mapInArrow(
-        _leaf_assigner(planes, offsets, vectors=False), "cell bigint")
-    leaves = lambda df: df.select(*_typed_vector()).mapInArrow(
-        _leaf_assigner(planes, offsets, vectors=True), "cell bigint, id bigint, factors binary")
-    add_grid, layout = _plan_grid(cells(queries), cells(candidates), _cell_side(len(mean)))
-    scored = _score_cells(add_grid(leaves(queries)), add_grid(leaves(candidates)), k, layout)
-    # A pair found in several trees has one score, so it takes one place of the k.
-    ranked = scored.withColumn("rank", F.dense_rank().over(Window.partitionBy("id").orderBy(*_best_first())))
-    return ranked.filter(F.col("rank") <= k).drop("rank").dropDuplicates(["id", "similarId"])
-
-
-def _count_and_mean(vectors: DataFrame) -> tuple[int, np.ndarray]:
-    """Number of vectors and their mean: one aggregate row."""
-    first = vectors.select(F.size("factors").alias("rank")).first()
-    if first is None:
-        return 0, np.empty(0)
-    value = lambda i: F.get("factors", F.lit(i)).cast("double")
-    row = vectors.agg(F.count("*"), *(F.avg(value(i)) for i in range(first["rank"]))).first()
-    return row[0], np.array(row[1:], dtype=np.float64)
-
-
-def _leaf_assigner(planes: np.ndarray, offsets: np.ndarray, vectors: bool):
-    """Batches of vectors to one row per tree, with the tree and the leaf packed into ``cell``.
-
-    Vectors go on as bytes, which travel faster than arrays.
-    """
-    rank, trees, cuts = planes.shape
-    flat_planes, flat_offsets = planes.reshape(rank, trees * cuts), offsets.reshape(trees * cuts)
-    weights = 1 << np.arange(cuts, dtype=np.int64)
-
+    sample = _sample(candidates, SAMPLE_VECTORS)
+    centres = _centres(_augmented(sample[1], longest), min(MAX_CELLS, math.ceil(n / leaf_size)), seed)
+    own_cell = _cell_assigner(centres, 1, longest)
+    probes, share = _measured_probes(queries, candidates, own_cell, centres, k, recall)
+    if share > exact_above:
+        return top_items(queries, candidates, k)
+    placed = lambda df, assign: df.select(*_typed_vector()).mapInArrow(assign, "cell bigint, id bigint, factors binary")
+    visiting, held = placed(queries, _cell_assigner(centres, probes, None)), placed(candidates, own_cell)
+    add_grid, layout = _plan_grid(visiting.select("cell"), held.select("cell"), _cell_side(centres.shape[1]))
+    return top_k(_score_cells(add_grid(visiting), add_grid(held), k, layout), ["id"], _best_first(), k)
+
+
+def _count_and_norm(vectors: DataFrame) -> tuple[int, float]:
+    """Number of vectors and the norm of the longest one."""
+    square = F.aggregate("factors", F.lit(0.0), lambda t, v: t + v.cast("double") * v.cast("double"))
+    row = vectors.agg(F.count("*"), F.max(square)).first()
+    return row[0], math.sqrt(row[1] or 0.0)
+
+
+def _sample(vectors: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of at most ``size`` rows, the same ones each time."""
+    rows = vectors.select(*_typed_vector()).orderBy(F.xxhash64("id"), "id").limit(size).collect()
+    return np.array([r.id for r in rows], np.int64), np.array([r.factors for r in rows], np.float32)
+
+
+def _augmented(matrix: np.ndarray, longest: float | None) -> np.ndarray:
+    """Vectors with the dimension that brings them to the norm ``longest``; with 0 there if that is None."""
+    rest = np.zeros(len(matrix)) if longest is None else np.sqrt(np.maximum(0.0, longest ** 2 - _norms(matrix) ** 2))
+    return np.hstack([matrix, rest[:, None]]).astype(np.float32)
+
+
+def _centres(sample: np.ndarray, cells: int, seed: int) -> np.ndarray:
+    """Unit vectors in the middle of the cells: some rounds of k-means by angle over a sample."""
+    rng = np.random.default_rng(seed)
+    unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+    sample = unit(sample)
+    centres = sample[rng.choice(len(sample), min(cells, len(sample)), replace=False)]
+    for _ in range(CENTRE_ROUNDS):
+        nearest = np.argmax(sample @ centres.T, axis=1)
+        sums = np.zeros_like(centres, dtype=np.float64)
+        np.add.at(sums, nearest, sample)
+        used = np.bincount(nearest, minlength=len(centres)) > 0
+        centres = np.where(used[:, None], unit(sums), centres).astype(np.float32)
+    return centres
+
+
+def _measured_probes(queries: DataFrame, candidates: DataFrame, own_cell: Callable, centres: np.ndarray, k: int,
+                     recall: float) -> tuple[int, float]:
+    """How many cells a query has to visit to find ``recall`` of its best k, and the share of all candidates in these."""
+    ids, vectors = _sample(queries, SAMPLE_QUERIES)
+    if not len(ids):
+        return 1, 0.0
+    cells = candidates.select(*_typed_vector()).mapInArrow(own_cell, "cell bigint, id bigint, factors binary").select("cell", F.col("id").alias("similarId"))
+    few = queries.sparkSession.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors)], "id bigint, factors array<float>")
+    found = top_items(few, candidates, k).join(cells, "similarId").select("id", "cell").collect()  # SAMPLE_QUERIES x k rows
+    order = np.argsort(-(_augmented(vectors, None) @ centres.T), axis=1)
+    place = np.argsort(order, axis=1)
+    row = {int(i): at for at, i in enumerate(ids)}
+    needed = np.sort([place[row[r.id], r.cell] for r in found])
+    probes = int(needed[math.ceil(recall * len(needed)) - 1]) + 1
+    sizes = np.zeros(len(centres))
+    for cell, size in cells.groupBy("cell").count().collect():  # at most MAX_CELLS rows
+        sizes[cell] = size
+    return probes, float(sizes[order[:, :probes]].sum(axis=1).mean() / sizes.sum())
+
+
+def _cell_assigner(centres: np.ndarray, probes: int, longest: float | None):
+    """Batches of vectors to one row for each of the ``probes`` cells nearest to them, with the vector as bytes, which travel
+    faster than arrays."""
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             matrix = _matrix(batch.column("factors"))
-            sides = (matrix @ flat_planes > flat_offsets).reshape(-1, trees, cuts)
-            cells = sides.astype(np.int64) @ weights + (np.arange(trees, dtype=np.int64) << cuts)
-            data = _vector_bytes(matrix) if vectors else None
-            for tree in range(trees):
-                columns = {"cell": pa.array(cells[:, tree])}
-                if vectors:
-                    columns |= {"id": batch.column("id"), "factors": data}
-                yield pa.RecordBatch.from_pydict(columns)
+            near = _augmented(matrix, longest) @ centres.T
+            nearest = np.argmax(near, axis=1)[:, None] if probes == 1 else np.argsort(-near, axis=1)[:, :probes]
+            data = _vector_bytes(matrix)
+            for cells in nearest.T.astype(np.int64):
+                yield pa.RecordBatch.from_pydict({"cell": pa.array(cells), "id": batch.column("id"), "factors": data})
 
     return assign
 

@@ -110,27 +110,64 @@ def test_empty_sides(spark):
     assert ranking.approx_top_items(some, none, 3).count() == 0
 
 
-def test_approximate_search_finds_most_neighbours(spark):
+def recall_of(spark, items, ids, k=20, **settings):
+    """Share of the true best k of some items that the index finds, and the share of pairs it scores; never by the exact way."""
+    queries = spark.createDataFrame([(int(i), items[i].tolist()) for i in ids], SCHEMA)
+    found = lists(ranking.approx_top_items(queries, frame(spark, items), k, exact_above=1.0, **settings))
+    scores = items[ids] @ items.T
+    hits = 0
+    for row, i in zip(scores, ids):
+        best = np.argsort(-row, kind="stable")[:k]
+        hits += len({j for j, _ in found[int(i)]} & set(best.tolist()))
+        assert all(math.isclose(s, row[j], abs_tol=1e-5) for j, s in found[int(i)])
+    return hits / (k * len(ids))
+
+
+@pytest.mark.parametrize("kind", ["even", "clusters", "norms"])
+@pytest.mark.parametrize("n", [2_000, 50_000])
+def test_the_index_finds_nine_in_ten(spark, n, kind):
+    """For every hundredth item, on vectors without any structure, in clusters, and of very different lengths."""
     rng = np.random.default_rng(5)
-    centres = rng.normal(size=(30, 16)) * 3
-    items = np.repeat(centres, 40, axis=0) + rng.normal(size=(1200, 16)) * 0.3
-    found = lists(ranking.approx_top_items(frame(spark, items[:100]), frame(spark, items), 10, trees=20, leaf_size=50))
-    exact = brute(items[:100], items, 10)
-    hits = sum(len({j for j, _ in found[i]} & {j for j, _ in exact[i]}) for i in range(100))
-    assert hits / 1000 > 0.7
-    scores = {i: dict(v) for i, v in brute(items[:100], items, 1200).items()}
-    assert all(math.isclose(s, scores[i][j]) for i, v in found.items() for j, s in v)
-
-
-def test_approximate_search_with_a_hot_leaf(spark, small_cells):
-    """A third of all candidates are copies of one vector, so one leaf is far above its limit."""
+    items = rng.normal(size=(n, 32)).astype(np.float32)
+    if kind == "clusters":
+        items = items * 0.3 + 2 * rng.normal(size=(n // 50, 32)).astype(np.float32)[rng.integers(0, n // 50, n)]
+    elif kind == "norms":
+        items *= rng.lognormal(0, 0.7, (n, 1)).astype(np.float32)
+    assert recall_of(spark, items, np.arange(0, n, 100)) >= 0.9
+
+
+def test_the_index_visits_few_cells_where_vectors_have_structure(spark):
+    rng = np.random.default_rng(5)
+    items = np.repeat(rng.normal(size=(200, 16)) * 3, 100, axis=0) + rng.normal(size=(20_000, 16)) * 0.2
+    df = frame(spark, items)
+    centres = ranking._centres(ranking._augmented(ranking._sample(df, 5_000)[1], 30.0), 100, 1)
+    probes, share = ranking._measured_probes(df, df, ranking._cell_assigner(centres, 1, 30.0), centres, 20, 0.95)
+    assert probes <= 5 and share < 0.1
+
+
+def test_search_is_exact_where_the_index_saves_nothing(spark):
+    rng = np.random.default_rng(7)
+    items = rng.normal(size=(900, 24)).astype(np.float32)
+    got = lists(ranking.approx_top_items(frame(spark, items[:50]), frame(spark, items), 10))
+    assert {i: [j for j, _ in v] for i, v in got.items()} == {i: [j for j, _ in v] for i, v in brute(items[:50], items, 10).items()}
+
+
+def test_index_with_a_hot_cell(spark, small_cells):
+    """A third of all candidates are copies of one vector, so one cell is far above its limit."""
     rng = np.random.default_rng(6)
     items = np.vstack([np.tile([2.0, 2.0, 2.0], (60, 1)), rng.normal(size=(120, 3))])
-    found = lists(ranking.approx_top_items(frame(spark, items[:3]), frame(spark, items), 8, trees=3, leaf_size=10))
+    found = lists(ranking.approx_top_items(frame(spark, items[:3]), frame(spark, items), 8, recall=1.0, leaf_size=10, exact_above=1.0))
     assert {i: [j for j, _ in v] for i, v in found.items()} == {
         i: [j for j, _ in v] for i, v in brute(items[:3], items, 8).items()}
 
 
+def test_index_of_odd_vectors(spark):
+    zero = frame(spark, [[0.0, 0.0]] * 5)
+    assert {i: len(v) for i, v in lists(ranking.approx_top_items(zero, zero, 3, leaf_size=2, exact_above=1.0)).items()} == dict.fromkeys(range(5), 3)
+    some, none = frame(spark, [[1.0, 0.0], [0.0, 1.0]]), spark.createDataFrame([], SCHEMA)
+    assert ranking.approx_top_items(none, some, 3, exact_above=1.0).count() == 0
+
+
 def test_user_vectors_and_brands(spark, as_rows):
     vectors = frame(spark, [[1, 2], [3, 4]])
     wanted = spark.createDataFrame([(1,), (1,), (7,)], "id bigint")
