@@ -83,6 +83,14 @@ SPANS = """spans AS (
   SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi
   FROM orders GROUP BY o_custkey)"""
 
+DAYS = EVENT_SIGNALS + """, days AS (
+  SELECT customerId, productId, CAST(strftime(make_timestamp(signalDate * 1000), '%Y%m%d') AS INTEGER) AS day FROM event_signals)"""
+
+ORDER_LINES = """order_lines AS (
+  SELECT *, concat_ws(';', o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'c' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END, price, o_orderstatus,
+                      CASE WHEN o_orderkey % 11 = 0 THEN 'more' END) AS line
+  FROM (SELECT *, CAST(floor(o_totalprice) AS BIGINT) AS price, o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 AS bad FROM orders))"""
+
 PROMO_ROWS = """promo_rows AS (
   SELECT unnest(['O' || l_orderkey, 'S' || l_suppkey]) AS promoId, l_linenumber % 3 AS position,
          l_partkey, l_linenumber, l_quantity, l_discount, l_shipdate FROM lineitem),
@@ -227,6 +235,17 @@ def oracle_sql() -> dict[str, str]:
         "event_ratings": _with(_ratings(EVENT_SIGNALS, "event_signals"), "SELECT * FROM ratings"),
         "signal_priority": _with(f"{ORDER_SIGNALS}, {CUSTOMERS}", PRIORITY.format(source="order_signals")),
         "event_priority": _with(f"{EVENT_SIGNALS}, {CUSTOMERS}", PRIORITY.format(source="event_signals")),
+        "wide_source_priority": _with(
+            f"{EVENT_SIGNALS}, {CUSTOMERS}" + """, wide AS (
+              SELECT customerId, md5(CAST(customerId % 40 AS VARCHAR)) AS guid, productId, customerId % 3 + signalDate % 7 AS w,
+                     CASE WHEN productId % 5 = 0 THEN 40000 + 5000 * (customerId % 3 + signalDate % 7)
+                          WHEN productId % 5 = 1 THEN -(customerId % 3 + signalDate % 7)
+                          WHEN productId % 5 = 2 AND (customerId % 3 + signalDate % 7) % 2 = 0 THEN NULL ELSE sourceId END AS sourceId,
+                     CASE WHEN signalDate % 11 <> 0 THEN signalDate END AS signalDate
+              FROM event_signals JOIN customers USING (customerId))""",
+            """SELECT customerId, guid, productId, sourceId, signalDate FROM wide
+               QUALIFY row_number() OVER (PARTITION BY guid, productId
+                 ORDER BY sourceId NULLS LAST, signalDate DESC NULLS LAST, customerId) = 1"""),
         "training_ratings": _with(
             _ratings(ORDER_SIGNALS, "order_signals", CUSTOMERS, PRODUCTS),
             """SELECT * FROM ratings WHERE customerId IN (SELECT customerId FROM customers WHERE balance > 0)
@@ -306,6 +325,33 @@ def oracle_sql() -> dict[str, str]:
                                  CASE WHEN doc_id % 7 <> 0 THEN 'store' || (doc_id % 10) END AS account,
                                  CASE WHEN doc_id % 7 <> 0 THEN 'docs/' || lang || '/' || doc_id END AS prefix
                           FROM documents""",
+        "dated_folder_reads": _with(
+            DAYS,
+            """SELECT reader, day, count(*) AS signals, sum(productId)::BIGINT AS products FROM days JOIN (VALUES
+                 ('range', 20240105, 20240109), ('two days', 20240103, 20240104), ('months', 20240101, 20240229), ('last days', 20240118, 20240120)
+               ) AS v(reader, a, b) ON day BETWEEN a AND b GROUP BY ALL"""),
+        "plain_folder_reads": _with(
+            DAYS,
+            """SELECT reader, day, count(*) AS signals, sum(productId)::BIGINT AS products
+               FROM days JOIN (VALUES ('parquet', 20240106, 20240107), ('text', 20240105, 20240106)) AS v(reader, a, b) ON day BETWEEN a AND b
+               WHERE productId IS NOT NULL GROUP BY ALL"""),
+        "partitioned_append": _with(
+            DAYS,
+            """SELECT CASE WHEN customerId % 2 = 0 THEN 'even' ELSE 'odd' END AS run, day // 10000 AS yy, day // 100 % 100 AS mm, day % 100 AS dd,
+                      count(*) AS signals, sum(productId)::BIGINT AS products FROM days GROUP BY ALL"""),
+        "csv_permissive": _with(
+            ORDER_LINES,
+            """SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS o_custkey, price, o_orderstatus AS status,
+                      CASE WHEN bad THEN line END AS line FROM order_lines"""),
+        "csv_drop_malformed": _with(ORDER_LINES, "SELECT o_orderkey, o_custkey, price, o_orderstatus AS status FROM order_lines WHERE NOT bad"),
+        "csv_failfast": _with(ORDER_LINES, "SELECT o_orderkey, o_custkey, price, o_orderstatus AS status FROM order_lines WHERE NOT bad"),
+        "feed_files": """SELECT kind, o_custkey AS customerId, o_orderkey AS receiptId,
+                                CASE kind WHEN 'raw' THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') ELSE CAST(epoch_ms(o_orderdate) AS VARCHAR) END AS entered
+                         FROM orders, (VALUES ('parquet'), ('text'), ('raw')) AS k(kind)""",
+        "als_objective": _with(
+            _ratings(EVENT_SIGNALS, "event_signals"),
+            """SELECT CAST(n AS INTEGER) AS iterations, true AS falls, customers, products
+               FROM range(1, 4) AS r(n), (SELECT count(DISTINCT customerId) AS customers, count(DISTINCT productId) AS products FROM ratings)"""),
         "feed_customer": _with(
             CUSTOMERS,
             """SELECT customerId, guid, gender, epoch_ms(TIMESTAMP '2001-01-01 01:02:03.25' + CAST(customerId % 900 AS INTEGER) * INTERVAL 1 DAY) AS dateEntered,
@@ -337,6 +383,13 @@ def oracle_sql() -> dict[str, str]:
             """SELECT DISTINCT customerId AS id, upper(gender[1]) AS gender, 10 AS rank FROM ratings JOIN customers USING (customerId)
                WHERE balance > 0 AND productId IN (SELECT productId FROM products)"""),
         "similar_items": _with(SIMILAR, "SELECT id, similarId, round(score, 6) AS score FROM similar_items"),
+        "approx_similar_items": """
+            SELECT a.vec_id AS id, b.vec_id AS similarId, round(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS score
+            FROM embeddings a, embeddings b
+            QUALIFY row_number() OVER (PARTITION BY a.vec_id
+              ORDER BY list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) DESC, b.vec_id) <= 20""",
+        "approx_recall": """SELECT count(*) FILTER (vec_id % 100 = 0) AS queries, 20 * count(*) FILTER (vec_id % 100 = 0) AS wanted, true AS enough
+                            FROM embeddings""",
         "user_top_items": _with(USER_TOP, "SELECT id, similarId, round(score, 6) AS score FROM user_top"),
         "user_top_brands": _with(
             f"{USER_TOP}, {PRODUCTS}",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import json
 from collections.abc import Callable
@@ -9,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import codec, paths, times
 from ..operators import factors, partitioning, products, promotions, ranking, segments, signals
 from ..plans.ingest_promotions import ingest, translate_supported
@@ -61,6 +63,18 @@ def event_priority(spark, sf):
     return signals.priority_signals(views.event_signals(spark, sf), views.customers(spark, sf))
 
 
+@query
+def wide_source_priority(spark, sf):
+    """Sources far beyond the usual ones, below zero and unknown, and unknown dates."""
+    kind, wide = F.col("productId") % 5, (F.col("customerId") % 3 + F.col("signalDate") % 7).cast("long")
+    source = (F.when(kind == 0, 40_000 + 5_000 * wide).when(kind == 1, -wide).when((kind == 2) & (wide % 2 == 0), F.lit(None))
+              .otherwise(F.col("sourceId").cast("long")))
+    date = F.when(F.col("signalDate") % 11 != 0, F.col("signalDate"))
+    facts = views.event_signals(spark, sf).select("customerId", "productId", source.alias("sourceId"), date.alias("signalDate"))
+    people = views.customers(spark, sf).withColumn("guid", F.md5((F.col("customerId") % 40).cast("string")))
+    return signals.prioritise(signals.with_guid(facts, people))
+
+
 def _training_ratings(spark, sf):
     buyers = views.customers(spark, sf).filter("balance > 0")
     return signals.training_ratings(
@@ -258,6 +272,109 @@ def cloud_paths(spark, sf):
         "doc_id", *paths.cloud_path_parts("path"))
 
 
+# --- dated folders and files -----------------------------------------------
+
+JANUARY = lambda day: int(dt.datetime(2024, 1, day, tzinfo=dt.timezone.utc).timestamp() * 1000)
+
+
+def _by_day(df):
+    return partitioning.partition_by_millis(df, "signalDate")
+
+
+def _per_day(df, reader, day=None):
+    number = F.lit(day) if day else (F.col("yy").cast("int") * 10000 + F.col("mm").cast("int") * 100 + F.col("dd").cast("int"))
+    return df.groupBy(F.lit(reader).alias("reader"), number.cast("int").alias("day")).agg(F.count("*").alias("signals"), F.sum("productId").alias("products"))
+
+
+@query
+def dated_folder_reads(spark, sf):
+    """Signals written to folders of days, and read back by range, by list of folders, by month and by last days."""
+    rows, base = views.event_signals(spark, sf), session.stage_path(spark, "days")
+    files.save_partitioned(rows, base, 8, _by_day)
+    globs = ranges.existing_paths(spark, paths.month_globs(f"{base}/", dt.date(2024, 2, 10), 1))
+    months = spark.read.option("basePath", base).parquet(*globs)
+    return (_per_day(ranges.load_range(spark, base, JANUARY(9), JANUARY(5), required=True), "range")
+            .unionAll(_per_day(ranges.load_range(spark, base, JANUARY(3), JANUARY(4)), "two days"))
+            .unionAll(_per_day(months, "months"))
+            .unionAll(_per_day(ranges.load_last_days(spark, base, dt.date(2024, 1, 20), 3), "last days")))
+
+
+@query
+def plain_folder_reads(spark, sf):
+    """The same without key=value names: parquet and feed text of three days, folder by folder."""
+    rows, base, text = views.event_signals(spark, sf), session.stage_path(spark, "plain-days"), session.stage_path(spark, "plain-text")
+    date = F.date_format(F.timestamp_millis("signalDate"), "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    lines = F.concat_ws("|", "customerId", "productId", F.lit(0), F.lit(7), "sourceId", F.lit(1), date, F.lit(""), F.lit(""), F.lit(""), F.lit(1), date)
+    for day in (5, 6, 7):
+        own = rows.filter(F.col("signalDate").between(JANUARY(day), JANUARY(day + 1) - 1) & F.col("productId").isNotNull())
+        own.write.parquet(f"{base}/2024/01/{day:02d}")
+        own.select(lines.alias("value")).write.text(f"{text}/2024/01/{day:02d}")
+    read = ranges.load_range_paths(spark, base, JANUARY(6), JANUARY(12), paths.PLAIN_FORMATS)
+    fed = ranges.load_range_text(spark, "signals", text, JANUARY(4), JANUARY(6), "|")
+    return _per_day(_by_day(read)[1], "parquet").unionAll(_per_day(_by_day(fed)[1], "text"))
+
+
+@query
+def partitioned_append(spark, sf):
+    """Two runs append to the same folders of days, and the first of them once more: nothing is doubled."""
+    rows, base = views.event_signals(spark, sf), session.stage_path(spark, "append")
+    even = rows.filter("customerId % 2 = 0")
+    for run, part in (("even", even), ("odd", rows.filter("customerId % 2 = 1")), ("even", even)):
+        files.save_partitioned(part, base, 8, _by_day, run_id=run)
+    return spark.read.parquet(base).groupBy("run", "yy", "mm", "dd").agg(
+        F.count("*").alias("signals"), F.sum("productId").alias("products"))
+
+
+def _order_csv(spark, sf, mode, good_only=False, **settings):
+    """Orders as CSV files: every seventh has a customer that is no number, every eleventh a cell too many."""
+    key = F.col("o_orderkey")
+    customer = F.when(key % 7 == 0, F.concat(F.lit("c"), F.col("o_custkey"))).otherwise(F.col("o_custkey").cast("string"))
+    line = F.concat_ws(";", key, customer, F.floor("o_totalprice"), "o_orderstatus", F.when(key % 11 == 0, "more"))
+    rows, path = views.table(spark, sf, "orders"), session.stage_path(spark, "csv")
+    if good_only:
+        rows = rows.filter("o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0")
+    rows.select(line.alias("value")).write.text(path)
+    fields = [("o_orderkey", "LongType"), ("o_custkey", "LongType"), ("price", "LongType"), ("status", "StringType")]
+    return path, csv_schema.CsvSchema.from_json(json.dumps({"schemaDefinition": {
+        "name": "orders", "mode": mode, "delimiter": ";", "fields": [{"name": n, "dataType": t} for n, t in fields], **settings}}))
+
+
+@query
+def csv_permissive(spark, sf):
+    return csv_schema.load_with_schema(spark, *_order_csv(spark, sf, "PERMISSIVE"), corrupt_record="line")
+
+
+@query
+def csv_drop_malformed(spark, sf):
+    return csv_schema.load_with_schema(spark, *_order_csv(spark, sf, "DROPMALFORMED"))
+
+
+@query
+def csv_failfast(spark, sf):
+    return csv_schema.load_with_schema(spark, *_order_csv(spark, sf, "FAILFAST", good_only=True))
+
+
+@query
+def feed_files(spark, sf):
+    """Feed files written and read back: parquet and text, typed and raw."""
+    rows = _feed_rows(spark, sf)
+    parquet, text = session.stage_path(spark, "feed-parquet"), session.stage_path(spark, "feed-text")
+    files.save_both(rows, parquet, text, 4, "|")
+    shown = lambda df, kind: df.select(F.lit(kind).alias("kind"), "customerId", "receiptId", F.col("dateEntered").cast("string").alias("entered"))
+    return (shown(feeds.load_parquet(spark, "receipt", parquet), "parquet")
+            .unionAll(shown(feeds.load_text(spark, "receipt", text, "|"), "text"))
+            .unionAll(shown(feeds.load_text(spark, "receipt", text, "|", raw=True, num_partitions=5), "raw")))
+
+
+def _feed_rows(spark, sf):
+    """Receipts with date text, as they are delivered."""
+    date = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    known = {"customerId": F.col("o_custkey"), "receiptId": F.col("o_orderkey"), "dateEntered": date, "dateModified": date}
+    schema = feeds.FEEDS["receipt"].schema
+    return views.table(spark, sf, "orders").select(
+        *(known.get(f.name, F.lit(None)).cast("string" if f.name.startswith("date") else f.dataType).alias(f.name) for f in schema))
+
+
 # --- feeds -----------------------------------------------------------------
 
 def _feed(df, feed, delimiter, shown, **values):
@@ -333,7 +450,7 @@ def promotion_documents(spark, sf):
                                    tag("RewardOption", F.lit("Money Off")), F.lit('<RewardValue CurrencyCode="GBP">1.50</RewardValue>'), tag("Products", products))),
         tag("ProductSet", F.concat(tag("GetQuantity", F.lit("1")), tag("RewardOption", F.lit("No Discount")))))
     text = tag("Promotion", F.concat(overview, tag("ProductSets", sets)))
-    documents = promotions_xml.parse_promotions(views.table(spark, sf, "orders").select(text.alias("value")))
+    documents = promotions_xml.parse_promotions(session.spread(views.table(spark, sf, "orders").select(text.alias("value"))))
     flat = promotions.flatten_promotions(documents)
     heads = flat.promotions.select("docId", "description", "startDate", "endDate", F.array_join("problems", "; ").alias("problems"))
     skus = flat.products.groupBy("docId", "position").agg(F.array_join(F.sort_array(F.collect_list("sku")), " ").alias("skus"))
@@ -382,6 +499,17 @@ def approx_similar_items(spark, sf):
     return _rounded(ranking.approx_top_items(items, items, 20))
 
 
+@query
+def approx_recall(spark, sf):
+    """Whether the index, visited as measured, finds nine in ten of the best 20 of every hundredth item."""
+    items = views.item_vectors(spark, sf).select("id", "factors")
+    some = items.filter("id % 100 = 0")
+    found = ranking.approx_top_items(items, items, 20, exact_above=1.0).join(some.select("id"), "id", "left_semi")
+    wanted = ranking.top_items(some, items, 20)
+    hits = wanted.join(found.select("id", "similarId", F.lit(1).alias("hit")), ["id", "similarId"], "left")
+    return hits.agg(F.countDistinct("id").alias("queries"), F.count("*").alias("wanted"), (F.count("hit") >= 0.9 * F.count("*")).alias("enough"))
+
+
 # --- factors ---------------------------------------------------------------
 
 @query
@@ -391,6 +519,22 @@ def als_item_factors(spark, sf):
     return kept.select(F.col("id").cast("bigint").alias("id"), F.size("factors").alias("rank"))
 
 
+@query
+def als_objective(spark, sf):
+    """Whether each iteration brings what training minimises further down, starting from no vectors at all."""
+    rated = signals.signal_ratings(signals.valid_signals(views.event_signals(spark, sf)))
+    ratings = session.stored(rated, "ratings")
+    zero = ratings.filter("rating > 0").agg(F.sum(1 + ALS.alpha * F.col("rating"))).first()[0]
+    losses = [zero]
+    for n in (1, 2, 3):
+        model = factors.train(ratings, dataclasses.replace(ALS, iterations=n))
+        losses.append(factors.implicit_loss(ratings, factors.user_factors(model), factors.item_factors(model),
+                                            ALS.regularisation, ALS.alpha).first().loss)
+    steps = F.array(*(F.struct(F.lit(n).alias("iterations"), F.lit(b < a).alias("falls")) for n, (a, b) in enumerate(zip(losses, losses[1:]), 1)))
+    return ratings.agg(F.countDistinct("customerId").alias("customers"), F.countDistinct("productId").alias("products")).select(
+        F.inline(steps), "customers", "products")
+
+
 @query
 def als_similar_items(spark, sf):
     items = factors.item_factors(factors.train(_training_ratings(spark, sf), ALS))
@@ -598,7 +742,7 @@ def promotion_repeated_ids(spark, sf):
 def promotion_ingest(spark, sf):
     """New, unexpired promotions and the changes of their segments; every fifth promotion is stored already."""
     flat = views.promotions(spark, sf)
-    translated = translate_supported(flat, "Combines", 0)
+    translated = session.stored(translate_supported(flat, "Combines", 0), "translated")
     stored = promotions.valid_promotions(translated).filter(views.promotion_number() % 5 == 0).withColumn("description", F.lit("other"))
     present = views.supplier_segments(spark, sf)[1].withColumn("segment", F.concat("segment", F.lit("_one")))
     done = ingest(translated, flat, stored, present, F.to_timestamp(F.lit(AS_OF)))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,3 +87,44 @@ def with_customer_guid(factors: DataFrame, customers: DataFrame) -> DataFrame:
     """User vectors with the external id of the customer instead of the internal one."""
     ids = customers.select(F.col("customerId").alias("id"), "guid")
     return factors.join(ids, "id").select("guid", "factors")
+
+
+def gram(vectors: DataFrame) -> DataFrame:
+    """Sums of products of all pairs of dimensions over all vectors: (i, j, value).
+
+    A task adds up its vectors as one matrix product per batch, so rank x rank rows per task are shuffled.
+    """
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                column = batch.column("factors")
+                matrix = column.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                total = matrix.T @ matrix + (0 if total is None else total)
+        if total is not None:
+            i, j = np.indices(total.shape)
+            yield pa.RecordBatch.from_pydict({"i": i.ravel(), "j": j.ravel(), "value": total.ravel()})
+
+    typed = vectors.select(F.col("factors").cast("array<double>").alias("factors"))
+    return typed.mapInArrow(partial, "i long, j long, value double").groupBy("i", "j").agg(F.sum("value").alias("value"))
+
+
+def implicit_loss(ratings: DataFrame, users: DataFrame, items: DataFrame, regularisation: float, alpha: float) -> DataFrame:
+    """What training minimises, in one row: ``loss`` of user and item vectors (id, factors) against the ratings.
+
+    Every customer and product counts, rated or not: a rating r > 0 is a preference of 1 held with the weight 1 + alpha * r,
+    all others are a preference of 0 with the weight 1. The sum over all pairs is not formed: that of the squared
+    products of all vectors is the product of the two Gram matrices, and only the ratings correct it. The norm of a vector counts
+    once per rating of its customer or product.
+    """
+    squares = gram(users).join(gram(items).withColumnRenamed("value", "other"), ["i", "j"]).select((F.col("value") * F.col("other")).alias("part"))
+
+    def side(vectors: DataFrame, key: str, name: str) -> DataFrame:
+        return vectors.select(F.col("id").alias(key), F.col("factors").cast("array<double>").alias(name))
+
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v)
+    rated = ratings.filter("rating > 0").join(side(users, "customerId", "x"), "customerId").join(side(items, "productId", "y"), "productId")
+    terms = rated.select(F.col("rating").cast("double").alias("r"), dot("x", "y").alias("p"), (dot("x", "x") + dot("y", "y")).alias("norms"))
+    corrections = terms.select((
+        (1 + alpha * F.col("r")) * (1 - F.col("p")) * (1 - F.col("p")) - F.col("p") * F.col("p") + regularisation * F.col("norms")).alias("part"))
+    return squares.unionAll(corrections).agg(F.coalesce(F.sum("part"), F.lit(0.0)).alias("loss"))

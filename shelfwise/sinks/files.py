@@ -31,11 +31,22 @@ def save_both(df: DataFrame, parquet_path: str, text_path: str, num_partitions:
         save_text(df, text_path, delimiter, num_partitions)
 
 
+RUN_COLUMN = "run"
+
+
 def save_partitioned(df: DataFrame, path: str, num_partitions: int, partitioner: Partitioner,
-                     fmt: str = "parquet", delimiter: str = "|") -> None:
-    """Append to a folder partitioned by the columns the partitioner adds."""
+                     fmt: str = "parquet", delimiter: str = "|", run_id: str | None = None) -> None:
+    """Append to a folder partitioned by the columns the partitioner adds.
+
+    With a ``run_id`` the append can be repeated: the rows go to a folder ``run=<run_id>`` within each partition, and a run
+    replaces what an earlier one with the same id has left in the partitions that it writes to. A job that is run again
+    on the same input then doubles nothing, and rows of other runs stay.
+    """
     columns, rows = partitioner(df)
-    writer = rebalanced(rows, columns, num_partitions).write.mode("append").partitionBy(*columns)
+    if run_id is not None:
+        columns, rows = [*columns, RUN_COLUMN], rows.withColumn(RUN_COLUMN, F.lit(run_id))
+    writer = rebalanced(rows, columns, num_partitions).write.mode("append" if run_id is None else "overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*columns)
     if fmt == "csv":
         writer.options(sep=delimiter, header="false").csv(path)
     else:

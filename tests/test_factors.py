@@ -27,6 +27,36 @@ def test_training_is_repeatable(spark):
     assert one == two
 
 
+def test_loss_falls_and_equals_the_sum_over_all_pairs(spark):
+    rng = np.random.default_rng(4)
+    r = np.where(rng.random((30, 17)) < 0.2, rng.integers(1, 4, (30, 17)), 0).astype(float)
+    r[:, 16] = r[29] = 0  # neither a customer nor a product of the training
+    rows = [(int(u), int(i), float(r[u, i])) for u, i in zip(*np.nonzero(r))]
+    ratings = spark.createDataFrame(rows, "customerId int, productId int, rating double")
+    losses = []
+    for n in (1, 2, 3, 6):
+        model = factors.train(ratings, factors.FactorParams(rank=4, iterations=n, regularisation=0.1, alpha=10.0, blocks=2))
+        users, items = factors.user_factors(model), factors.item_factors(model)
+        losses.append(factors.implicit_loss(ratings, users, items, 0.1, 10.0).first().loss)
+        x, y = (np.zeros((size, 4)) for size in r.shape)
+        for matrix, side in ((x, users), (y, items)):
+            for row in side.collect():
+                matrix[row.id] = row.factors
+        # Vectors of unknown ids are zero, so their pairs add nothing to the sum over all pairs.
+        seen = r > 0
+        whole = ((1 + 10 * r) * (seen - x @ y.T) ** 2).sum() + 0.1 * (
+            (seen.sum(1) * (x ** 2).sum(1)).sum() + (seen.sum(0) * (y ** 2).sum(1)).sum())
+        assert np.isclose(losses[-1], whole, rtol=1e-6)
+    assert losses == sorted(losses, reverse=True) and losses[-1] < 0.95 * losses[0]
+
+
+def test_loss_without_ratings(spark):
+    vectors = spark.createDataFrame([(1, [1.0, 2.0])], "id int, factors array<float>")
+    none = spark.createDataFrame([], "customerId int, productId int, rating double")
+    assert factors.implicit_loss(none, vectors, vectors, 0.1, 1.0).first().loss == 25.0
+    assert factors.implicit_loss(none, vectors.limit(0), vectors, 0.1, 1.0).first().loss == 0.0
+
+
 def test_wide_vectors_and_cohorts(spark, as_rows):
     df = spark.createDataFrame([(1, [0.5, 1.5]), (2, [2.5, 3.5])], "id int, factors array<float>")
     assert as_rows(factors.vectors_wide(df, 2)) == [(1, 0.5, 1.5), (2, 2.5, 3.5)]

@@ -107,6 +107,54 @@ def test_csv_schema_rules(changes):
         schema(**changes)
 
 
+LINES = "id,email,day,n\n1,a@b,04/03/2019,2.5\nx,c@d,05/03/2019,1\n3,e@f,06/03/2019,1,more\n4,g@h\n5,i@j,07/03/2019,oops\n"
+
+
+def test_csv_modes(spark, tmp_path, as_rows):
+    path = write(tmp_path / "in.csv", LINES)
+    plain = {"partitionByDateCol": "", "partitionByDateOn": ""}
+    loose = csv_schema.load_with_schema(spark, path, schema(piiFields="", **plain), corrupt_record="line")
+    assert as_rows(loose, "id", "email", "day", "n", "line") == sorted([
+        (1, "a@b", "04/03/2019", 2.5, None), (None, "c@d", "05/03/2019", 1.0, "x,c@d,05/03/2019,1"),
+        (3, "e@f", "06/03/2019", 1.0, "3,e@f,06/03/2019,1,more"), (4, "g@h", None, None, "4,g@h"),
+        (5, "i@j", "07/03/2019", None, "5,i@j,07/03/2019,oops")], key=repr)
+    assert as_rows(csv_schema.load_with_schema(spark, path, schema(mode="DROPMALFORMED", **plain))) == [(1, "04/03/2019", 2.5)]
+    # A personal column is not read, so what it holds spoils no line.
+    typed = schema(mode="DROPMALFORMED", piiFields="n", **plain)
+    assert as_rows(csv_schema.load_with_schema(spark, path, typed), "id") == [(1,), (5,)]
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        csv_schema.load_with_schema(spark, path, schema(mode="FAILFAST", **plain)).collect()
+
+
+def test_lines_that_do_not_fit_show_no_personal_data(spark, tmp_path):
+    path = write(tmp_path / "in.csv", LINES)
+    got = csv_schema.load_with_schema(spark, path, schema(), corrupt_record="line")
+    assert got.columns == ["id", "day", "n", "line", "yy", "mm"]
+    shown = [r.line for r in got.collect() if r.line]
+    assert len(shown) == 4 and all(len(x) == 64 and "@" not in x for x in shown)
+    for changes in ({"mode": "FAILFAST"}, {"mode": "DROPMALFORMED"}):
+        with pytest.raises(DataParseError):
+            csv_schema.load_with_schema(spark, path, schema(**changes), corrupt_record="line")
+    with pytest.raises(DataParseError):
+        csv_schema.load_with_schema(spark, path, schema(), corrupt_record="n")
+
+
+def test_an_append_can_be_repeated(spark, tmp_path, as_rows):
+    day = 24 * 3600 * 1000
+    df = spark.createDataFrame([(i, MS + (i % 4) * day) for i in range(40)], "id int, at bigint")
+    base = str(tmp_path / "days")
+    by_day = lambda d: partitioning.partition_by_millis(d, "at")
+    for _ in range(2):
+        files.save_partitioned(df.filter("id < 20"), base, 2, by_day, run_id="first")
+    files.save_partitioned(df.filter("id >= 20"), base, 2, by_day, run_id="second")
+    files.save_partitioned(df.filter("id < 20"), base, 2, by_day, run_id="first")
+    assert sorted(r.id for r in spark.read.parquet(base).collect()) == list(range(40))
+    assert as_rows(spark.read.parquet(base).groupBy("run").count()) == [("first", 20), ("second", 20)]
+    assert sorted(r.id for r in ranges.load_range(spark, base, MS, MS).collect()) == list(range(0, 40, 4))
+    files.save_partitioned(df.filter("id < 20"), base, 2, by_day, fmt="csv", run_id="other")
+    assert (tmp_path / "days" / "yy=2019" / "mm=03" / "dd=04" / "run=other").exists()
+
+
 def test_text_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, None, 0.5), (2, "a b", 1.0)], "id int, s string, v double")
     files.save_both(df, str(tmp_path / "pq"), str(tmp_path / "txt"), 1)
