@@ -4,15 +4,26 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+from array import array
 from collections.abc import Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.llm.bpe import byte_characters
-from shelfwise.llm.common import id_and_text, stored
-
+from shelfwise.llm.common import id_and_text
+from shelfwise.session import stored
+
+#: Where texts are cut: at a space between ASCII characters or Latin letters, which are no white space in any version of Unicode.
+CUT = re.compile(r"(?<=[!-~\u00c0-\u024f]) (?=[!-~\u00c0-\u024f])")
+#: Chunks that a worker remembers, characters of the longest one, and characters of texts that are aligned together and
+#: chunks that are learned together.
+MEMORY, LONGEST_KEPT, TOGETHER, LEARNED = 400_000, 40, 1_000_000, 10_000
 #: Pairs with more than one in so many of all occurrences are broadcast; that are fewer pairs than this.
 HOT_PAIRS = 65_536
 MEASURES = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
@@ -24,10 +35,26 @@ def load_files(path_a: str, path_b: str) -> dict:
         return {"a": a.read(), "b": b.read()}
 
 
+class Chunk(NamedTuple):
+    """A part of a text that both tokenizers read on its own: numbers of tokens and groups, the groups as text, A ids of links
+    that are one token each with equal bytes, and pairs of all other links, both as bytes of int64."""
+
+    n_a: int
+    n_b: int
+    n_groups: int
+    text: str
+    same: bytes
+    pairs: bytes
+
+
 class Aligner:
     """Tokenizers A (byte-level BPE, JSON) and B (pieces with byte fallback) and what of their vocabularies is needed.
 
     ``same[a]`` is the B id with the bytes of A id a, or -1; of several the piece that is not a single fallback byte.
+
+    A text is cut before single spaces between plain characters. A ends a token there, as its split pattern takes such a space
+    along with what follows, and B does, as long as no piece has a space after anything else. So the cut parts can be
+    aligned one by one, and a worker remembers the short ones.
     """
 
     def __init__(self, files: dict) -> None:
@@ -45,47 +72,68 @@ class Aligner:
         for token, i in vocabulary.items():
             self.bytes_a[i] = b"".join([byte.get(c) or c.encode() for c in token])
         size = self.b.get_piece_size()
+        pieces = [self.b.id_to_piece(i) for i in range(size)]
         fallback = [i for i in range(size) if self.b.is_byte(i)]
-        self.bytes_b = [self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(size)]
+        self.bytes_b = [p.replace("▁", " ").encode() for p in pieces]
         for i in fallback:
-            self.bytes_b[i] = bytes([int(self.b.id_to_piece(i)[3:-1], 16)])
+            self.bytes_b[i] = bytes([int(pieces[i][3:-1], 16)])
         if not all(self.bytes_a[i] for i in vocabulary.values()) or not all(self.bytes_b):
             raise ValueError("a token without bytes ends nowhere of its own")
+        if any("▁" in p.lstrip("▁") for p in pieces):
+            raise ValueError("pieces with a space after other characters: texts can't be cut at spaces")
         text_of = {self.bytes_b[i]: i for i in [*fallback, *sorted(set(range(size)) - set(fallback), reverse=True)]}
-        self.same = np.array([text_of.get(t, -1) for t in self.bytes_a], np.int64)
-        self.len_a, self.len_b = (np.array([len(t) for t in of], np.int64) for of in (self.bytes_a, self.bytes_b))
-        # Every id followed by a comma, a bar or a semicolon.
-        self.written = [f"{i}{mark}" for i in range(max(len(self.bytes_a), size)) for mark in ",|;"]
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of A and of B; None if there are none or their bytes are not a space and the text."""
-        if not text:
-            return None
-        a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
-        b = self.b.encode(text, num_threads=1)
-        whole = b" " + text.encode()
-        if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
-            return None
-        return np.array(a, np.int64), np.array(b, np.int64)
-
-    def align(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in a and in b of the tokens that end together: the last ones of each group."""
-        ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
-        at = np.searchsorted(ends_b, ends_a)
-        last_a = np.flatnonzero(ends_b[at] == ends_a)  # both have the same total, so every place exists
-        return last_a, at[last_a]
-
-    def write(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
-        """The groups as text, like ``a1,a2|b1;a3|b2,b3``."""
-        before_a, before_b = np.concatenate(([-1], last_a[:-1])), np.concatenate(([-1], last_b[:-1]))
-        size_a, size_b = last_a - before_a, last_b - before_b
-        place_a = np.arange(len(a)) + np.repeat(before_b + 1, size_a)
-        place_b = np.arange(len(b)) + np.repeat(last_a + 1, size_b)
-        mark_a, mark_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-        mark_a[last_a], mark_b[last_b] = 1, 2
-        out = np.empty(len(a) + len(b), np.int64)
-        out[place_a], out[place_b] = 3 * a + mark_a, 3 * b + mark_b
-        return "".join(map(self.written.__getitem__, out.tolist()))[:-1]
+        self.same = [text_of.get(t, -1) for t in self.bytes_a]
+        self.known: dict[str, Chunk | None] = {}
+
+    def learn(self, chunks: list[str]) -> dict[str, Chunk | None]:
+        """Chunks aligned; None where the bytes of the tokens of A or B are not a space and the chunk."""
+        span, same, bytes_a, bytes_b, out = len(self.bytes_b), self.same, self.bytes_a, self.bytes_b, {}
+        of_a = self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)
+        for chunk, a, b in zip(chunks, of_a, self.b.encode(chunks, num_threads=1)):
+            a, whole = a.ids, b" " + chunk.encode()
+            tokens_a, tokens_b = [bytes_a[i] for i in a], [bytes_b[i] for i in b]
+            if b"".join(tokens_a) != whole or b"".join(tokens_b) != whole:
+                out[chunk] = None
+                continue
+            groups, plain, other = [], array("q"), array("q")
+            end_a = end_b = done_a = done_b = at_b = 0
+            for at_a, token in enumerate(tokens_a, 1):
+                end_a += len(token)
+                while end_b < end_a:
+                    end_b += len(tokens_b[at_b])
+                    at_b += 1
+                if end_b == end_a:
+                    x, y = a[at_a - 1], b[at_b - 1]
+                    if at_a - done_a == at_b - done_b == 1:
+                        groups.append(f"{x}|{y}")
+                        if same[x] == y:
+                            plain.append(x)
+                        else:
+                            other.append(x * span + y)
+                    else:
+                        groups.append(",".join(map(str, a[done_a:at_a])) + "|" + ",".join(map(str, b[done_b:at_b])))
+                        other.append(x * span + y)
+                    done_a, done_b = at_a, at_b
+            out[chunk] = Chunk(len(a), len(b), len(groups), ";".join(groups), plain.tobytes(), other.tobytes())
+        return out
+
+    def align(self, texts: list[str]) -> list[list[Chunk] | None]:
+        """The chunks of each text; None for a text that is empty or that a tokenizer alters."""
+        cut = [CUT.split(t) for t in texts]
+        different = set(chain.from_iterable(cut))
+        if len(self.known) + len(different) > MEMORY:
+            self.known.clear()
+        new = [c for c in different if c not in self.known]
+        for at in range(0, len(new), LEARNED):
+            self.known.update(self.learn(new[at:at + LEARNED]))
+        get, out = self.known.__getitem__, []
+        for text, chunks in zip(texts, cut):
+            aligned = list(map(get, chunks)) if text else [None]
+            out.append(None if None in aligned else aligned)
+        for c in new:
+            if len(c) > LONGEST_KEPT:
+                del self.known[c]
+        return out
 
 
 def _aligner(files: dict) -> Aligner:
@@ -119,24 +167,28 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = _aligner(files.value)
-        span, counted = len(tools.bytes_b), np.zeros(len(tools.bytes_a), np.int64)
-        nothing = np.zeros(0, np.int64)
+        counted, nothing = np.zeros(len(tools.bytes_a), np.int64), np.zeros(0, np.int64)
 
-        def one(text: str) -> tuple:
-            if (ids := tools.encode(text)) is None:
+        def one(chunks: list[Chunk] | None) -> tuple:
+            if chunks is None:
                 return 0, 0, 0, "", nothing, nothing, nothing, nothing
-            a, b = ids
-            last_a, last_b = tools.align(a, b)
-            a_ids, b_ids = a[last_a], b[last_b]
-            plain = (np.diff(last_a, prepend=-1) == 1) & (np.diff(last_b, prepend=-1) == 1) & (tools.same[a_ids] == b_ids)
-            same, same_n = np.unique(a_ids[plain], return_counts=True)
+            n_a, n_b, n_groups, text, plain, other = zip(*chunks)
+            same, same_n = np.unique(np.frombuffer(b"".join(plain), np.int64), return_counts=True)
             counted[same] += same_n
-            pairs, pair_n = np.unique(a_ids[~plain] * span + b_ids[~plain], return_counts=True)
-            digest = hashlib.sha256(tools.write(a, b, last_a, last_b).encode()).hexdigest()
-            return len(a), len(b), len(last_a), digest, same, same_n, pairs, pair_n
-
-        for batch in batches:
-            n_a, n_b, n_groups, digest, *lists = zip(*(one(t.as_py()) for t in batch.column("text"))) if len(batch) else [()] * 8
+            pairs, pair_n = np.unique(np.frombuffer(b"".join(other), np.int64), return_counts=True)
+            return sum(n_a), sum(n_b), sum(n_groups), hashlib.sha256(";".join(text).encode()).hexdigest(), same, same_n, pairs, pair_n
+
+        def blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            start = size = 0
+            for at, length in enumerate(pc.utf8_length(batch.column("text")).to_pylist()):
+                if size and size + length > TOGETHER:
+                    yield batch.slice(start, at - start)
+                    start, size = at, 0
+                size += length
+            yield batch.slice(start)
+
+        for batch in (block for batch in batches if batch.num_rows for block in blocks(batch)):
+            n_a, n_b, n_groups, digest, *lists = zip(*map(one, tools.align(batch.column("text").to_pylist())))
             yield pa.RecordBatch.from_arrays([
                 batch.column("uid"), batch.column("doc_id"), *(pa.array(n, pa.int64()) for n in (n_a, n_b, n_groups, n_groups)),
                 pa.array(digest, pa.string()), *(_lists(list(column)) for column in lists)], names)
@@ -163,7 +215,7 @@ def cross_tokenizer_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFra
     One row out for each row in: doc_id, n_a, n_b, n_groups, n_links, n_best (links whose count is the highest of their B id,
     ties included), count_sum, groups_sha256. Texts that are null, empty, or that a tokenizer alters (the bytes of its tokens are
     not those of the text) have zeros and an empty digest. A null doc_id and repeated rows stay and count each; other
-    columns are not read; an empty table gives no rows. A very long text is encoded whole, in memory in proportion to it. The
+    columns are not read; an empty table gives no rows. A very long text is aligned whole, in memory in proportion to it. The
     texts are read once; what is needed of them afterwards is a table in the shared checkpoint folder.
     """
     spark = docs.sparkSession
@@ -181,14 +233,15 @@ def cross_tokenizer_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFra
     pairs = each(rows, "pairs", "pair_n", "uid")
     counts = stored(pairs.groupBy("id").agg(F.sum("n").alias("count")), "pair-counts")
     best = np.zeros(span, np.int64)
-    mapped = tools.same >= 0
-    np.maximum.at(best, tools.same[mapped], counts_a[mapped])
+    same = np.array(tools.same)
+    mapped = same >= 0
+    np.maximum.at(best, same[mapped], counts_a[mapped])
     for i, n in counts.groupBy((F.col("id") % span).alias("b")).agg(F.max("count")).collect():
         best[i] = max(best[i], n)  # at most one row per B id
     limit = (counts.agg(F.sum("count")).first()[0] or 0) // HOT_PAIRS
     hot_pairs = sorted(map(tuple, counts.filter(F.col("count") > limit).collect()))  # fewer than HOT_PAIRS rows
     hot_ids, hot_counts = (np.array([p[k] for p in hot_pairs], np.int64) for k in (0, 1))
-    best_of_a = np.where(mapped, best[tools.same], 0)
+    best_of_a = np.where(mapped, best[same], 0)
     known = spark.sparkContext.broadcast((counts_a, counts_a == best_of_a, hot_ids, hot_counts, hot_counts == best[hot_ids % span]))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 """Cross-tokenizer alignment against a plain version of it."""
 
+import functools
 import hashlib
 import json
 import random
@@ -8,6 +9,7 @@ from collections import Counter
 import public_tokenizers
 import pytest
 import sentencepiece
+from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from shelfwise.llm import alignment
@@ -24,8 +26,8 @@ def byte_of_character():
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-def plain(texts):
-    """Rows of the operator, position by position in plain Python."""
+@functools.cache
+def plain_tools():
     a_tool, b_tool = Tokenizer.from_file(PATHS[0]), sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
     a_tool.encode_special_tokens = True
     byte = byte_of_character()
@@ -36,6 +38,12 @@ def plain(texts):
         text = b_tool.id_to_piece(i)
         return bytes([int(text[3:5], 16)]) if b_tool.is_byte(i) else text.replace("▁", " ").encode()
 
+    return a_tool, b_tool, token, piece
+
+
+def plain(texts):
+    """Rows of the operator, position by position in plain Python."""
+    a_tool, b_tool, token, piece = plain_tools()
     out, links = [], []
     for text in texts:
         whole = " " + (text or "")
@@ -89,9 +97,33 @@ def test_against_plain_version(spark, monkeypatch, hot):
 def test_same_bytes_array():
     tools = alignment.Aligner(alignment.load_files(*PATHS))
     for i in [*range(0, 50_000, 997), 0, 1, 10, 220]:
-        same = int(tools.same[i])
+        same = tools.same[i]
         assert tools.bytes_b[same] == tools.bytes_a[i] if same >= 0 else tools.bytes_a[i] not in tools.bytes_b
-    assert not tools.b.is_byte(int(tools.same[tools.bytes_a.index(b"e")]))
+    assert not tools.b.is_byte(tools.same[tools.bytes_a.index(b"e")])
+
+
+TOOLS = alignment.Aligner(alignment.load_files(*PATHS))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=30), st.text("ab .,'sÀé  \n\t\u3000\u200b1▁<", max_size=40)), max_size=4))
+def test_cut_texts_equal_whole_ones(texts):
+    """Chunk by chunk, with or without a memory of them, as the libraries encode the whole text."""
+    for got, text, (n_a, n_b, n_groups, _, _, _, digest) in zip(TOOLS.align(texts), texts, plain(texts)):
+        if got is None:
+            assert (n_a, digest) == (0, "")
+        else:
+            assert [sum(c.n_a for c in got), sum(c.n_b for c in got), sum(c.n_groups for c in got)] == [n_a, n_b, n_groups]
+            assert hashlib.sha256(";".join(c.text for c in got).encode()).hexdigest() == digest
+
+
+def test_a_full_memory_starts_anew(monkeypatch):
+    monkeypatch.setattr(alignment, "MEMORY", 5)
+    tools = alignment.Aligner(alignment.load_files(*PATHS))
+    texts = ["a b c d", "e f g h i j k l", "a b", "m" * 60 + " n"]
+    for text in texts:
+        assert tools.align([text]) == TOOLS.align([text])
+    assert not any(len(c) > alignment.LONGEST_KEPT for c in tools.known)
 
 
 def test_given_documents(spark):
