@@ -11,7 +11,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfwise.llm.common import sized, stored
+from shelfwise.llm.common import sized
+from shelfwise.session import stored
 
 LONGEST, MIN_COUNT, TOP = 5, 100, 2000
 #: What ends a piece becomes a byte that UTF-8 never has.

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.session import ensure_checkpoint_dir
@@ -40,19 +38,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder, of which later readers take only the columns they need."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def sized(ids: DataFrame) -> DataFrame:
     """Narrow rows, to be broadcast if they are few enough, so that texts need not be shuffled to meet them."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as make it differ from all columns."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Rows, with all columns, whose doc_id is not among the ``doc_id`` of gone; rows without doc_id stay."""
-    ids = cut(gone.select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(sized(ids), F.col("doc_id").cast("long") == F.col("__id"), "left_anti")
+    key = fresh(docs, "gone_id")
+    ids = cut(gone.select(F.col("doc_id").alias(key)).distinct())
+    return docs.join(sized(ids), F.col("doc_id").cast("long") == F.col(key), "left_anti")

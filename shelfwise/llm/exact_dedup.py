@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfwise.llm.common import cut, id_and_text, sized
+from shelfwise.llm.common import cut, fresh, id_and_text, sized
 
 #: Runs of ASCII white space that are not one space already.
 SPACES = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -62,12 +62,12 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows that exact_dedup keeps, with all their columns: one row per text."""
     found = cut(exact_dedup(docs))
-    own = docs.withColumns({"__doc": F.col("doc_id").cast("long"),
-                            "__digest": F.sha2(normalised(F.coalesce("text", F.lit(""))), 256)})
-    same_row = F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__other"))
+    key, digest, other_key, other, number = (fresh(docs, n) for n in ("key", "digest", "other_key", "other_digest", "number"))
+    own = docs.withColumns({key: F.col("doc_id").cast("long"), digest: F.sha2(normalised(F.coalesce("text", F.lit(""))), 256)})
+    same_row = F.col(key).eqNullSafe(F.col(other_key)) & (F.col(digest) == F.col(other))
 
     def rows(of: DataFrame) -> DataFrame:
-        return of.select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__other"))
+        return of.select(F.col("doc_id").alias(other_key), F.col("text_sha256").alias(other))
 
     gone = found.filter(~F.col("kept"))
     if gone.filter(F.col("doc_id").eqNullSafe(F.col("keep_id"))).isEmpty():
@@ -75,6 +75,6 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     else:
         # Rows that repeat an id and its text can't be told apart by them: they lie together after this join.
         left = own.join(rows(found.filter("kept")), same_row, "left_semi")
-        again = Window.partitionBy("__doc", "__digest").orderBy("__doc")
-        left = left.withColumn("__n", F.row_number().over(again)).filter("__n = 1").drop("__n")
-    return left.drop("__doc", "__digest")
+        again = Window.partitionBy(key, digest).orderBy(key)
+        left = left.withColumn(number, F.row_number().over(again)).filter(F.col(number) == 1).drop(number)
+    return left.drop(key, digest)
