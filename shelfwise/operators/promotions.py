@@ -323,9 +323,9 @@ def named_segments(flat: Flat, valid: DataFrame) -> DataFrame:
         (F.col("listed") > MAX_INLINE_PRODUCTS) & (F.col("position") < len(POSITION_WORDS)))
     known = long_lists.join(valid.select("docId", "promoId", "startDate", "endDate"), "docId") \
         .withColumn("segment", F.concat_ws("_", "promoId", F.get(words, F.col("position"))))
-    latest = known.groupBy("segment").agg(
-        F.max(F.struct("endDate", "startDate", "docId", "position", "promoId")).alias("last")) \
-        .select("segment", "last.docId", "last.position", "last.promoId")
+    order = [F.col(c).desc_nulls_last() for c in ("endDate", "startDate", "docId", "position", "promoId")]
+    place = F.row_number().over(Window.partitionBy("segment").orderBy(*order))
+    latest = known.withColumn("place", place).filter("place = 1").select("segment", "docId", "position", "promoId")
     return salted_join(flat.products, latest, ["docId", "position"], "sku").select("promoId", "segment", "sku").distinct()
 
 
