@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.llm.common import cut, id_and_text, sized, without
@@ -20,6 +23,11 @@ MEMORY = 300_000
 BLOCK_ROWS, BLOCK_SHINGLES = 1024, 400_000
 #: Columns of the incidence matrix that are multiplied at a time.
 SLAB = 4096
+#: Buckets that signatures are counted in by their first bits, of one byte each, and how many of them a task sends at a time.
+BUCKETS, PIECE = 1 << 25, 1 << 16
+BUCKET_SHIFT = np.uint64(64 - 25)
+#: Parts that near copies of 80 percent are cut into beyond what is needed, for each needed one.
+EXTRA_PARTS = 0.5
 U = np.uint64
 
 
@@ -66,20 +74,21 @@ class Cuts:
     Sets x and y with 100 |x & y| >= percent |x | y| are in one class or in neighbouring ones, and differ in at most
     k = (100 - percent)(|x| + |y|) / (100 + percent) shingles; k is taken for the largest pair of a class and the next. Cut
     into k + 1 + e parts by hash range, they agree in e + 1 parts or more. e is a little more than the number of parts
-    that a set of the class leaves empty by chance.
+    that a set of the class leaves empty by chance, and ``extra`` parts for each of the k + 1 besides.
     """
 
-    def __init__(self, percent: int) -> None:
-        self.percent, self.ends, self.plans = percent, [], []
+    def __init__(self, percent: int, extra: float = 0.0) -> None:
+        self.percent, self.extra, self.ends, self.plans = percent, extra, [], []
 
     def _extend(self) -> None:
         percent, least = self.percent, self.ends[-1] + 1 if self.ends else 1
         end = least * 100 // percent
         k = (100 - percent) * (end + end * 100 // percent) // (100 + percent)
-        spare = 0
+        more = int(np.ceil(self.extra * (k + 1))) + 2 * (self.extra > 0)
+        spare = more
         for _ in range(3):
             empty = (k + 1 + spare) * (1 - 1 / (k + 1 + spare)) ** least
-            spare = int(np.ceil(empty + 3 * empty**0.5)) if empty >= 0.5 else 0
+            spare = more + (int(np.ceil(empty + 3 * empty**0.5)) if empty >= 0.5 else 0)
         self.ends.append(end)
         self.plans.append((k + 1 + spare, spare))
 
@@ -91,17 +100,23 @@ class Cuts:
         return [(k, *self.plans[k]) for k in range(max(0, at - 1), at + 1)]
 
 
-def signatures(own: np.ndarray, cuts: Cuts) -> np.ndarray:
+def signatures(own: np.ndarray, cuts: Cuts, frequent: np.ndarray | None = None) -> np.ndarray:
     """Hashes of which any two sets that qualify share one: those of the parts of a set, cut for its class and for the
     class before.
 
     With at most e empty parts in one of two sets, a part in which they agree is not empty, so empty parts need no
-    hash. A set with more of them tells each apart by the parts of another cut.
+    hash. A set with more of them tells each apart by the parts of another cut. Given how frequent signatures are, by their
+    first bits, a set with fewer empty parts leaves out as many others, the most frequent ones: of the parts in which two sets
+    agree, the rarest has at least as many behind it as either may leave out.
     """
-    return np.concatenate([_parts(own, parts, spare, U(k + 1), 0) for k, parts, spare in cuts.of(len(own))])
+    found = [_parts(own, parts, spare, U(k + 1), 0) for k, parts, spare in cuts.of(len(own))]
+    if frequent is None:
+        return np.concatenate([signs for signs, _ in found])
+    return np.concatenate([signs[np.lexsort((signs, frequent[signs >> BUCKET_SHIFT]))[:len(signs) - left]] for signs, left in found])
 
 
-def _parts(own: np.ndarray, parts: int, spare: int, label: np.uint64, depth: int) -> np.ndarray:
+def _parts(own: np.ndarray, parts: int, spare: int, label: np.uint64, depth: int) -> tuple[np.ndarray, int]:
+    """Signatures, and how many of them can be left out."""
     turned = np.sort(_mixed(own, depth + 1))
     edges = np.searchsorted(turned, np.arange(1, parts, dtype=U) * U((2**64 - 1) // parts))
     edges = np.concatenate([[0], edges, [len(own)]])
@@ -110,20 +125,21 @@ def _parts(own: np.ndarray, parts: int, spare: int, label: np.uint64, depth: int
     signs = _mixed(_mixed(sums[edges[1:]] - sums[edges[:-1]], 5) ^ (np.arange(parts, dtype=U) * U(0x9E3779B97F4A7C15) + label))
     empty = edges[1:] == edges[:-1]
     if empty.sum() <= spare:
-        return signs[~empty]
+        return signs[~empty], spare - int(empty.sum())
     if depth == 3:
-        return signs
-    return np.concatenate([signs[~empty], *(_parts(own, parts, spare, s, depth + 1) for s in signs[empty])])
+        return signs, 0
+    return np.concatenate([signs[~empty], *(_parts(own, parts, spare, s, depth + 1)[0] for s in signs[empty])]), 0
 
 
-def _signed(texts: DataFrame, words: int, percent: int) -> DataFrame:
+def _signed(texts: DataFrame, words: int, percent: int, extra: float = 0.0, frequent: Broadcast | None = None) -> DataFrame:
     """doc_id, n_shingles, two hashes of the set, and its signatures; texts are read once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, cuts = Shingles(words), Cuts(percent)
+        shingles, cuts = Shingles(words), Cuts(percent, extra)
+        often = np.frombuffer(frequent.value, np.uint8) if frequent else None
         for batch in batches:
             sets = [shingles(t.as_py()) for t in batch.column(1)]
             both = [pa.array(np.array([_mixed(s, seed).sum(dtype=U) for s in sets], U).view(np.int64)) for seed in (1, 2)]
-            signs = [signatures(s, cuts).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets]
+            signs = [signatures(s, cuts, often).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets]
             bounds = pa.array(np.cumsum([0, *map(len, signs)]), pa.int32())
             lists = pa.ListArray.from_arrays(bounds, pa.array(np.concatenate([np.empty(0, np.int64), *signs]), pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *both, lists],
@@ -132,6 +148,41 @@ def _signed(texts: DataFrame, words: int, percent: int) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, signs array<long>")
 
 
+def _frequent(texts: DataFrame, words: int, percent: int, extra: float) -> Broadcast:
+    """How many documents have a signature, by its first bits, up to 255: one byte for each of BUCKETS buckets, of all documents.
+
+    This only orders the parts of a set: whatever is in here, no link is lost. The better it is, the fewer documents are compared
+    that share nothing but a line or a passage. Tasks send pieces of their table, which are added up piece by piece.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, cuts, total = Shingles(words), Cuts(percent, extra), np.zeros(BUCKETS, np.uint8)
+        for batch in batches:
+            sets = [shingles(t.as_py()) for t in batch.column(0)]
+            signs = [np.empty(0, U), *(signatures(s, cuts) for s in sets if len(s))]
+            bucket, times = np.unique(np.concatenate(signs) >> BUCKET_SHIFT, return_counts=True)
+            total[bucket] = np.minimum(255, total[bucket] + times)
+        pieces = total.reshape(-1, PIECE)
+        used = np.flatnonzero(pieces.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([zlib.compress(pieces[k].tobytes(), 1) for k in used], pa.binary())],
+                                         ["piece", "times"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, times in zip(batch.column(0).to_pylist(), batch.column(1)):
+                more = np.frombuffer(zlib.decompress(times.as_py()), np.uint8).astype(np.int64)
+                sums[piece] = np.minimum(255, sums.get(piece, 0) + more)
+        data = [zlib.compress(s.astype(np.uint8).tobytes(), 1) for s in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(data, pa.binary())], ["piece", "times"])
+
+    schema = "piece long, times binary"
+    table = np.zeros((BUCKETS // PIECE, PIECE), np.uint8)
+    found = texts.select("text").mapInArrow(count, schema).repartition("piece").mapInArrow(add, schema)
+    for piece, times in found.collect():  # BUCKETS bytes at most
+        table[piece] = np.frombuffer(zlib.decompress(times), np.uint8)
+    return texts.sparkSession.sparkContext.broadcast(table.tobytes())
+
+
 def _candidate_links(signed: DataFrame) -> DataFrame:
     """Pairs (a, b) that connect all documents which share a signature.
 
@@ -246,14 +297,15 @@ def _verified_links(texts: DataFrame, members: DataFrame, words: int, percent: i
     return cells.groupBy("family", "i", "j").applyInArrow(multiply, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
+def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90, extra: float = 0.0) -> DataFrame:
     """Group documents whose sets of word n-grams link: 100 |x & y| >= percent |x | y|, A-Z in lower case.
 
     Documents that share a size-derived signature make a family, within which alone links can be. The incidence
     matrix of a family's distinct sets is multiplied with itself block by block; overlap counts are added up, and
     pairs below the bound that their sizes set are discarded. Sets are 64-bit hashes of n-grams. Equal sets are one row
     of the matrix, and of the links of a cell only as many are passed on as connect the same rows, so dense groups
-    stay linear in size; no link between different texts is lost.
+    stay linear in size; no link between different texts is lost. With ``extra`` parts for each part that is needed,
+    a set goes without as many signatures, those that most documents have: parts that hold nothing but a common line.
 
     One row out for each row in: doc_id, n_shingles, component_id (smallest doc_id that links lead to, or its own).
 
@@ -262,7 +314,8 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     links. An empty table gives no rows; other columns are not read.
     """
     texts = id_and_text(docs)
-    keys = cut(_signed(texts, words, percent))
+    frequent = _frequent(texts, words, percent, extra) if extra else None
+    keys = cut(_signed(texts, words, percent, extra, frequent))
     known = texts.filter(F.col("doc_id").isNotNull())
     full = keys.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     families = components(_candidate_links(full))
@@ -278,4 +331,4 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows whose doc_id is the smallest of its component, with all columns; rows without doc_id stay."""
-    return without(docs, jaccard_components(docs, words, percent).filter("component_id < doc_id"))
+    return without(docs, jaccard_components(docs, words, percent, EXTRA_PARTS).filter("component_id < doc_id"))

@@ -96,6 +96,19 @@ def test_exact_dedup(spark):
     assert exact_dedup.exact_dedup(odd_rows(spark, (1, "")).limit(0)).count() == 0
 
 
+CLASHING = ["gone_id", "key", "_key", "digest", "other_key", "Other_Digest", "number", "__id", "__doc", "__digest", "__other", "__n"]
+
+
+@pytest.mark.parametrize("repeat", [1, 2])
+def test_columns_named_like_helpers_stay(spark, repeat):
+    rows = [(i, t, *(f"{c}{i}" for c in CLASHING)) for i, t in enumerate(["one two three four five six", "one two  three four five six", "x", None])] * repeat
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in CLASHING))
+    for kept in (exact_dedup.drop_copies(docs), jaccard.drop_near_copies(docs)):
+        assert kept.columns == docs.columns
+        assert {r.doc_id for r in kept.collect()} == {0, 2, 3}
+        assert all(r[c] == f"{c}{r.doc_id}" for r in kept.collect() for c in CLASHING)
+
+
 # --- components and the Jaccard join ---------------------------------------
 
 def plain_components(nodes, links):
@@ -161,12 +174,19 @@ def test_jaccard_components(spark, monkeypatch, n, percent):
         monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
         again = jaccard.jaccard_components(odd_rows(spark, *rows), n, percent).collect()
         assert sorted(map(tuple, again), key=repr) == plain_jaccard(rows, n, percent)
+    else:
+        again = jaccard.jaccard_components(odd_rows(spark, *rows), n, percent, jaccard.EXTRA_PARTS).collect()
+        assert sorted(map(tuple, again), key=repr) == plain_jaccard(rows, n, percent)
     assert jaccard.jaccard_components(odd_rows(spark, *rows).limit(0), n, percent).count() == 0
 
 
-@pytest.mark.parametrize("percent", [80, 90, 100])
-def test_signatures_lose_no_link(percent):
-    rng, cuts, links = np.random.default_rng(percent), jaccard.Cuts(percent), 0
+@pytest.mark.parametrize("percent, extra, bits", [(80, 0.0, 0), (80, 0.5, 0), (80, 0.25, 8), (80, 0.5, 12), (80, 1.0, 2), (90, 0.0, 0), (90, 0.0, 8), (90, 0.5, 8),
+                                                  (100, 0.0, 0)])
+def test_signatures_lose_no_link(monkeypatch, percent, extra, bits):
+    """Also if any signatures whatever count as frequent."""
+    rng, cuts, links = np.random.default_rng(percent), jaccard.Cuts(percent, extra), 0
+    monkeypatch.setattr(jaccard, "BUCKET_SHIFT", np.uint64(64 - bits))
+    frequent = rng.integers(0, 4, 2**bits).astype(np.uint8) if bits else None
     for _ in range(1500):
         x = np.unique(rng.integers(0, 2**64 - 1, int(rng.integers(1, 300)), dtype=np.uint64))
         more, less = (int(rng.integers(0, len(x) // 7 + 1)) for _ in range(2))
@@ -174,10 +194,39 @@ def test_signatures_lose_no_link(percent):
         both = len(np.intersect1d(x, y))
         if 100 * both >= percent * (len(x) + len(y) - both):
             links += 1
-            assert len(np.intersect1d(jaccard.signatures(x, cuts), jaccard.signatures(y, cuts)))
+            assert len(np.intersect1d(jaccard.signatures(x, cuts, frequent), jaccard.signatures(y, cuts, frequent)))
     assert links > 10
 
 
+def test_frequent_signatures_are_counted(spark):
+    """Every document counts, in whichever task it is; a count ends at 255."""
+    rng = random.Random(4)
+    texts = [sentence(rng, 40) for _ in range(30)] + [sentence(rng, 12)] * 400 + ["", None]
+    docs = common.id_and_text(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7))
+    table = np.frombuffer(jaccard._frequent(docs, 5, 80, 0.5).value, np.uint8)
+    shingles, cuts, want = jaccard.Shingles(5), jaccard.Cuts(80, 0.5), Counter()
+    for t in filter(None, texts):
+        want.update((jaccard.signatures(shingles(t), cuts) >> jaccard.BUCKET_SHIFT).tolist())
+    assert len(table) == jaccard.BUCKETS and {int(k): int(table[k]) for k in np.flatnonzero(table)} == {k: min(255, n) for k, n in want.items()}
+
+
+def test_a_common_line_makes_no_family(spark):
+    """2,000 documents whose only bond is a line, at 80 percent: without their most frequent signatures hardly any meet."""
+    rng = random.Random(21)
+    line = sentence(rng, 13)
+    rows = [(i, f"{sentence(rng, 20)} {line} {sentence(rng, 20)}") for i in range(2000)] + [(5000 + i, t) for i, t in enumerate([sentence(rng, 60)] * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = common.id_and_text(docs)
+    size = {}
+    for extra in (0.0, jaccard.EXTRA_PARTS):
+        signed = jaccard._signed(texts, 5, 80, extra, jaccard._frequent(texts, 5, 80, extra) if extra else None)
+        families = components.components(jaccard._candidate_links(signed))
+        size[extra] = families.groupBy("component").count().agg(F.max("count")).first()[0]
+    assert size[jaccard.EXTRA_PARTS] < 20 < 1000 < size[0.0]
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_components(docs, 5, 80, jaccard.EXTRA_PARTS).collect()}
+    assert got == {i: min(i, 5000) for i, _ in rows}
+
+
 # --- passages --------------------------------------------------------------
 
 def test_compact_windows():
