@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
 from collections.abc import Iterator
 from itertools import chain
 from typing import NamedTuple
@@ -82,39 +81,51 @@ class Aligner:
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError("pieces with a space after other characters: texts can't be cut at spaces")
         text_of = {self.bytes_b[i]: i for i in [*fallback, *sorted(set(range(size)) - set(fallback), reverse=True)]}
-        self.same = [text_of.get(t, -1) for t in self.bytes_a]
+        self.same = np.array([text_of.get(t, -1) for t in self.bytes_a], np.int64)
+        self.len_a, self.len_b = (np.array([len(t) for t in of], np.int64) for of in (self.bytes_a, self.bytes_b))
+        self.written = [f"{i}{mark}" for i in range(max(len(self.bytes_a), size)) for mark in ",|;\n"]
         self.known: dict[str, Chunk | None] = {}
 
     def learn(self, chunks: list[str]) -> dict[str, Chunk | None]:
-        """Chunks aligned; None where the bytes of the tokens of A or B are not a space and the chunk."""
-        span, same, bytes_a, bytes_b, out = len(self.bytes_b), self.same, self.bytes_a, self.bytes_b, {}
-        of_a = self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)
-        for chunk, a, b in zip(chunks, of_a, self.b.encode(chunks, num_threads=1)):
-            a, whole = a.ids, b" " + chunk.encode()
-            tokens_a, tokens_b = [bytes_a[i] for i in a], [bytes_b[i] for i in b]
-            if b"".join(tokens_a) != whole or b"".join(tokens_b) != whole:
-                out[chunk] = None
-                continue
-            groups, plain, other = [], array("q"), array("q")
-            end_a = end_b = done_a = done_b = at_b = 0
-            for at_a, token in enumerate(tokens_a, 1):
-                end_a += len(token)
-                while end_b < end_a:
-                    end_b += len(tokens_b[at_b])
-                    at_b += 1
-                if end_b == end_a:
-                    x, y = a[at_a - 1], b[at_b - 1]
-                    if at_a - done_a == at_b - done_b == 1:
-                        groups.append(f"{x}|{y}")
-                        if same[x] == y:
-                            plain.append(x)
-                        else:
-                            other.append(x * span + y)
-                    else:
-                        groups.append(",".join(map(str, a[done_a:at_a])) + "|" + ",".join(map(str, b[done_b:at_b])))
-                        other.append(x * span + y)
-                    done_a, done_b = at_a, at_b
-            out[chunk] = Chunk(len(a), len(b), len(groups), ";".join(groups), plain.tobytes(), other.tobytes())
+        """Chunks aligned, all at a time; None where the bytes of the tokens of A or B are not a space and the chunk."""
+        whole = [b" " + c.encode() for c in chunks]
+        of_a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
+        of_b = self.b.encode(chunks, num_threads=1)
+        out: dict[str, Chunk | None] = {}
+        if not all(b"".join([of[i] for i in chain.from_iterable(ids)]) == b"".join(whole) for of, ids in ((self.bytes_a, of_a), (self.bytes_b, of_b))):
+            good = [all(b"".join([of[i] for i in ids]) == text for of, ids in ((self.bytes_a, a), (self.bytes_b, b)))
+                    for a, b, text in zip(of_a, of_b, whole)]
+            out = {c: None for c, g in zip(chunks, good) if not g}
+            chunks, whole, of_a, of_b = ([x for x, g in zip(of, good) if g] for of in (chunks, whole, of_a, of_b))
+        if not chunks:
+            return out
+        # Laid end to end, the chunks are one text that both have tokens of.
+        a, b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (of_a, of_b))
+        ends_a, ends_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
+        at = np.searchsorted(ends_b, ends_a)
+        last_a = np.flatnonzero(ends_b[at] == ends_a)
+        last_b = at[last_a]
+        before_a, before_b = np.concatenate(([-1], last_a[:-1])), np.concatenate(([-1], last_b[:-1]))
+        size_a, size_b = last_a - before_a, last_b - before_b
+        group_end = np.searchsorted(ends_a[last_a], np.cumsum([len(w) for w in whole])) + 1  # groups up to the end of each chunk
+        # Every id is written with the mark that follows it: a comma, a bar, a semicolon, or at the end of a chunk a new line.
+        mark_a, mark_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        mark_a[last_a], mark_b[last_b] = 1, 2
+        mark_b[last_b[group_end - 1]] = 3
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + np.repeat(before_b + 1, size_a)] = 4 * a + mark_a
+        order[np.arange(len(b)) + np.repeat(last_a + 1, size_b)] = 4 * b + mark_b
+        texts = "".join(map(self.written.__getitem__, order.tolist())).split("\n")
+        x, y = a[last_a], b[last_b]
+        is_plain = (size_a == 1) & (size_b == 1) & (self.same[x] == y)
+        pairs = x * len(self.bytes_b) + y
+        plain, other = x[is_plain].tobytes(), pairs[~is_plain].tobytes()
+        plain_end = np.cumsum(is_plain)[group_end - 1]
+        done, done_plain = 0, 0
+        for k, (chunk, end, end_plain) in enumerate(zip(chunks, group_end.tolist(), plain_end.tolist())):
+            out[chunk] = Chunk(len(of_a[k]), len(of_b[k]), end - done, texts[k], plain[8 * done_plain:8 * end_plain],
+                               other[8 * (done - done_plain):8 * (end - end_plain)])
+            done, done_plain = end, end_plain
         return out
 
     def align(self, texts: list[str]) -> list[list[Chunk] | None]:
@@ -233,15 +244,14 @@ def cross_tokenizer_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFra
     pairs = each(rows, "pairs", "pair_n", "uid")
     counts = stored(pairs.groupBy("id").agg(F.sum("n").alias("count")), "pair-counts")
     best = np.zeros(span, np.int64)
-    same = np.array(tools.same)
-    mapped = same >= 0
-    np.maximum.at(best, same[mapped], counts_a[mapped])
+    mapped = tools.same >= 0
+    np.maximum.at(best, tools.same[mapped], counts_a[mapped])
     for i, n in counts.groupBy((F.col("id") % span).alias("b")).agg(F.max("count")).collect():
         best[i] = max(best[i], n)  # at most one row per B id
     limit = (counts.agg(F.sum("count")).first()[0] or 0) // HOT_PAIRS
     hot_pairs = sorted(map(tuple, counts.filter(F.col("count") > limit).collect()))  # fewer than HOT_PAIRS rows
     hot_ids, hot_counts = (np.array([p[k] for p in hot_pairs], np.int64) for k in (0, 1))
-    best_of_a = np.where(mapped, best[same], 0)
+    best_of_a = np.where(mapped, best[tools.same], 0)
     known = spark.sparkContext.broadcast((counts_a, counts_a == best_of_a, hot_ids, hot_counts, hot_counts == best[hot_ids % span]))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
