@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.llm.common import cut, id_and_text, sized, without
 from shelfwise.llm.components import components
@@ -100,19 +100,22 @@ class Cuts:
         return [(k, *self.plans[k]) for k in range(max(0, at - 1), at + 1)]
 
 
-def signatures(own: np.ndarray, cuts: Cuts, frequent: np.ndarray | None = None) -> np.ndarray:
+def signatures(own: np.ndarray, cuts: Cuts, frequent: np.ndarray | None = None) -> list[np.ndarray]:
     """Hashes of which any two sets that qualify share one: those of the parts of a set, cut for its class and for the
-    class before.
+    class before, by the parity of the class: documents can only be linked through the same cut.
 
     With at most e empty parts in one of two sets, a part in which they agree is not empty, so empty parts need no
     hash. A set with more of them tells each apart by the parts of another cut. Given how frequent signatures are, by their
     first bits, a set with fewer empty parts leaves out as many others, the most frequent ones: of the parts in which two sets
     agree, the rarest has at least as many behind it as either may leave out.
     """
-    found = [_parts(own, parts, spare, U(k + 1), 0) for k, parts, spare in cuts.of(len(own))]
-    if frequent is None:
-        return np.concatenate([signs for signs, _ in found])
-    return np.concatenate([signs[np.lexsort((signs, frequent[signs >> BUCKET_SHIFT]))[:len(signs) - left]] for signs, left in found])
+    out = [np.empty(0, U), np.empty(0, U)]
+    for k, parts, spare in cuts.of(len(own)):
+        signs, left = _parts(own, parts, spare, U(k + 1), 0)
+        if frequent is not None:
+            signs = signs[np.lexsort((signs, frequent[signs >> BUCKET_SHIFT]))[:len(signs) - left]]
+        out[k % 2] = signs
+    return out
 
 
 def _parts(own: np.ndarray, parts: int, spare: int, label: np.uint64, depth: int) -> tuple[np.ndarray, int]:
@@ -139,13 +142,21 @@ def _signed(texts: DataFrame, words: int, percent: int, extra: float = 0.0, freq
         for batch in batches:
             sets = [shingles(t.as_py()) for t in batch.column(1)]
             both = [pa.array(np.array([_mixed(s, seed).sum(dtype=U) for s in sets], U).view(np.int64)) for seed in (1, 2)]
-            signs = [signatures(s, cuts, often).view(np.int64) if len(s) else np.empty(0, np.int64) for s in sets]
-            bounds = pa.array(np.cumsum([0, *map(len, signs)]), pa.int32())
-            lists = pa.ListArray.from_arrays(bounds, pa.array(np.concatenate([np.empty(0, np.int64), *signs]), pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *both, lists],
-                                             ["doc_id", "n_shingles", "h1", "h2", "signs"])
+            signed = [signatures(s, cuts, often) if len(s) else [np.empty(0, U)] * 2 for s in sets]
+            lists = []
+            for parity in (0, 1):
+                signs = [s[parity].view(np.int64) for s in signed]
+                bounds = pa.array(np.cumsum([0, *map(len, signs)]), pa.int32())
+                lists.append(pa.ListArray.from_arrays(bounds, pa.array(np.concatenate([np.empty(0, np.int64), *signs]), pa.int64())))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), *both, *lists],
+                                             ["doc_id", "n_shingles", "h1", "h2", "even", "odd"])
 
-    return texts.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, signs array<long>")
+    return texts.mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, even array<long>, odd array<long>")
+
+
+def _node(doc_id: Column, parity: int) -> Column:
+    """A document in the cut of even or odd number. Ids that differ in their first bit alone may meet: then more is compared."""
+    return F.shiftleft(doc_id, 1).bitwiseOR(F.lit(parity))
 
 
 def _frequent(texts: DataFrame, words: int, percent: int, extra: float) -> Broadcast:
@@ -158,7 +169,7 @@ def _frequent(texts: DataFrame, words: int, percent: int, extra: float) -> Broad
         shingles, cuts, total = Shingles(words), Cuts(percent, extra), np.zeros(BUCKETS, np.uint8)
         for batch in batches:
             sets = [shingles(t.as_py()) for t in batch.column(0)]
-            signs = [np.empty(0, U), *(signatures(s, cuts) for s in sets if len(s))]
+            signs = [np.empty(0, U), *(signs for s in sets if len(s) for signs in signatures(s, cuts))]
             bucket, times = np.unique(np.concatenate(signs) >> BUCKET_SHIFT, return_counts=True)
             total[bucket] = np.minimum(255, total[bucket] + times)
         pieces = total.reshape(-1, PIECE)
@@ -184,7 +195,7 @@ def _frequent(texts: DataFrame, words: int, percent: int, extra: float) -> Broad
 
 
 def _candidate_links(signed: DataFrame) -> DataFrame:
-    """Pairs (a, b) that connect all documents which share a signature.
+    """Pairs (a, b) that connect all documents, each in either of its two cuts, which share a signature.
 
     Signatures are sorted over the cluster by signature and id; neighbours with an equal one are linked where they
     lie. A signature of many documents may run over several tasks: first and last rows of all tasks link these.
@@ -211,7 +222,8 @@ def _candidate_links(signed: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([last], pa.int64()), pa.array([last], pa.int64()), pa.array([int(sign)], pa.int64())],
                                              ["a", "b", "sign"])
 
-    signs = signed.select(F.explode("signs").alias("sign"), "doc_id")
+    signs = signed.select(F.explode("even").alias("sign"), _node(F.col("doc_id"), 0).alias("doc_id")).unionAll(
+        signed.select(F.explode("odd").alias("sign"), _node(F.col("doc_id"), 1).alias("doc_id")))
     linked = cut(signs.repartitionByRange("sign", "doc_id").sortWithinPartitions("sign", "doc_id")
                  .mapInArrow(link, "a long, b long, sign long").distinct())
     across = linked.filter("sign IS NOT NULL").select("sign", "a").distinct()
@@ -261,7 +273,7 @@ def links_of(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percen
 def _verified_links(texts: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
     """Links between documents of one family that connect all that qualify.
 
-    members: doc_id, family, n_shingles, h1, h2, one row per distinct set. A family's rows are dealt into blocks of
+    members: doc_id, family, n_shingles, h1, h2, one row per distinct set and family. A family's rows are dealt into blocks of
     bounded size, and every pair of blocks is a cell, multiplied by one task.
     """
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,8 +331,8 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90, extra
     known = texts.filter(F.col("doc_id").isNotNull())
     full = keys.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     families = components(_candidate_links(full))
-    members = full.join(families, F.col("doc_id") == F.col("node")).groupBy("h1", "h2", "n_shingles") \
-        .agg(F.min("doc_id").alias("doc_id"), F.min("component").alias("family"))
+    cuts = full.select("h1", "h2", "n_shingles", "doc_id", F.explode(F.array(*(_node(F.col("doc_id"), k) for k in (0, 1)))).alias("node"))
+    members = cuts.join(families, "node").groupBy("h1", "h2", "n_shingles", F.col("component").alias("family")).agg(F.min("doc_id").alias("doc_id"))
     linked = components(_verified_links(known, members, words, percent))
     classes = full.groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("least")) \
         .join(linked, F.col("least") == F.col("node"), "left") \

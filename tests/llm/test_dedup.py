@@ -194,7 +194,8 @@ def test_signatures_lose_no_link(monkeypatch, percent, extra, bits):
         both = len(np.intersect1d(x, y))
         if 100 * both >= percent * (len(x) + len(y) - both):
             links += 1
-            assert len(np.intersect1d(jaccard.signatures(x, cuts, frequent), jaccard.signatures(y, cuts, frequent)))
+            pairs = zip(jaccard.signatures(x, cuts, frequent), jaccard.signatures(y, cuts, frequent))
+            assert any(len(np.intersect1d(a, b)) for a, b in pairs)
     assert links > 10
 
 
@@ -206,7 +207,7 @@ def test_frequent_signatures_are_counted(spark):
     table = np.frombuffer(jaccard._frequent(docs, 5, 80, 0.5).value, np.uint8)
     shingles, cuts, want = jaccard.Shingles(5), jaccard.Cuts(80, 0.5), Counter()
     for t in filter(None, texts):
-        want.update((jaccard.signatures(shingles(t), cuts) >> jaccard.BUCKET_SHIFT).tolist())
+        want.update((np.concatenate(jaccard.signatures(shingles(t), cuts)) >> jaccard.BUCKET_SHIFT).tolist())
     assert len(table) == jaccard.BUCKETS and {int(k): int(table[k]) for k in np.flatnonzero(table)} == {k: min(255, n) for k, n in want.items()}
 
 
