@@ -248,3 +248,19 @@ def test_personal_data_without_its_sign(spark):
     hit = sum(len(planted[i] & found[i]) for i in planted)
     wrong = sum(len(found[i] - planted[i]) for i in planted)
     assert hit >= 0.95 * 120 and wrong <= 3, (hit, wrong)
+
+
+def test_every_pair_of_words_is_counted(spark):
+    """Of far more words than are exchanged one by one, and of one that is too long to be broadcast."""
+    texts = [" ".join(f"w{i * j % 2_003}" for j in range(60)) + (" " + "x" * 100 if i % 3 == 0 else "") for i in range(1, 300)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    head = [w for w, _ in language_model._frequent(language_model.count_words(df), 1_500)]
+    vocabulary = language_model.Vocabulary.of(head)
+    pairs = language_model.count_pairs(df, spark.sparkContext.broadcast(tuple(vocabulary)))
+    assert len({w for t in texts for w in t.split()}) > len(head) and language_model.UNITS < 2_003
+    want = Counter()
+    for t in texts:
+        units = [vocabulary.end, *vocabulary.read(t)[1], vocabulary.end]
+        want.update(zip(units, units[1:]))
+    assert pairs.sum() == sum(len(t.split()) + 1 for t in texts)
+    assert {(a, b): int(pairs[a, b]) for a, b in zip(*np.nonzero(pairs))} == {(int(a), int(b)): n for (a, b), n in want.items()}
