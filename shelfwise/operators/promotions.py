@@ -32,6 +32,9 @@ POSITION_WORDS = ("zero", "one", "two", "three")
 
 MAX_INLINE_PRODUCTS = 10
 
+#: Up to so many named segments are broadcast, with four short columns each; more are joined by a shuffle.
+BROADCAST_SEGMENTS = 1_000_000
+
 # Reward text of a set whose reward is given elsewhere. Our own wording.
 OFFSITE_REWARD = "OFFSITE"
 
@@ -42,12 +45,26 @@ class Flat(NamedTuple):
     products: DataFrame
 
 
-class Normalised(NamedTuple):
-    """Promotions with expressions, rows of their named segments, and (promoId, message) errors."""
+class Normalised:
+    """Promotions with expressions, rows of their named segments, and (promoId, message) errors.
 
-    promotions: DataFrame
-    segments: DataFrame
-    errors: DataFrame
+    Each is made when it is asked for: segments measure how long the product lists are, which the others do not need.
+    """
+
+    def __init__(self, flat: Flat, translated: DataFrame):
+        self._flat, self._translated = flat, translated
+
+    @property
+    def promotions(self) -> DataFrame:
+        return valid_promotions(self._translated).drop("docId")
+
+    @property
+    def segments(self) -> DataFrame:
+        return named_segments(self._flat, valid_promotions(self._translated))
+
+    @property
+    def errors(self) -> DataFrame:
+        return translation_errors(self._translated)
 
 
 def keyed(documents: DataFrame) -> DataFrame:
@@ -117,20 +134,25 @@ def new_promotions(promotions: DataFrame, existing: DataFrame) -> DataFrame:
 def set_lists(products: DataFrame) -> DataFrame:
     """For each set the number of products that it lists, repeats included, and the distinct SKUs, in order, of short lists.
 
-    docId, position, listed, skus; skus is null if more products are listed than an inline segment takes. The products are read
-    once: both the numbers and the first SKUs come from one row per set and SKU. Of a list only the first
-    MAX_INLINE_PRODUCTS SKUs get together, and are cut down to these before they are shuffled, however long it is.
+    docId, position, listed, skus; skus is null if more products are listed than an inline segment takes. The numbers are added up
+    before they are shuffled. Of a list only the first MAX_INLINE_PRODUCTS rows by SKU get together, and are cut down to these before
+    they are shuffled, however long it is: a list that is short enough has no more.
     """
     keys = ["docId", "position"]
-    each = products.groupBy(*keys, "sku").agg(F.count("*").alias("times"))
-    sizes = each.groupBy(*keys).agg(F.sum("times").alias("listed"))
-    # times is asked for here too, so that both branches need the same rows and share one exchange.
-    first = each.filter("times > 0 AND sku IS NOT NULL").withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy("sku")))
-    skus = first.filter(F.col("n") <= MAX_INLINE_PRODUCTS).groupBy(*keys).agg(F.sort_array(F.collect_list("sku")).alias("skus"))
-    return sizes.join(skus, keys, "left").select(
+    window = Window.partitionBy(*keys).orderBy("sku")
+    first = products.filter("sku IS NOT NULL").withColumn("n", F.row_number().over(window)).filter(F.col("n") <= MAX_INLINE_PRODUCTS)
+    # The rows are in order already, so their SKUs are collected over the same window, without grouping them once more.
+    together = F.collect_list("sku").over(window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    skus = first.select(*keys, "n", together.alias("skus")).filter("n = 1").select(*keys, F.array_distinct("skus").alias("skus"))
+    return list_sizes(products).join(skus, keys, "left").select(
         *keys, "listed", F.when(F.col("listed") <= MAX_INLINE_PRODUCTS, F.coalesce("skus", F.array().cast("array<string>"))).alias("skus"))
 
 
+def list_sizes(products: DataFrame) -> DataFrame:
+    """docId, position and the number of products that a set lists, repeats included."""
+    return products.filter("docId IS NOT NULL AND position IS NOT NULL").groupBy("docId", "position").agg(F.count("*").alias("listed"))
+
+
 def with_segments(sets: DataFrame, products: DataFrame) -> DataFrame:
     """Sets with their segment: up to ten listed products are inline, longer lists get a name."""
     sized = sets.join(set_lists(products), ["docId", "position"], "left")
@@ -307,9 +329,7 @@ def normalise_promotions(flat: Flat) -> Normalised:
     A promotion with any error gives error rows only, and no segments. A job that needs more than
     one of the three should store the result of :func:`translate` in between.
     """
-    translated = translate(flat)
-    valid = valid_promotions(translated)
-    return Normalised(valid.drop("docId"), named_segments(flat, valid), translation_errors(translated))
+    return Normalised(flat, translate(flat))
 
 
 def named_segments(flat: Flat, valid: DataFrame) -> DataFrame:
@@ -319,14 +339,20 @@ def named_segments(flat: Flat, valid: DataFrame) -> DataFrame:
     then starts last wins.
     """
     words = F.array(*(F.lit(w) for w in POSITION_WORDS))
-    long_lists = flat.products.groupBy("docId", "position").agg(F.count("*").alias("listed")).filter(
-        (F.col("listed") > MAX_INLINE_PRODUCTS) & (F.col("position") < len(POSITION_WORDS)))
+    # One condition on both columns stays above the count, which is then the one that set_lists makes.
+    named = F.when(F.col("listed") > MAX_INLINE_PRODUCTS, F.col("position") < len(POSITION_WORDS))
+    long_lists = list_sizes(flat.products).filter(named)
     known = long_lists.join(valid.select("docId", "promoId", "startDate", "endDate"), "docId") \
         .withColumn("segment", F.concat_ws("_", "promoId", F.get(words, F.col("position"))))
     order = [F.col(c).desc_nulls_last() for c in ("endDate", "startDate", "docId", "position", "promoId")]
     place = F.row_number().over(Window.partitionBy("segment").orderBy(*order))
     latest = known.withColumn("place", place).filter("place = 1").select("segment", "docId", "position", "promoId")
-    return salted_join(flat.products, latest, ["docId", "position"], "sku").select("promoId", "segment", "sku").distinct()
+    # Stored, to be counted: as long as they are few enough to be sent to all tasks, the products need not be shuffled to meet them.
+    latest = stored(latest, "named-segments")
+    keys = ["docId", "position"]
+    few = latest.count() <= BROADCAST_SEGMENTS
+    listed = flat.products.join(F.broadcast(latest), keys) if few else salted_join(flat.products, latest, keys, "sku")
+    return listed.select("promoId", "segment", "sku").distinct()
 
 
 # Names of stacking priorities. The numbers are a setting.
