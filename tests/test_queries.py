@@ -37,3 +37,9 @@ def test_entry(spark):
 @pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(SQL)))
 def test_queries_without_sql_run(spark, name):
     assert contract.queries()[name](spark, FOLDER).count() > 0
+
+
+@pytest.mark.parametrize("name", ["approx_similar_items", "als_similar_items", "user_top_items", "user_top_brands"])
+def test_searches_ask_for_every_hundredth_row(spark, name):
+    asked = {r.id for r in contract.queries()[name](spark, FOLDER).select("id").distinct().collect()}
+    assert asked and all(i % 100 == 0 for i in asked)
