@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 
 from shelfwise.llm.common import id_and_text
 
-#: Entries that a Python worker remembers at most in each of its two memories; a full one starts anew.
-MEMORY = 400_000
+#: Entries that a Python worker remembers at most in each of its two memories, some 130 bytes each; a full one starts anew.
+MEMORY = 100_000
 #: White space of the split pattern. str.split() cuts at the same characters and at SEPARATORS.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SEPARATORS = regex.compile(r"[\x1c-\x1f]")

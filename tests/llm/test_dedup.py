@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import tracemalloc
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -211,6 +213,19 @@ def test_frequent_signatures_are_counted(spark):
     assert len(table) == jaccard.BUCKETS and {int(k): int(table[k]) for k in np.flatnonzero(table)} == {k: min(255, n) for k, n in want.items()}
 
 
+def test_added_pieces_take_a_byte_a_bucket():
+    rng = np.random.default_rng(5)
+    pieces = [rng.integers(0, 200, jaccard.PIECE).astype(np.uint8) for _ in range(3)]
+    packed = [zlib.compress(p.tobytes(), 1) for p in pieces]
+    tracemalloc.start()
+    got = jaccard.added((k, p) for p in packed for k in range(64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    expected = np.minimum(255, sum(p.astype(int) for p in pieces))
+    assert len(got) == 64 and all((s == expected).all() and s.dtype == np.uint8 for s in got.values())
+    assert peak < 2 * 64 * jaccard.PIECE  # eight bytes a bucket before
+
+
 def test_a_common_line_makes_no_family(spark):
     """2,000 documents whose only bond is a line, at 80 percent: without their most frequent signatures hardly any meet."""
     rng = random.Random(21)

@@ -5,6 +5,7 @@ import math
 import random
 import re
 import struct
+import sys
 import zlib
 from collections import Counter
 
@@ -71,6 +72,18 @@ def test_bpe_equals_library_on_any_text(library, text):
     same_as_library(library, text)
 
 
+def test_bpe_memory_is_bounded():
+    tokenizer = bpe.WordBpe(bpe.load_model(PATH))
+    letters = str.maketrans("0123456789", "ghijklmnop")
+    most = 0
+    for k in range(250_000):
+        tokenizer.encode(f"{k:x}".translate(letters))
+        if k % 49_999 == 0:
+            most = max(most, sum(sys.getsizeof(m) + sum(sys.getsizeof(x) for item in m.items() for x in item)
+                                 for m in (tokenizer.pieces, tokenizer.words)))
+    assert most < 40e6, most
+
+
 def test_bpe_query(spark, odd, library):
     got = {r.doc_id: r for r in bpe.encode_documents(odd, PATH).collect()}
     assert got[0].n_tokens == got[1].n_tokens == 0 and got[1].decoded == ""
