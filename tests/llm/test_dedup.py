@@ -315,6 +315,31 @@ def test_hot_keys_change_no_candidate(spark, monkeypatch):
     assert expected and all(f == expected for f in found.values()), {k: (len(f), len(f ^ expected)) for k, f in found.items()}
 
 
+def test_only_documents_with_a_shared_mark_are_read_again(spark):
+    rng = random.Random(13)
+    line, passage = sentence(rng, 14), sentence(rng, 60)
+    rows = [(i, f"{sentence(rng, 60)} {line} {passage if i < 4 else ''} {sentence(rng, 60)}") for i in range(40)]
+    docs = odd_rows(spark, *rows).select("doc_id", "text")
+    near = substring_dedup._candidates(docs, 46)[1]
+    assert near.columns == ["doc_id", "key"]
+    assert {r.doc_id for r in near.collect()} == {0, 1, 2, 3}
+    runs = substring_dedup._repeats(docs, near, 46, 1.0).collect()
+    assert {(r.doc_id, r.class_id) for r in runs} == {(i, 0) for i in range(4)}
+    assert all(r.last_word - r.first_word == 49 for r in runs) and len(runs) >= 4 * 11
+
+
+@pytest.mark.parametrize("hot", [10**9, 25, -1])
+def test_hot_runs_change_no_repeat(spark, monkeypatch, hot):
+    rng = random.Random(14)
+    passages = [sentence(rng, 60) for _ in range(3)]
+    rows = [(i, f"{sentence(rng, 20)} {passages[i % 7 % 3]} {sentence(rng, 20)}") for i in range(120)]
+    monkeypatch.setattr(substring_dedup, "HOT", hot)
+    got = substring_dedup.repeated_passages(odd_rows(spark, *rows)).collect()
+    missed, repeated = covered(rows, got, 51)
+    assert not missed and repeated == {r.doc_id for r in got} == set(range(120))
+    assert {(r.doc_id, r.class_id) for r in got} == {(i, i % 7 % 3) for i in range(120)}
+
+
 def test_many_passages_at_different_offsets():
     for seed in range(20):
         rng = np.random.default_rng(seed)
