@@ -315,6 +315,14 @@ def test_hot_keys_change_no_candidate(spark, monkeypatch):
     assert expected and all(f == expected for f in found.values()), {k: (len(f), len(f ^ expected)) for k, f in found.items()}
 
 
+def test_tokens_travel_in_six_bytes():
+    tokens = np.random.default_rng(3).integers(0, 2**64 - 1, 1000, dtype=np.uint64)
+    data = substring_dedup.packed_tokens(tokens)
+    assert len(data) == 6000 and (substring_dedup.unpacked_tokens(data) == tokens & np.uint64(2**48 - 1)).all()
+    assert not len(substring_dedup.unpacked_tokens(substring_dedup.packed_tokens(tokens[:0])))
+    assert (substring_dedup.unpacked_tokens(data[60:120]) == tokens[10:20] & np.uint64(2**48 - 1)).all()
+
+
 def test_only_documents_with_a_shared_mark_are_read_again(spark):
     rng = random.Random(13)
     line, passage = sentence(rng, 14), sentence(rng, 60)
