@@ -226,6 +226,26 @@ def test_added_pieces_take_a_byte_a_bucket():
     assert peak < 2 * 64 * jaccard.PIECE  # eight bytes a bucket before
 
 
+def test_only_signatures_of_several_documents_stay(spark, monkeypatch):
+    """Counts are exact, by document and not by bucket; of what several documents have, each set leaves out the most frequent."""
+    monkeypatch.setattr(jaccard, "PACKED", 500)
+    rng = random.Random(9)
+    line, base = sentence(rng, 13), sentence(rng, 60)
+    texts = [f"{sentence(rng, 40)} {line} {sentence(rng, 20)}" for _ in range(60)] + [f"{base} {sentence(rng, 2)}" for _ in range(3)] + [base, "", "one"]
+    ids = [(-1) ** i * i * 2**40 for i in range(len(texts))]
+    rows = [*zip(ids, texts), (None, base), (None, "")]
+    got = jaccard._rarest(common.id_and_text(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)), 5, 80, 0.5).collect()
+    shingles, cuts = jaccard.Shingles(5), jaccard.Cuts(80, 0.5)
+    signed = {i: jaccard.parted(shingles(t), cuts) if t else [(np.empty(0, np.uint64), 0)] * 2 for i, t in zip(ids, texts)}
+    times = Counter(s for both in signed.values() for signs, _ in both for s in signs.tolist())
+    for r in got:
+        for mine, (signs, left) in zip((r.even, r.odd), signed[r.doc_id] if r.doc_id is not None else [(np.empty(0), 0)] * 2):
+            several = sorted(times[s] for s in signs.tolist() if times[s] > 1)
+            want = sorted(several)[:max(0, len(several) - left)]
+            assert len(mine) == len(want) and set(s & 2**40 - 1 for s in mine) <= set(int(s) & 2**40 - 1 for s in signs if times[int(s)] > 1)
+    assert len(got) == len(rows) and sum(len(r.even) + len(r.odd) > 0 for r in got) == 4  # base and its near copies, and nothing by the line
+
+
 def test_a_common_line_makes_no_family(spark):
     """2,000 documents whose only bond is a line, at 80 percent: without their most frequent signatures hardly any meet."""
     rng = random.Random(21)
