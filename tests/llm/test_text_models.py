@@ -234,6 +234,48 @@ def test_language_model_head_size_changes_nothing(monkeypatch, documents, odd):
     assert language_model.score_texts(odd.limit(0)).count() == 0
 
 
+def test_words_are_told_apart_by_their_contexts(spark, monkeypatch):
+    """Words whose endings tell nothing, in four kinds that follow one another, far more than the driver exchanges, some of them not at hand."""
+    monkeypatch.setattr(language_model, "UNITS", 8)
+    monkeypatch.setattr(language_model, "HEAD", 100)
+    rng = random.Random(5)
+    kinds = [[f"{k}{''.join(rng.choices('abcdefgh', k=6))}" for _ in range(60)] for k in "pqrs"]
+    rows = [(i, " ".join(rng.choice(kinds[k % 4]) for k in range(rng.randrange(4), 100))) for i in range(700)]
+    scored = language_model.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).filter("held_out").collect()
+    assert max(r.perplexity for r in scored) < 110  # about 60 words can follow; about 240 where all have one class
+
+
+def test_classes_grow_with_the_vocabulary():
+    assert language_model.number_of_classes(1_000) == language_model.CLASSES < language_model.number_of_classes(400_000) < language_model.number_of_classes(4_000_000)
+
+
+def test_best_classes_gain_most(monkeypatch):
+    """Each word's own best move, against the likelihood of all class bigrams counted anew."""
+    monkeypatch.setattr(language_model, "LEAST_GAIN", 0.0)
+    rng = np.random.default_rng(2)
+    text = rng.integers(0, 300, 6000)
+    own = np.append(rng.integers(0, 5, 300), 5)
+    near = np.concatenate([[300], text, [300]])
+
+    def table(classes):
+        found = np.zeros((6, 6))
+        np.add.at(found, (classes[near[:-1]], classes[near[1:]]), 1)
+        return found
+
+    words = np.array([w for w in range(300) if (text == w).any() and not ((text[1:] == w) & (text[:-1] == w)).any()])
+    at = np.concatenate([np.flatnonzero(near == w) for w in words])
+    counts = np.array([(near == w).sum() for w in words])
+    best = language_model.best_classes(own, table(own), words, counts, near[at - 1], near[at + 1])
+    lost = []
+    for w, chosen in zip(words, best):
+        moved = [own.copy() for _ in range(5)]
+        for c, m in enumerate(moved):
+            m[w] = c
+        gains = [language_model._likelihood(table(m)) for m in moved]
+        lost.append((max(gains) - gains[chosen]) / (max(gains) - min(gains)))
+    assert np.mean(lost) < 0.1 and np.mean(np.array(lost) == 0) > 0.7
+
+
 def test_exchange_raises_the_likelihood():
     rng = np.random.default_rng(1)
     kind = np.arange(40) % 4  # words of kind k are followed by words of kind k + 1
